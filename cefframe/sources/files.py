@@ -9,6 +9,7 @@ extension, globs, partition discovery, ``pathGlobFilter``,
 from __future__ import annotations
 
 from typing import Any, Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ def infer_files_schema(spark: SparkSession, paths: list[str], opts: CefOptions,
     """
     spark_opts = dict(spark_opts or {})
     listing = _text_reader(spark, spark_opts).text(paths)
-    files = sorted(listing.inputFiles())
+    # inputFiles() returns URIs; decode them (spaces arrive as %20) before re-reading.
+    files = sorted(unquote(p) for p in listing.inputFiles())
     if not files:
         raise ValueError(NO_FILES_MESSAGE)
     # The listing already applied globs, filters and recursion; read files directly.
