@@ -51,8 +51,13 @@ def repair_line(value: Column, null_value: str, *, trailing: bool = True,
 
 
 def split_header(line: Column) -> Column:
-    """At most eight pieces: seven header fields and the extension text."""
-    return F.split(line, HEADER_SPLIT, 8)
+    """At most eight pieces: seven header fields and the extension text.
+
+    Lines without an escaped pipe take Java's literal one-character split
+    (no regex engine); the look-behind pattern is used only when needed.
+    """
+    return F.when(line.contains("\\|"), F.split(line, HEADER_SPLIT, 8)).otherwise(
+        F.split(line, r"\|", 8))
 
 
 def header_error(pieces: Column) -> Column:
@@ -83,9 +88,12 @@ def match_keys(matches: Column) -> Column:
     return F.transform(matches, lambda m: F.substring_index(m, "=", 1))
 
 
-def match_values(matches: Column) -> Column:
-    return F.transform(
-        matches, lambda m: F.btrim(F.substr(m, F.instr(m, "=") + 1), F.lit(_JAVA_TRIM_CHARS)))
+def match_values(matches: Column, null_value: str | None = None) -> Column:
+    """Trimmed values; equal to ``null_value`` -> null (one pass over the array)."""
+    def value(m: Column) -> Column:
+        v = F.btrim(F.substr(m, F.instr(m, "=") + 1), F.lit(_JAVA_TRIM_CHARS))
+        return v if null_value is None else null_token(v, null_value)
+    return F.transform(matches, value)
 
 
 def null_token(value: Column, null_value: str) -> Column:
@@ -120,7 +128,7 @@ def extensions_map(line: Column, null_value: str = "-") -> Column:
     """extension pairs as ``map<string,string>``; the last duplicate wins."""
     matches = extension_matches(extension_text(split_header(line)))
     keys = match_keys(matches)
-    vals = F.transform(match_values(matches), lambda v: null_token(v, null_value))
+    vals = match_values(matches, null_value)
     entries = F.arrays_zip(keys.alias("k"), vals.alias("v"))
     # keep an entry only if no later entry has the same key
     last = F.filter(entries, lambda e, i: F.array_position(

@@ -39,8 +39,7 @@ def _names(lines: DataFrame, column: str, order: Column, opts: CefOptions) -> Da
     m = lines.select(order.alias("o"),
                      TK.extension_matches(TK.extension_text(TK.split_header(line))).alias("m"))
     kv = m.select("o", TK.match_keys(F.col("m")).alias("k"),
-                  F.transform(TK.match_values(F.col("m")),
-                              lambda v: TK.null_token(v, opts.null_value)).alias("v"))
+                  TK.match_values(F.col("m"), opts.null_value).alias("v"))
     kv = kv.select("o", "k", "v", F.sequence(F.lit(0), F.size("k") - 1).alias("p"))
     if opts.pivot_fields:
         d = kv.select("o", PV.dedup_last(F.col("k"), F.col("v"), F.col("p")).alias("d"))

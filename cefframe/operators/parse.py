@@ -89,7 +89,7 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
     keys = TK.match_keys(m)
     if _needs_label_map(ext_fields) or opts.pivot_fields:
         keys = F.transform(keys, PV.label_column_name)
-    vals = F.transform(TK.match_values(m), lambda v: TK.null_token(v, nv))
+    vals = TK.match_values(m, nv)
     keep = [F.col(_P + "value"), err, *[F.col(_P + "h" + str(i)) for f, i in headers if i is not None],
             *[F.col(f"`{c}`") for c in passthrough]]
 
@@ -101,15 +101,27 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
         step3 = step2.select(*keep, F.reverse(keys).alias(_P + "k"), F.reverse(vals).alias(_P + "v"))
 
     k, v = F.col(_P + "k"), F.col(_P + "v")
-    typed: dict[str, Column] = {}
-    for f in ext_fields:
+    # Raw (string) value of every extension column in its own Project, so the
+    # array lookup runs once per column even when the typed conversion below
+    # uses the value several times.
+    raw_cols = []
+    for i, f in enumerate(ext_fields):
         raw = TK.lookup(k, v, f.name)
         if opts.unescape:
             raw = TK.unescape_extension(raw)
+        raw_cols.append(raw.alias(_P + "r" + str(i)))
         if opts.pivot_fields:
             pos = F.array_position(k, F.lit(f.name)).cast("int") - 1
-            val, clash = PV.typed_pivot_value(raw, F.get(F.col(_P + "c"), pos),
-                                              F.get(F.col(_P + "n"), pos), f.dataType)
+            raw_cols.append(F.get(F.col(_P + "c"), pos).alias(_P + "rc" + str(i)))
+            raw_cols.append(F.get(F.col(_P + "n"), pos).alias(_P + "rn" + str(i)))
+    step3 = step3.select(*keep, *raw_cols)
+
+    typed: dict[str, Column] = {}
+    for i, f in enumerate(ext_fields):
+        raw = F.col(_P + "r" + str(i))
+        if opts.pivot_fields:
+            val, clash = PV.typed_pivot_value(raw, F.col(_P + "rc" + str(i)),
+                                              F.col(_P + "rn" + str(i)), f.dataType)
             typed[f.name] = val
             clash_flags.append(clash)
         else:
