@@ -91,11 +91,31 @@ def match_keys(matches: Column) -> Column:
 def match_values(matches: Column, null_value: str | None = None) -> Column:
     """Trimmed values; equal to ``null_value`` -> null (one pass over the array)."""
     def value(m: Column) -> Column:
-        v = F.btrim(F.substr(m, F.instr(m, "=") + 1), F.lit(_JAVA_TRIM_CHARS))
+        v = java_trim(F.substr(m, F.instr(m, "=") + 1))
         return v if null_value is None else null_token(v, null_value)
     return F.transform(matches, value)
 
 
+def java_trim(v: Column) -> Column:
+    """Strip chars <= U+0020 at both ends (Java ``String.trim``)."""
+    return F.btrim(v, F.lit(_JAVA_TRIM_CHARS))
+
+
+def match_text(match: Column, key_length: int | None = None) -> Column:
+    """Untrimmed value part of one ``key=value`` match.
+
+    ``key_length`` (when the key is known) replaces the search for '='.
+    """
+    start = F.lit(key_length + 2) if key_length is not None else F.instr(match, "=") + 1
+    return F.substr(match, start)
+
+
+def clean_value(text: Column, null_value: str | None = None) -> Column:
+    """Java-trim, then the null token -> null.  ``text`` should be a column reference."""
+    v = java_trim(text)
+    return v if null_value is None else F.nullif(v, F.lit(null_value))
+
+
 def null_token(value: Column, null_value: str) -> Column:
     return F.when(value == F.lit(null_value), F.lit(None).cast("string")).otherwise(value)
 

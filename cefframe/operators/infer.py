@@ -38,16 +38,17 @@ def _names(lines: DataFrame, column: str, order: Column, opts: CefOptions) -> Da
                           defensive=opts.defensive_mode)
     m = lines.select(order.alias("o"),
                      TK.extension_matches(TK.extension_text(TK.split_header(line))).alias("m"))
-    kv = m.select("o", TK.match_keys(F.col("m")).alias("k"),
-                  TK.match_values(F.col("m"), opts.null_value).alias("v"))
-    kv = kv.select("o", "k", "v", F.sequence(F.lit(0), F.size("k") - 1).alias("p"))
     if opts.pivot_fields:
+        kv = m.select("o", TK.match_keys(F.col("m")).alias("k"),
+                      TK.match_values(F.col("m"), opts.null_value).alias("v"))
+        kv = kv.select("o", "k", "v", F.sequence(F.lit(0), F.size("k") - 1).alias("p"))
         d = kv.select("o", PV.dedup_last(F.col("k"), F.col("v"), F.col("p")).alias("d"))
         return d.select("o", PV.pivot_entries(F.col("d"), with_pos=True).alias("e"))
-    return kv.select("o", F.transform(
-        F.arrays_zip(F.col("k").alias("k"), F.col("p").alias("p")),
-        lambda x: F.struct(PV.label_column_name(x["k"]).alias("name"), x["k"].alias("src"),
-                           x["p"].alias("p"))).alias("e"))
+    # Without pivoting a line only contributes its keys (no value needed).
+    return m.select("o", F.transform(
+        F.col("m"), lambda x, i: F.struct(
+            PV.label_column_name(F.substring_index(x, "=", 1)).alias("name"),
+            F.substring_index(x, "=", 1).alias("src"), i.alias("p"))).alias("e"))
 
 
 def first_seen_names(lines: DataFrame, opts: CefOptions, column: str = "value",

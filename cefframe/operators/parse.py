@@ -98,7 +98,9 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
         staged = step2.select(*keep, TK.match_keys(m).alias(_P + "rk"), vals.alias(_P + "rv"))
         step3 = PV.staged_pivot(staged, _P + "rk", _P + "rv", keep, _P)
     else:
-        step3 = step2.select(*keep, F.reverse(keys).alias(_P + "k"), F.reverse(vals).alias(_P + "v"))
+        # Only the keys are mapped over; a value is cut out of its match just
+        # for the columns that are selected (no per-element lambda for values).
+        step3 = step2.select(*keep, F.reverse(keys).alias(_P + "k"), F.reverse(m).alias(_P + "v"))
 
     k, v = F.col(_P + "k"), F.col(_P + "v")
     # Raw (string) value of every extension column in its own Project, so the
@@ -107,14 +109,28 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
     raw_cols = []
     for i, f in enumerate(ext_fields):
         raw = TK.lookup(k, v, f.name)
-        if opts.unescape:
-            raw = TK.unescape_extension(raw)
+        if not opts.pivot_fields:
+            suffixed = f.name.endswith(S.CONFLICT_SUFFIX) and S.is_header(f.name[: -len(S.CONFLICT_SUFFIX)])
+            raw = TK.match_text(raw, None if suffixed else len(f.name))
         raw_cols.append(raw.alias(_P + "r" + str(i)))
         if opts.pivot_fields:
             pos = F.array_position(k, F.lit(f.name)).cast("int") - 1
             raw_cols.append(F.get(F.col(_P + "c"), pos).alias(_P + "rc" + str(i)))
             raw_cols.append(F.get(F.col(_P + "n"), pos).alias(_P + "rn" + str(i)))
     step3 = step3.select(*keep, *raw_cols)
+    if not opts.pivot_fields or opts.unescape:
+        # trim / null token / unescape in their own Project, over column references
+        cleaned = []
+        for i in range(len(ext_fields)):
+            r = F.col(_P + "r" + str(i))
+            if not opts.pivot_fields:
+                r = TK.clean_value(r, nv)
+            if opts.unescape:
+                r = TK.unescape_extension(r)
+            cleaned.append(r.alias(_P + "r" + str(i)))
+        extra = [F.col(c) for c in step3.columns
+                 if c.startswith(_P + "rc") or c.startswith(_P + "rn")]
+        step3 = step3.select(*keep, *extra, *cleaned)
 
     typed: dict[str, Column] = {}
     for i, f in enumerate(ext_fields):

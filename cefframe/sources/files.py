@@ -57,6 +57,9 @@ def infer_files_schema(spark: SparkSession, paths: list[str], opts: CefOptions,
     the distinct names found are collected.
     """
     spark_opts = dict(spark_opts or {})
+    # A private option keeps these reads from matching a cached read of the same
+    # paths (inputFiles() of a cached plan is empty).
+    spark_opts["cefframe.inference"] = "true"
     listing = _text_reader(spark, spark_opts).text(paths)
     # inputFiles() returns URIs; decode them (spaces arrive as %20) before re-reading.
     files = sorted(unquote(p) for p in listing.inputFiles())
