@@ -46,7 +46,9 @@ def dedup_last(keys: Column, vals: Column, pos: Column | None = None) -> Column:
         cols.append(pos.alias("p"))
     rev = F.reverse(F.arrays_zip(*cols))
     rk = F.reverse(keys)
-    return F.filter(rev, lambda e, i: F.array_position(rk, e["k"]).cast("int") == i + 1)
+    # the quadratic filter only runs for lines that repeat a key
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), rev).otherwise(
+        F.filter(rev, lambda e, i: F.array_position(rk, e["k"]).cast("int") == i + 1))
 
 
 def _src_code(src: Column) -> Column:
