@@ -67,15 +67,16 @@ def _nonnull_by_code(raw: Column, code: Column) -> Column:
     return expr.otherwise(raw.isNotNull())
 
 
-def pivot_entries(entries: Column, with_pos: bool = False) -> Column:
+def pivot_entries(entries: Column, with_pos: bool = False, keys: Column | None = None) -> Column:
     """Deduplicated entries -> ``(name, src, v[, p])``.
 
     A key ``k`` is paired when ``kLabel`` is present with a non-null value;
     the pair becomes one entry named by the label.  Pivoted entries come
     first, so on a name collision they win over a plain key of that name.
-    ``entries`` must be a column reference.
+    ``entries`` and ``keys`` (the entries' keys) must be column references;
+    without ``keys`` the key array is rebuilt inside every lambda call.
     """
-    ks = F.transform(entries, lambda e: e["k"])
+    ks = keys if keys is not None else F.transform(entries, lambda e: e["k"])
 
     def label_of(k: Column) -> Column:
         pos = F.array_position(ks, F.concat(k, F.lit(LABEL_SUFFIX))).cast("int")
@@ -107,7 +108,8 @@ def staged_pivot(df: DataFrame, keys: str, vals: str, keep: list[Column],
     """Add ``<prefix>k`` (names), ``<prefix>v`` (values), ``<prefix>c`` (source type
     code) and ``<prefix>n`` (value non-null under its source type) arrays."""
     d = df.select(*keep, dedup_last(F.col(keys), F.col(vals)).alias(prefix + "d"))
-    e = d.select(*keep, pivot_entries(F.col(prefix + "d")).alias(prefix + "e"))
+    d = d.select(*keep, prefix + "d", F.transform(F.col(prefix + "d"), lambda x: x["k"]).alias(prefix + "dk"))
+    e = d.select(*keep, pivot_entries(F.col(prefix + "d"), keys=F.col(prefix + "dk")).alias(prefix + "e"))
     coded = e.select(*keep, F.transform(F.col(prefix + "e"), lambda x: F.struct(
         x["name"].alias("name"), x["v"].alias("v"), _src_code(x["src"]).alias("c"))).alias(prefix + "e"))
     ec = F.col(prefix + "e")
