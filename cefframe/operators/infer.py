@@ -44,7 +44,8 @@ def _names(lines: DataFrame, column: str, order: Column, opts: CefOptions) -> Da
         kv = kv.select("o", "k", "v", F.sequence(F.lit(0), F.size("k") - 1).alias("p"))
         d = kv.select("o", PV.dedup_last(F.col("k"), F.col("v"), F.col("p")).alias("d"))
         d = d.select("o", "d", F.transform("d", lambda x: x["k"]).alias("dk"))
-        return d.select("o", PV.pivot_entries(F.col("d"), with_pos=True, keys=F.col("dk")).alias("e"))
+        e = d.select("o", PV.pivot_entries(F.col("d"), with_pos=True, keys=F.col("dk")).alias("e"))
+        return e.select("o", PV.order_entries(F.col("e")).alias("e"))
     # Without pivoting a line only contributes its keys (no value needed).
     return m.select("o", F.transform(
         F.col("m"), lambda x, i: F.struct(

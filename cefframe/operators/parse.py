@@ -78,6 +78,7 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
             header_cols.append(h.alias(_P + "h" + str(idx)))
     step2 = step1.select(
         F.col(_P + "value"), TK.header_error(pieces).alias(_P + "err"), *header_cols,
+        *([F.spark_partition_id().alias(_P + "pid")] if opts.mode != "permissive" else []),
         TK.extension_matches(TK.extension_text(pieces)).alias(_P + "m"),
         *[F.col(f"`{c}`") for c in passthrough])
 
@@ -148,7 +149,9 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
         err_all = F.coalesce(err, F.when(any_clash, F.lit(PV.TYPE_CLASH_MESSAGE)))
         names = list(typed)
         step3 = step3.select(*keep[:1], err_all.alias(_P + "err"), *keep[2:],
-                             *[typed[n].alias(_P + "t_" + str(i)) for i, n in enumerate(names)])
+                             *[typed[n].alias(_P + "t_" + str(i)) for i, n in enumerate(names)],
+                             *([F.spark_partition_id().alias(_P + "pid")]
+                               if opts.mode != "permissive" else []))
         typed = {n: F.col(_P + "t_" + str(i)) for i, n in enumerate(names)}
         step3 = _apply_mode(step3, F.col(_P + "err"), opts.mode)
 
@@ -167,12 +170,17 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
 
 
 def _apply_mode(df: DataFrame, err: Column, mode: str) -> DataFrame:
+    # The Project that defines ``err`` also carries spark_partition_id(), which
+    # is non-deterministic: Catalyst then does not push this Filter below it, so
+    # the filter reads the computed error instead of re-inlining (and, for
+    # pivoting, multiplying) the expressions it is built from.
+    barrier = F.col(_P + "pid") >= 0  # opaque to the optimizer (isNotNull would fold away)
     if mode == "dropmalformed":
-        return df.filter(err.isNull())
+        return df.filter(err.isNull() & barrier)
     if mode == "failfast":
         # A Filter (not a Project) so that count() and column pruning keep it.
         return df.filter(F.when(err.isNull(), F.lit(True))
-                         .otherwise(F.raise_error(F.concat(F.lit(FAILFAST_PREFIX), err))))
+                         .otherwise(F.raise_error(F.concat(F.lit(FAILFAST_PREFIX), err))) & barrier)
     return df
 
 
@@ -183,7 +191,8 @@ def with_parse_error(df: DataFrame, column: str = "value",
     opts = resolve(options, **kwargs)
     line = TK.repair_line(F.col(column), opts.null_value, trailing=opts.repair_trailing,
                           defensive=opts.defensive_mode)
-    return df.withColumn("_cef_error", TK.header_error(TK.split_header(line)))
+    staged = df.withColumn("_cef_pieces", TK.split_header(line))
+    return staged.withColumn("_cef_error", TK.header_error(F.col("_cef_pieces"))).drop("_cef_pieces")
 
 
 def split_malformed(df: DataFrame, schema: T.StructType, column: str = "value",

@@ -68,7 +68,7 @@ def _nonnull_by_code(raw: Column, code: Column) -> Column:
 
 
 def pivot_entries(entries: Column, with_pos: bool = False, keys: Column | None = None) -> Column:
-    """Deduplicated entries -> ``(name, src, v[, p])``.
+    """Deduplicated entries -> ``(name, src, v[, p], kind)``; see :func:`order_entries`.
 
     A key ``k`` is paired when ``kLabel`` is present with a non-null value;
     the pair becomes one entry named by the label.  Pivoted entries come
@@ -82,25 +82,29 @@ def pivot_entries(entries: Column, with_pos: bool = False, keys: Column | None =
         pos = F.array_position(ks, F.concat(k, F.lit(LABEL_SUFFIX))).cast("int")
         return F.get(entries, pos - 1)["v"]
 
-    def is_paired(e: Column) -> Column:
-        return label_of(e["k"]).isNotNull()
+    def classify(x: Column) -> Column:
+        # kind 0: paired key (becomes its label's column); 2: label consumed by
+        # a pair; 1: plain key.  Pivoted entries are listed first below, so on a
+        # name collision they win over a plain key of that name.
+        label = label_of(x["k"])
+        paired = label.isNotNull()
+        base = F.substr(x["k"], F.lit(1), F.length(x["k"]) - len(LABEL_SUFFIX))
+        consumed = (x["k"].endswith(LABEL_SUFFIX) & x["v"].isNotNull()
+                    & (F.array_position(ks, base) > 0))
+        kind = F.when(paired, F.lit(0)).when(consumed, F.lit(2)).otherwise(F.lit(1))
+        name = label_column_name(F.when(paired, label).otherwise(x["k"]))
+        fields = [name.alias("name"), x["k"].alias("src"), x["v"].alias("v")]
+        if with_pos:
+            fields.append(x["p"].alias("p"))
+        return F.struct(*fields, kind.alias("kind"))
 
-    def is_consumed_label(e: Column) -> Column:
-        base = F.regexp_replace(e["k"], LABEL_SUFFIX + "$", "")
-        base_pos = F.array_position(ks, base).cast("int")
-        return e["k"].endswith(LABEL_SUFFIX) & (base_pos > 0) & e["v"].isNotNull()
+    return F.transform(entries, classify)
 
-    def out(name: Column, e: Column) -> Column:
-        fields = [name.alias("name"), e["k"].alias("src"), e["v"].alias("v")]
-        if with_pos:
-            fields.append(e["p"].alias("p"))
-        return F.struct(*fields)
 
-    pivoted = F.transform(F.filter(entries, is_paired),
-                          lambda e: out(label_column_name(label_of(e["k"])), e))
-    plain = F.transform(F.filter(entries, lambda e: ~is_paired(e) & ~is_consumed_label(e)),
-                        lambda e: out(label_column_name(e["k"]), e))
-    return F.concat(pivoted, plain)
+def order_entries(classified: Column) -> Column:
+    """Pivoted entries first, then plain ones; consumed labels dropped."""
+    return F.concat(F.filter(classified, lambda x: x["kind"] == 0),
+                    F.filter(classified, lambda x: x["kind"] == 1))
 
 
 def staged_pivot(df: DataFrame, keys: str, vals: str, keep: list[Column],
@@ -110,6 +114,7 @@ def staged_pivot(df: DataFrame, keys: str, vals: str, keep: list[Column],
     d = df.select(*keep, dedup_last(F.col(keys), F.col(vals)).alias(prefix + "d"))
     d = d.select(*keep, prefix + "d", F.transform(F.col(prefix + "d"), lambda x: x["k"]).alias(prefix + "dk"))
     e = d.select(*keep, pivot_entries(F.col(prefix + "d"), keys=F.col(prefix + "dk")).alias(prefix + "e"))
+    e = e.select(*keep, order_entries(F.col(prefix + "e")).alias(prefix + "e"))
     coded = e.select(*keep, F.transform(F.col(prefix + "e"), lambda x: F.struct(
         x["name"].alias("name"), x["v"].alias("v"), _src_code(x["src"]).alias("c"))).alias(prefix + "e"))
     ec = F.col(prefix + "e")

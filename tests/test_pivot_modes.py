@@ -131,3 +131,16 @@ def test_failfast(spark):
 def test_quarantine_split(spark):
     good, bad = split_malformed(lines_df(spark, CORRUPT), schema(("fileid", S)))
     assert good.count() == 2 and bad.count() == 1
+
+
+def test_mode_filter_does_not_inline_the_parse(spark):
+    # The mode Filter must read the computed error column; if Catalyst pushed it
+    # down it would copy the header split (and, with pivoting, every lookup) into it.
+    from cefframe.plans.inspect import count_calls, optimized_plan
+    df = lines_df(spark, PIVOT_LINES)
+    sch = schema(("eventId", T.LongType()), ("Pivot Header", S))
+    for mode in ("dropmalformed", "failfast"):
+        plain = optimized_plan(parse_cef(df, sch, mode=mode))
+        assert count_calls(plain, "split") == 2  # literal fast path + look-behind pattern
+        pivoted = optimized_plan(parse_cef(df, sch, mode=mode, pivotFields=True))
+        assert len(pivoted) < 4 * len(optimized_plan(parse_cef(df, sch, pivotFields=True)))
