@@ -145,12 +145,23 @@ def header_struct(line: Column) -> Column:
 
 
 def extensions_map(line: Column, null_value: str = "-") -> Column:
-    """extension pairs as ``map<string,string>``; the last duplicate wins."""
+    """extension pairs as ``map<string,string>``; the last duplicate wins.
+
+    The matches and the key / value arrays are bound once (``let``) so the
+    regex does not re-run inside the de-duplication lambda; lines without a
+    repeated key skip de-duplication.
+    """
+    from .values import let
+
     matches = extension_matches(extension_text(split_header(line)))
-    keys = match_keys(matches)
-    vals = match_values(matches, null_value)
-    entries = F.arrays_zip(keys.alias("k"), vals.alias("v"))
-    # keep an entry only if no later entry has the same key
-    last = F.filter(entries, lambda e, i: F.array_position(
-        F.reverse(keys), e["k"]).cast("int") == F.size(keys) - i)
-    return F.map_from_entries(last)
+
+    def build(kv: Column) -> Column:
+        keys, vals = kv["k"], kv["v"]
+        entries = F.arrays_zip(keys.alias("k"), vals.alias("v"))
+        last = F.filter(entries, lambda e, i: F.array_position(
+            F.reverse(keys), e["k"]).cast("int") == F.size(keys) - i)
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, vals)) \
+            .otherwise(F.map_from_entries(last))
+
+    return let(matches, lambda m: let(
+        F.struct(match_keys(m).alias("k"), match_values(m, null_value).alias("v")), build))

@@ -76,6 +76,9 @@ def pivot_entries(entries: Column, with_pos: bool = False, keys: Column | None =
     ``entries`` and ``keys`` (the entries' keys) must be column references;
     without ``keys`` the key array is rebuilt inside every lambda call.
     """
+    # ``keys`` is referenced more than once below; that keeps Catalyst from
+    # collapsing its (array) definition into these lambdas, where it would be
+    # re-evaluated per element.
     ks = keys if keys is not None else F.transform(entries, lambda e: e["k"])
 
     def label_of(k: Column) -> Column:
