@@ -1,8 +1,9 @@
 """The queries of the training-data operators, and their SQL where SQL can express them."""
 
-from . import bpe, exact_dedup, mixing, token_files
+from . import bpe, exact_dedup, mixing, token_files, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op3_bpe": bpe.op3_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_mixing": mixing.op8_mixing,

@@ -10,10 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cefframe.llm import bpe, exact_dedup, mixing
+from cefframe.llm import bpe, exact_dedup, mixing, toxicity
 from cefframe.llm.common import new_run, stored, table
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score reaches their language's threshold go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays: the one with the smallest id."""
     return exact_dedup.drop_copies(docs)
@@ -30,6 +35,7 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("exact dedup", exact_stage),
     ("mixing sources", mixing_stage),
     ("BPE encoding and decoding", encode_stage),
