@@ -1,16 +1,19 @@
 """The queries of the training-data operators, and their SQL where SQL can express them."""
 
-from . import bpe, exact_dedup, mixing, token_files, toxicity
+from . import bpe, chat, exact_dedup, mixing, near_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op3_bpe": bpe.op3_bpe,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_chat": chat.op7_chat,
     "op8_mixing": mixing.op8_mixing,
     "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op7_chat": chat.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }

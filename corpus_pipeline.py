@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cefframe.llm import bpe, exact_dedup, mixing, toxicity
+from cefframe.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
 from cefframe.llm.common import new_run, stored, table
 
 
@@ -24,6 +24,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays: the one with the smallest id."""
+    return near_dedup.drop_near_copies(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 3 times)."""
     return mixing.mixed_rows(docs)
@@ -37,6 +42,7 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("toxicity", toxicity_stage),
     ("exact dedup", exact_stage),
+    ("MinHash near-dedup", near_stage),
     ("mixing sources", mixing_stage),
     ("BPE encoding and decoding", encode_stage),
 ]
