@@ -1,6 +1,6 @@
 """The queries of the training-data operators, and their SQL where SQL can express them."""
 
-from . import bpe, chat, exact_dedup, mixing, near_dedup, token_files, toxicity
+from . import bpe, chat, exact_dedup, mixing, near_dedup, token_files, topk, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -9,6 +9,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_chat": chat.op7_chat,
     "op8_mixing": mixing.op8_mixing,
+    "op9_topk": topk.op9_topk,
     "op10_token_files": token_files.op10_token_files,
 }
 
@@ -16,4 +17,5 @@ ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op7_chat": chat.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op9_topk": topk.ORACLE,
 }
