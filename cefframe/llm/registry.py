@@ -1,10 +1,12 @@
 """The queries of the training-data operators, and their SQL where SQL can express them."""
 
-from . import bpe, chat, exact_dedup, mixing, near_dedup, token_files, topk, toxicity
+from . import bpe, chat, exact_dedup, licenses, mixing, near_dedup, repeats, token_files, topk, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_repeats": repeats.op2_repeats,
     "op3_bpe": bpe.op3_bpe,
+    "op4_licenses": licenses.op4_licenses,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_chat": chat.op7_chat,
