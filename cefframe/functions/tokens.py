@@ -16,11 +16,6 @@ from ..schema import HEADER_FIELDS
 HEADER_SPLIT = r"(?<!\\)\|"                               # pipe not preceded by a backslash
 PAIR_PATTERN = r"(?m)([\w._-]+)=(.+?)(?=$|\s[\w._-]+=)"   # key=value up to the next " key="
 DEFENSIVE_PATTERN = r"([\w\d])=($|\s)"                    # key= with an empty value
-# --- end of fixed values ---
-
-# Java String.trim removes every char <= U+0020 from both ends.
-_JAVA_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
-
 MISSING_MESSAGES = (
     "Missing device vendor in record",
     "Missing device product in record",
@@ -30,6 +25,12 @@ MISSING_MESSAGES = (
     "Missing severity in record",
 )
 PIPE_COUNT_MESSAGE = "Record does not contain the correct number of pipe separated values"
+# --- end of fixed values ---
+
+# Java String.trim removes every char <= U+0020 from both ends.
+_JAVA_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
+# Written by this library: a pipe after an even number of backslashes.
+EXACT_SPLIT = r"(?<=(?<!\\)(?:\\\\){0,64})\|"
 
 
 def _java_replacement_literal(text: str) -> str:
@@ -38,11 +39,17 @@ def _java_replacement_literal(text: str) -> str:
 
 
 def repair_line(value: Column, null_value: str, *, trailing: bool = True,
-                defensive: bool = False) -> Column:
-    """Trailing ``=`` gets the null token; defensive mode fills every empty ``key=``."""
+                defensive: bool = False, escaped: bool = False) -> Column:
+    """Trailing ``=`` gets the null token; defensive mode fills every empty ``key=``.
+
+    ``escaped``: the line comes from our writer, so an escaped ``=`` at its end belongs to a value.
+    """
     line = value
     if trailing:
-        line = F.when(value.endswith("="), F.concat(value, F.lit(null_value))).otherwise(value)
+        empty = value.endswith("=")
+        if escaped:
+            empty = empty & value.rlike(r"(?<!\\)(?:\\\\)*=$")
+        line = F.when(empty, F.concat(value, F.lit(null_value))).otherwise(value)
     if defensive:
         filled = F.regexp_replace(
             line, DEFENSIVE_PATTERN, "$1=" + _java_replacement_literal(null_value) + "$2")
@@ -50,13 +57,14 @@ def repair_line(value: Column, null_value: str, *, trailing: bool = True,
     return line
 
 
-def split_header(line: Column) -> Column:
+def split_header(line: Column, escaped: bool = False) -> Column:
     """At most eight pieces: seven header fields and the extension text.
 
     Lines without an escaped pipe take Java's literal one-character split
     (no regex engine); the look-behind pattern is used only when needed.
     """
-    return F.when(line.contains("\\|"), F.split(line, HEADER_SPLIT, 8)).otherwise(
+    pattern = EXACT_SPLIT if escaped else HEADER_SPLIT
+    return F.when(line.contains("\\|"), F.split(line, pattern, 8)).otherwise(
         F.split(line, r"\|", 8))
 
 
@@ -69,12 +77,25 @@ def header_error(pieces: Column) -> Column:
     return expr.otherwise(F.lit(PIPE_COUNT_MESSAGE))
 
 
+def whole_header(pieces: Column) -> Column:
+    """Whether :func:`header_error` is null, as a test of its own (one reference to the pieces)."""
+    return F.coalesce(F.size(pieces), F.lit(0)) == 8
+
+
+def header_error_text(pieces: Column) -> Column:
+    """The reason for a line that is known to be malformed (one reference to the pieces)."""
+    messages = F.array(*[F.lit(m) for m in MISSING_MESSAGES])
+    return F.coalesce(F.get(messages, F.size(pieces) - 1), F.lit(PIPE_COUNT_MESSAGE))
+
+
 def header_field(pieces: Column, index: int) -> Column:
     return F.get(pieces, index)
 
 
-def extension_text(pieces: Column) -> Column:
+def extension_text(pieces: Column, collapse: bool = True) -> Column:
     """Piece 7 with ``\\\\`` collapsed to ``\\`` (``\\=`` and ``\\n`` stay)."""
+    if not collapse:
+        return F.get(pieces, 7)
     return F.replace(F.get(pieces, 7), F.lit("\\\\"), F.lit("\\"))
 
 
@@ -127,15 +148,23 @@ def lookup(rev_keys: Column, rev_values: Column, key: str | Column) -> Column:
     return F.get(rev_values, pos - 1)
 
 
+def _decoded(value: Column, codes: dict[str, str]) -> Column:
+    """One pass from the left: between doubled backslashes, each single one starts a code."""
+    def part(p: Column) -> Column:
+        for code, plain in codes.items():
+            p = F.replace(p, F.lit(code), F.lit(plain))
+        return p
+    decoded = F.array_join(F.transform(F.split(value, r"\\\\"), part), "\\")
+    return F.when(value.contains("\\"), decoded).otherwise(value)
+
+
 def unescape_extension(value: Column) -> Column:
-    """Opt-in inverse of the writer's extension escaping."""
-    v = F.replace(value, F.lit("\\="), F.lit("="))
-    v = F.replace(v, F.lit("\\n"), F.lit("\n"))
-    return v
+    """Opt-in inverse of the writer's extension escaping, on text that was not collapsed."""
+    return _decoded(value, {"\\=": "=", "\\n": "\n"})
 
 
 def unescape_header(value: Column) -> Column:
-    return F.replace(value, F.lit("\\|"), F.lit("|"))
+    return _decoded(value, {"\\|": "|"})
 
 
 def header_struct(line: Column) -> Column:

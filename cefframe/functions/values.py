@@ -110,7 +110,8 @@ def _cef_layout_timestamp(v: Column) -> Column:
 
 def to_timestamp(v: Column) -> Column:
     """F1 ``cef_timestamp``: epoch millis, ISO-8601, or one of the 8 CEF layouts."""
-    digits = v.rlike(r"^[+-]?\d{1,19}$")
+    # Any number of leading zeros, then as many digits as a long may have.
+    digits = v.rlike(r"^[+-]?0*\d{1,19}$")
     millis = v.try_cast("bigint")
     in_range = millis.between(-_MAX_EPOCH_MILLIS, _MAX_EPOCH_MILLIS)
     return (F.when(digits, F.when(in_range, F.timestamp_millis(millis)))

@@ -1,10 +1,11 @@
 """Schema inference: the seven headers, then every extension key (or pivot
 label) in first-seen order, typed by the key dictionary.
 
-Runs as a Spark job over at most ``maxRecords`` lines: the lines are taken
-in (file, offset) order, their pairs are exploded and aggregated per name on
-the executors; only the distinct names (a few hundred at most) reach the
-driver.
+Runs as one Spark aggregate: pairs are exploded on the executors and each name keeps its smallest
+position, ``min(struct(order, place in line, key))``; there is no sort.  Only the distinct names come
+back to the driver, one row per column of the schema that is being built; more than ``MOST_NAMES``
+of them are refused, since no table can have that many columns.  By default every line counts;
+``maxRecords`` limits inference to the first lines.
 """
 
 from __future__ import annotations
@@ -27,55 +28,55 @@ log = logging.getLogger(__name__)
 CORRUPT_CONFLICT_MESSAGE = ("The specified corrupt column name conflicts with a field name "
                             "in the data set.")
 ORDER_COL = "__cef_ord"
+MOST_NAMES = 100_000
 
 
 def _names(lines: DataFrame, column: str, order: Column, opts: CefOptions) -> DataFrame:
-    """Per line: ``o`` (order) and ``e``, an array of ``struct(name, src, p)``.
+    """One row per pair that gives a column: ``o`` (order), ``name``, ``src`` (key), ``p`` (place).
 
     Built in stages over column references so the regex runs once per line.
     """
     line = TK.repair_line(F.col(column), opts.null_value, trailing=opts.repair_trailing,
-                          defensive=opts.defensive_mode)
-    m = lines.select(order.alias("o"),
-                     TK.extension_matches(TK.extension_text(TK.split_header(line))).alias("m"))
+                          defensive=opts.defensive_mode, escaped=opts.unescape)
+    m = lines.select(order.alias("o"), TK.extension_matches(
+        TK.extension_text(TK.split_header(line, escaped=opts.unescape), collapse=not opts.unescape)).alias("m"))
     if opts.pivot_fields:
-        kv = m.select("o", TK.match_keys(F.col("m")).alias("k"),
-                      TK.match_values(F.col("m"), opts.null_value).alias("v"))
-        kv = kv.select("o", "k", "v", F.sequence(F.lit(0), F.size("k") - 1).alias("p"))
-        d = kv.select("o", PV.dedup_last(F.col("k"), F.col("v"), F.col("p")).alias("d"))
-        d = d.select("o", "d", F.transform("d", lambda x: x["k"]).alias("dk"))
-        e = d.select("o", PV.pivot_entries(F.col("d"), with_pos=True, keys=F.col("dk")).alias("e"))
-        return e.select("o", PV.order_entries(F.col("e")).alias("e"))
+        arrays = PV.label_arrays(m, F.col("m"), [F.col("o")], opts.null_value, "_", positions=True)
+        return PV.entries(arrays, [F.col("o")], "_")
     # Without pivoting a line only contributes its keys (no value needed).
-    return m.select("o", F.transform(
-        F.col("m"), lambda x, i: F.struct(
-            PV.label_column_name(F.substring_index(x, "=", 1)).alias("name"),
-            F.substring_index(x, "=", 1).alias("src"), i.alias("p"))).alias("e"))
+    keys = m.select("o", F.posexplode(TK.match_keys(F.col("m"))).alias("p", "src"))
+    return keys.select("o", PV.label_column_name(F.col("src")).alias("name"), "src", "p")
 
 
 def first_seen_names(lines: DataFrame, opts: CefOptions, column: str = "value",
                      order: Column | None = None) -> list[tuple[Any, str, str]]:
     """Distinct names with (first position, name, source key), aggregated on executors.
 
-    ``order`` is a sortable per-line column (earlier lines sort first).
+    ``order`` is a sortable per-line column (earlier lines sort first).  Without it names are in
+    alphabetical order, and of several source keys of one name the first in order counts.
     """
-    ordcol = order if order is not None else F.monotonically_increasing_id()
-    exploded = (_names(lines, column, ordcol, opts)
-                .select("o", F.explode("e").alias("e"))
-                .select(F.col("e.name").alias("name"),
-                        F.struct(F.col("o").alias("o"), F.col("e.p").alias("p"),
-                                 F.col("e.src").alias("src")).alias("first")))
-    agg = exploded.groupBy("name").agg(F.min("first").alias("first"))
-    rows = agg.collect()  # one row per distinct name
+    position = order if order is not None else F.lit(0)
+    names = _names(lines, column, position, opts)
+    place = F.col("p") if order is not None else F.lit(0)
+    agg = names.groupBy("name").agg(F.min(F.struct(F.col("o"), place.alias("p"), F.col("src"))).alias("first"))
+    rows = agg.limit(MOST_NAMES + 1).collect()  # one row per distinct name
+    if len(rows) > MOST_NAMES:
+        raise ValueError(f"More than {MOST_NAMES} distinct extension keys: the keys look like free text. "
+                         "Supply a schema, or set maxRecords.")
+    if order is None:
+        return [(r["name"], r["name"], r["first"]["src"]) for r in rows if r["name"] is not None]
     return [((r["first"]["o"], r["first"]["p"]), r["name"], r["first"]["src"]) for r in rows]
 
 
 def build_schema(found: Iterable[tuple[Any, str, str]], opts: CefOptions,
-                 case_sensitive: bool = False) -> T.StructType:
+                 case_sensitive: bool = False, inputs: Iterable[str] = ()) -> T.StructType:
+    """The schema of the names found; ``inputs`` (partition columns) have their names to themselves."""
+    rule = (lambda n: n) if case_sensitive else str.lower
+    taken = {rule(c) for c in inputs}
     fields = S.header_schema()
     seen = {f.name for f in fields}
     for _, name, src in sorted(found, key=lambda t: t[0]):
-        if name is None or name in seen:
+        if name is None or name in seen or rule(name) in taken:
             continue
         seen.add(name)
         fields.append(T.StructField(name, S.key_type(src), True))
@@ -98,22 +99,31 @@ def build_schema(found: Iterable[tuple[Any, str, str]], opts: CefOptions,
 def infer_cef_schema(df: DataFrame, column: str = "value",
                      options: CefOptions | Mapping[str, Any] | None = None,
                      order: Column | None = None, **kwargs: Any) -> T.StructType:
-    """Infer a CEF schema from the first ``maxRecords`` rows of a string column.
+    """Infer a CEF schema from a string column.
 
-    With ``order`` the first rows are those with the smallest ``order``;
-    without it, any ``maxRecords`` rows (``limit``).  For files use
-    :func:`cefframe.read_cef`, which orders lines by file and offset.
+    All rows count, unless ``maxRecords`` is given: then the ``maxRecords`` rows with the smallest
+    ``order`` do, and ``order`` is required.  ``order`` also decides the order of the columns;
+    without it they are in alphabetical order.
     """
     opts = resolve(options, **kwargs)
     started = time.monotonic()
     n = opts.effective_max_records
-    if order is not None:
-        lines = df.select(F.col(column), order.alias(ORDER_COL)).orderBy(ORDER_COL).limit(n)
-        found = first_seen_names(lines, opts, column, F.col(ORDER_COL))
-    else:
-        found = first_seen_names(df.select(column).limit(n), opts, column)
+    if n is not None and order is None:
+        raise ValueError("maxRecords needs an order: without one, the first rows are not defined.")
+    lines = df.select(_quoted(column).alias(column), *([order.alias(ORDER_COL)] if order is not None else []))
+    if n is not None:
+        lines = lines.orderBy(ORDER_COL).limit(n)
+    found = first_seen_names(lines, opts, column, F.col(ORDER_COL) if order is not None else None)
     case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
     result = build_schema(found, opts, case_sensitive)
-    log.info("Inferred CEF schema of %d columns from up to %d lines in %.1f s",
-             len(result.fields), n, time.monotonic() - started)
+    log_inferred(result, n, started)
     return result
+
+
+def log_inferred(schema: T.StructType, n: int | None, started: float) -> None:
+    log.info("Inferred CEF schema of %d columns from %s in %.1f s", len(schema.fields),
+             "all lines" if n is None else f"up to {n} lines", time.monotonic() - started)
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -2,14 +2,16 @@
 
 Plan shape (one narrow stage, no shuffle, no Python worker)::
 
-    Project [value, split(line, '(?<!\\\\)\\|', 8) AS pieces, <passthrough>]
-    Project [error, headers..., regexp_extract_all(ext, pair, 0) AS matches]
-    Filter  [mode: error IS NULL | raise_error(error)]       (dropmalformed/failfast)
-    Project [reverse(keys), reverse(values)]                 (one regex pass per row)
-    Project [typed columns via array_position + try_cast]
-
-Columns the query does not use are pruned by Catalyst: a header-only query
-never runs the extension regex.
+    Project [value, pieces, <input columns>]                   split of the header
+    Filter  [mode: error IS NULL | raise_error(error)]         (dropmalformed / failfast)
+    Project [headers, error, regexp_extract_all(ext, pair, 0)] one regex pass per row
+    Project [keys]            Project [raw value per column]   Project [typed columns]
+    Expand  [typed columns behind it: computed once]
+    Project [columns of the schema]
+
+Columns the query does not use are pruned by Catalyst: a header-only query never runs the extension
+regex.  A filter on a header or an input column (directory partitions included) passes below the
+parse; a filter on an extension column reads the computed column.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..functions import tokens as TK
 from ..functions import values as V
+from ..functions.once import computed_once
 from ..options import CefOptions, resolve
 from . import pivot as PV
 
@@ -46,141 +49,120 @@ def _needs_label_map(fields: list[T.StructField]) -> bool:
     return any(f.name.endswith(suf) and S.is_header(f.name[: -len(suf)]) for f in fields)
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def name_rule(df: DataFrame):
+    """How this session compares column names: as they are, or ignoring case."""
+    return (lambda n: n) if df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true" else str.lower
+
+
 def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
               options: CefOptions | Mapping[str, Any] | None = None, **kwargs: Any) -> DataFrame:
     """Parse CEF lines in ``column`` into the columns of ``schema``.
 
-    Other input columns (e.g. directory partition values) are kept after the
-    parsed columns.  ``options`` / keywords: ``mode``, ``nullValue``,
+    Other input columns (e.g. directory partition values) are kept after the parsed columns.  An
+    input column that has the name of a schema column takes that column's place, as the partition
+    values of Spark's file tables do.  ``options`` / keywords: ``mode``, ``nullValue``,
     ``pivotFields``, ``defensiveMode``, ``corruptRecordColumnName``, ...
     """
     opts = resolve(options, **kwargs)
     nv = opts.null_value
     corrupt = opts.corrupt_record_column_name if opts.mode == "permissive" else None
-    out_fields = [f for f in schema.fields if not (corrupt and f.name == corrupt)]
-    headers = [(f, _header_index(f.name)) for f in out_fields]
+    rule = name_rule(df)
+    inputs = {rule(c): c for c in df.columns if c != column}
+    parsed = [f for f in schema.fields if rule(f.name) not in inputs]
+    headers = [(f, _header_index(f.name)) for f in parsed if not (corrupt and f.name == corrupt)]
     ext_fields = [f for f, idx in headers if idx is None]
-    passthrough = [c for c in df.columns
-                   if c != column and c not in {f.name for f in schema.fields}]
-
-    value = F.col(column)
-    line = TK.repair_line(value, nv, trailing=opts.repair_trailing, defensive=opts.defensive_mode)
-    step1 = df.select(value.alias(_P + "value"), TK.split_header(line).alias(_P + "pieces"),
-                      *[F.col(f"`{c}`") for c in passthrough])
 
+    value = _quoted(column)
+    line = TK.repair_line(value, nv, trailing=opts.repair_trailing, defensive=opts.defensive_mode,
+                          escaped=opts.unescape)
+    passed = {c: f"{_P}in{i}" for i, c in enumerate(inputs.values())}
+    passed_cols = [F.col(p) for p in passed.values()]
+    step = df.select(value.alias(_P + "value"), TK.split_header(line, escaped=opts.unescape).alias(_P + "pieces"),
+                     *[_quoted(c).alias(p) for c, p in passed.items()])
     pieces = F.col(_P + "pieces")
+    err = F.col(_P + "err")
+    step = step.select(_P + "value", _P + "pieces", TK.header_error(pieces).alias(_P + "err"), *passed_cols)
+    if not opts.pivot_fields:
+        step = _apply_mode(step, TK.whole_header(pieces), TK.header_error_text(pieces), opts.mode)
+
     header_cols = []
     for f, idx in headers:
         if idx is not None:
             h = TK.header_field(pieces, idx)
-            if opts.unescape:
-                h = TK.unescape_header(h)
-            header_cols.append(h.alias(_P + "h" + str(idx)))
-    step2 = step1.select(
-        F.col(_P + "value"), TK.header_error(pieces).alias(_P + "err"), *header_cols,
-        *([F.spark_partition_id().alias(_P + "pid")] if opts.mode != "permissive" else []),
-        TK.extension_matches(TK.extension_text(pieces)).alias(_P + "m"),
-        *[F.col(f"`{c}`") for c in passthrough])
-
-    err = F.col(_P + "err")
-    if not opts.pivot_fields:
-        step2 = _apply_mode(step2, err, opts.mode)
+            header_cols.append((TK.unescape_header(h) if opts.unescape else h).alias(f"{_P}h{idx}"))
+    heads = [F.col(f"{_P}h{idx}") for _, idx in headers if idx is not None]
+    keep = [F.col(_P + "value"), err, *heads, *passed_cols]
+    ext = TK.extension_text(pieces, collapse=not opts.unescape)
+    step = step.select(_P + "value", err, *header_cols, *passed_cols, TK.extension_matches(ext).alias(_P + "m"))
 
     m = F.col(_P + "m")
-    keys = TK.match_keys(m)
-    if _needs_label_map(ext_fields) or opts.pivot_fields:
-        keys = F.transform(keys, PV.label_column_name)
-    vals = TK.match_values(m, nv)
-    keep = [F.col(_P + "value"), err, *[F.col(_P + "h" + str(i)) for f, i in headers if i is not None],
-            *[F.col(f"`{c}`") for c in passthrough]]
-
-    clash_flags: list[Column] = []
+    once: dict[str, str] = {}
     if opts.pivot_fields:
-        staged = step2.select(*keep, TK.match_keys(m).alias(_P + "rk"), vals.alias(_P + "rv"))
-        step3 = PV.staged_pivot(staged, _P + "rk", _P + "rv", keep, _P)
+        step = PV.label_arrays(step, m, keep, nv, _P)
+        step, flags = PV.pivoted_columns(step, ext_fields, keep, opts, _P)
+        clash = functools.reduce(lambda a, b: a | b, flags, F.lit(False))
+        step = step.withColumn(_P + "perr", F.coalesce(err, F.when(clash, F.lit(PV.TYPE_CLASH_MESSAGE))))
+        once[_P + "perr"] = _P + "error"
     else:
-        # Only the keys are mapped over; a value is cut out of its match just
-        # for the columns that are selected (no per-element lambda for values).
-        step3 = step2.select(*keep, F.reverse(keys).alias(_P + "k"), F.reverse(m).alias(_P + "v"))
-
-    k, v = F.col(_P + "k"), F.col(_P + "v")
-    # Raw (string) value of every extension column in its own Project, so the
-    # array lookup runs once per column even when the typed conversion below
-    # uses the value several times.
-    raw_cols = []
-    for i, f in enumerate(ext_fields):
-        raw = TK.lookup(k, v, f.name)
-        if not opts.pivot_fields:
-            suffixed = f.name.endswith(S.CONFLICT_SUFFIX) and S.is_header(f.name[: -len(S.CONFLICT_SUFFIX)])
-            raw = TK.match_text(raw, None if suffixed else len(f.name))
-        raw_cols.append(raw.alias(_P + "r" + str(i)))
-        if opts.pivot_fields:
-            pos = F.array_position(k, F.lit(f.name)).cast("int") - 1
-            raw_cols.append(F.get(F.col(_P + "c"), pos).alias(_P + "rc" + str(i)))
-            raw_cols.append(F.get(F.col(_P + "n"), pos).alias(_P + "rn" + str(i)))
-    step3 = step3.select(*keep, *raw_cols)
-    if not opts.pivot_fields or opts.unescape:
-        # trim / null token / unescape in their own Project, over column references
-        cleaned = []
-        for i in range(len(ext_fields)):
-            r = F.col(_P + "r" + str(i))
-            if not opts.pivot_fields:
-                r = TK.clean_value(r, nv)
-            if opts.unescape:
-                r = TK.unescape_extension(r)
-            cleaned.append(r.alias(_P + "r" + str(i)))
-        extra = [F.col(c) for c in step3.columns
-                 if c.startswith(_P + "rc") or c.startswith(_P + "rn")]
-        step3 = step3.select(*keep, *extra, *cleaned)
-
-    typed: dict[str, Column] = {}
-    for i, f in enumerate(ext_fields):
-        raw = F.col(_P + "r" + str(i))
-        if opts.pivot_fields:
-            val, clash = PV.typed_pivot_value(raw, F.col(_P + "rc" + str(i)),
-                                              F.col(_P + "rn" + str(i)), f.dataType)
-            typed[f.name] = val
-            clash_flags.append(clash)
-        else:
-            typed[f.name] = V.convert(raw, f.dataType)
-
+        step = _plain_columns(step, m, ext_fields, keep, opts)
+    once |= {f"{_P}t{i}": f"{_P}c{i}" for i in range(len(ext_fields))}
+    step = computed_once(step.select(*keep, *once), once)
+    error = F.col(_P + "error") if opts.pivot_fields else err
     if opts.pivot_fields:
-        any_clash = functools.reduce(lambda a, b: a | b, clash_flags, F.lit(False))
-        err_all = F.coalesce(err, F.when(any_clash, F.lit(PV.TYPE_CLASH_MESSAGE)))
-        names = list(typed)
-        step3 = step3.select(*keep[:1], err_all.alias(_P + "err"), *keep[2:],
-                             *[typed[n].alias(_P + "t_" + str(i)) for i, n in enumerate(names)],
-                             *([F.spark_partition_id().alias(_P + "pid")]
-                               if opts.mode != "permissive" else []))
-        typed = {n: F.col(_P + "t_" + str(i)) for i, n in enumerate(names)}
-        step3 = _apply_mode(step3, F.col(_P + "err"), opts.mode)
+        step = _apply_mode(step, error.isNull(), error, opts.mode)
 
+    place = {f.name: F.col(f"{_P}c{i}") for i, f in enumerate(ext_fields)}
     outputs: list[Column] = []
     for f in schema.fields:
-        if corrupt and f.name == corrupt:
-            outputs.append(F.when(F.col(_P + "err").isNotNull(), F.col(_P + "value"))
+        if rule(f.name) in inputs:
+            outputs.append(F.col(passed[inputs[rule(f.name)]]).alias(f.name))
+        elif corrupt and f.name == corrupt:
+            # A null line is malformed as well; an empty text says so.
+            outputs.append(F.when(error.isNotNull(), F.coalesce(F.col(_P + "value"), F.lit("")))
                            .cast(f.dataType).alias(f.name))
-            continue
-        idx = _header_index(f.name)
-        if idx is not None:
-            outputs.append(F.col(_P + "h" + str(idx)).cast(f.dataType).alias(f.name))
+        elif (idx := _header_index(f.name)) is not None:
+            outputs.append(F.col(f"{_P}h{idx}").cast(f.dataType).alias(f.name))
         else:
-            outputs.append(typed[f.name].cast(f.dataType).alias(f.name))
-    return step3.select(*outputs, *[F.col(f"`{c}`") for c in passthrough])
+            outputs.append(place[f.name].cast(f.dataType).alias(f.name))
+    named = {rule(f.name) for f in schema.fields}
+    return step.select(*outputs, *[F.col(passed[c]).alias(c) for k, c in inputs.items() if k not in named])
 
 
-def _apply_mode(df: DataFrame, err: Column, mode: str) -> DataFrame:
-    # The Project that defines ``err`` also carries spark_partition_id(), which
-    # is non-deterministic: Catalyst then does not push this Filter below it, so
-    # the filter reads the computed error instead of re-inlining (and, for
-    # pivoting, multiplying) the expressions it is built from.
-    barrier = F.col(_P + "pid") >= 0  # opaque to the optimizer (isNotNull would fold away)
+def _plain_columns(step: DataFrame, m: Column, ext_fields: list[T.StructField], keep: list[Column],
+                   opts: CefOptions) -> DataFrame:
+    """Typed extension columns ``t0``, ``t1``, ...; each stage is a Project over column references."""
+    keys = TK.match_keys(m)
+    if _needs_label_map(ext_fields):
+        keys = F.transform(keys, PV.label_column_name)
+    # Only the keys are mapped over; a value is cut out of its match just for the columns that are
+    # selected (no per-element lambda for values).
+    step = step.select(*keep, F.reverse(keys).alias(_P + "k"), F.reverse(m).alias(_P + "v"))
+    raw = []
+    for i, f in enumerate(ext_fields):
+        suffixed = f.name.endswith(S.CONFLICT_SUFFIX) and S.is_header(f.name[: -len(S.CONFLICT_SUFFIX)])
+        match = TK.lookup(F.col(_P + "k"), F.col(_P + "v"), f.name)
+        raw.append(TK.match_text(match, None if suffixed else len(f.name)).alias(f"{_P}r{i}"))
+    step = step.select(*keep, *raw)
+    cleaned = []
+    for i in range(len(ext_fields)):
+        r = TK.clean_value(F.col(f"{_P}r{i}"), opts.null_value)
+        cleaned.append((TK.unescape_extension(r) if opts.unescape else r).alias(f"{_P}r{i}"))
+    step = step.select(*keep, *cleaned)
+    return step.select(*keep, *[V.convert(F.col(f"{_P}r{i}"), f.dataType).alias(f"{_P}t{i}")
+                                for i, f in enumerate(ext_fields)])
+
+
+def _apply_mode(df: DataFrame, whole: Column, reason: Column, mode: str) -> DataFrame:
+    """A Filter for the mode; it may be pushed down, so it refers to cheap columns as rarely as it can."""
     if mode == "dropmalformed":
-        return df.filter(err.isNull() & barrier)
+        return df.filter(whole)
     if mode == "failfast":
         # A Filter (not a Project) so that count() and column pruning keep it.
-        return df.filter(F.when(err.isNull(), F.lit(True))
-                         .otherwise(F.raise_error(F.concat(F.lit(FAILFAST_PREFIX), err))) & barrier)
+        return df.filter(F.when(whole, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(FAILFAST_PREFIX), reason))))
     return df
 
 
@@ -190,8 +172,8 @@ def with_parse_error(df: DataFrame, column: str = "value",
     """Add ``_cef_error`` (reason a line is malformed, null if well formed)."""
     opts = resolve(options, **kwargs)
     line = TK.repair_line(F.col(column), opts.null_value, trailing=opts.repair_trailing,
-                          defensive=opts.defensive_mode)
-    staged = df.withColumn("_cef_pieces", TK.split_header(line))
+                          defensive=opts.defensive_mode, escaped=opts.unescape)
+    staged = df.withColumn("_cef_pieces", TK.split_header(line, escaped=opts.unescape))
     return staged.withColumn("_cef_error", TK.header_error(F.col("_cef_pieces"))).drop("_cef_pieces")
 
 

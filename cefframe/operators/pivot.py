@@ -1,8 +1,9 @@
 """Label pivot (``pivotFields``): ``k=v kLabel=Name`` becomes column ``Name``.
 
-Works on per-row arrays.  Each stage is its own Project over column
-references, so the (large) entry arrays are computed once per row and the
-generated code stays small even for wide schemas.
+Per row there are three arrays, last pair of the line first: keys ``k``, values ``v`` and names
+``n`` (the label of a paired key, else null).  A column looks itself up in them: by its name among
+the labels, or else by its key.  The type of a key is known from the dictionary, so only columns
+that really come from a label need their source's type at run time.
 """
 
 from __future__ import annotations
@@ -12,10 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..functions import tokens as TK
 from ..functions import values as V
+from ..options import CefOptions
 
+# --- fixed values (the suffix of label keys, the message of a type clash) ---
 LABEL_SUFFIX = "Label"
 TYPE_CLASH_MESSAGE = "An error occurred parsing the record."
+# --- end of fixed values ---
 
 # Type codes of source keys (0 = string / not in the dictionary).
 _TYPES = (T.FloatType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.TimestampType())
@@ -36,21 +41,6 @@ def label_column_name(label: Column) -> Column:
                   F.concat(label, F.lit(S.CONFLICT_SUFFIX))).otherwise(label)
 
 
-def dedup_last(keys: Column, vals: Column, pos: Column | None = None) -> Column:
-    """Entries ``(k, v[, p])`` in reverse text order, keeping only the last duplicate.
-
-    ``keys`` / ``vals`` should be column references (they are used in a lambda).
-    """
-    cols = [keys.alias("k"), vals.alias("v")]
-    if pos is not None:
-        cols.append(pos.alias("p"))
-    rev = F.reverse(F.arrays_zip(*cols))
-    rk = F.reverse(keys)
-    # the quadratic filter only runs for lines that repeat a key
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), rev).otherwise(
-        F.filter(rev, lambda e, i: F.array_position(rk, e["k"]).cast("int") == i + 1))
-
-
 def _src_code(src: Column) -> Column:
     expr = None
     for i, dt in enumerate(_TYPES, start=1):
@@ -67,75 +57,98 @@ def _nonnull_by_code(raw: Column, code: Column) -> Column:
     return expr.otherwise(raw.isNotNull())
 
 
-def pivot_entries(entries: Column, with_pos: bool = False, keys: Column | None = None) -> Column:
-    """Deduplicated entries -> ``(name, src, v[, p], kind)``; see :func:`order_entries`.
+def label_arrays(df: DataFrame, m: Column, keep: list[Column], null_value: str, prefix: str,
+                 positions: bool = False) -> DataFrame:
+    """``k``, ``v``, ``n`` (and ``p``, places in the line, if asked) from the matches ``m``.
 
-    A key ``k`` is paired when ``kLabel`` is present with a non-null value;
-    the pair becomes one entry named by the label.  Pivoted entries come
-    first, so on a name collision they win over a plain key of that name.
-    ``entries`` and ``keys`` (the entries' keys) must be column references;
-    without ``keys`` the key array is rebuilt inside every lambda call.
+    A key that is repeated keeps its last value.  Each stage is a Project over column references, so
+    an array is built once per row.
     """
-    # ``keys`` is referenced more than once below; that keeps Catalyst from
-    # collapsing its (array) definition into these lambdas, where it would be
-    # re-evaluated per element.
-    ks = keys if keys is not None else F.transform(entries, lambda e: e["k"])
-
-    def label_of(k: Column) -> Column:
-        pos = F.array_position(ks, F.concat(k, F.lit(LABEL_SUFFIX))).cast("int")
-        return F.get(entries, pos - 1)["v"]
-
-    def classify(x: Column) -> Column:
-        # kind 0: paired key (becomes its label's column); 2: label consumed by
-        # a pair; 1: plain key.  Pivoted entries are listed first below, so on a
-        # name collision they win over a plain key of that name.
-        label = label_of(x["k"])
-        paired = label.isNotNull()
-        base = F.substr(x["k"], F.lit(1), F.length(x["k"]) - len(LABEL_SUFFIX))
-        consumed = (x["k"].endswith(LABEL_SUFFIX) & x["v"].isNotNull()
-                    & (F.array_position(ks, base) > 0))
-        kind = F.when(paired, F.lit(0)).when(consumed, F.lit(2)).otherwise(F.lit(1))
-        name = label_column_name(F.when(paired, label).otherwise(x["k"]))
-        fields = [name.alias("name"), x["k"].alias("src"), x["v"].alias("v")]
-        if with_pos:
-            fields.append(x["p"].alias("p"))
-        return F.struct(*fields, kind.alias("kind"))
-
-    return F.transform(entries, classify)
-
-
-def order_entries(classified: Column) -> Column:
-    """Pivoted entries first, then plain ones; consumed labels dropped."""
-    return F.concat(F.filter(classified, lambda x: x["kind"] == 0),
-                    F.filter(classified, lambda x: x["kind"] == 1))
-
-
-def staged_pivot(df: DataFrame, keys: str, vals: str, keep: list[Column],
-                 prefix: str) -> DataFrame:
-    """Add ``<prefix>k`` (names), ``<prefix>v`` (values), ``<prefix>c`` (source type
-    code) and ``<prefix>n`` (value non-null under its source type) arrays."""
-    d = df.select(*keep, dedup_last(F.col(keys), F.col(vals)).alias(prefix + "d"))
-    d = d.select(*keep, prefix + "d", F.transform(F.col(prefix + "d"), lambda x: x["k"]).alias(prefix + "dk"))
-    e = d.select(*keep, pivot_entries(F.col(prefix + "d"), keys=F.col(prefix + "dk")).alias(prefix + "e"))
-    e = e.select(*keep, order_entries(F.col(prefix + "e")).alias(prefix + "e"))
-    coded = e.select(*keep, F.transform(F.col(prefix + "e"), lambda x: F.struct(
-        x["name"].alias("name"), x["v"].alias("v"), _src_code(x["src"]).alias("c"))).alias(prefix + "e"))
-    ec = F.col(prefix + "e")
-    return coded.select(
-        *keep,
-        F.transform(ec, lambda x: x["name"]).alias(prefix + "k"),
-        F.transform(ec, lambda x: x["v"]).alias(prefix + "v"),
-        F.transform(ec, lambda x: x["c"]).alias(prefix + "c"),
-        F.transform(ec, lambda x: _nonnull_by_code(x["v"], x["c"])).alias(prefix + "n"))
-
-
-def typed_pivot_value(raw: Column, code: Column, nonnull: Column,
-                      dt: T.DataType) -> tuple[Column, Column]:
+    k, v, n, p = (prefix + x for x in "kvnp")
+    place = [F.sequence(F.lit(0), F.greatest(F.size(m) - 1, F.lit(0))).alias(p)] if positions else []
+    d = df.select(*keep, F.reverse(TK.match_keys(m)).alias(k), F.reverse(TK.match_values(m, null_value)).alias(v),
+                  *[F.reverse(x).alias(p) for x in place])
+    # The quadratic filter only runs for lines that repeat a key.
+    single = F.size(F.array_distinct(k)) == F.size(k)
+
+    def last_only(name: str) -> Column:
+        first = F.filter(F.col(name), lambda x, i: F.array_position(F.col(k), F.get(F.col(k), i)).cast("int") == i + 1)
+        return F.when(single, F.col(name)).otherwise(first)
+
+    d = d.select(*keep, *[last_only(x).alias(x) for x in (k, v, *([p] if positions else []))])
+    # Labels are looked for only in lines that have one.
+    label = F.transform(k, lambda x: F.get(F.col(v), F.array_position(F.col(k), F.concat(x, F.lit(LABEL_SUFFIX))).cast("int") - 1))
+    has_label = F.exists(k, lambda x: x.endswith(LABEL_SUFFIX))
+    return d.select(*keep, k, v, *([p] if positions else []),
+                    F.when(has_label, label).otherwise(F.array().cast("array<string>")).alias(n))
+
+
+def _position(array: str, name: str) -> Column:
+    """Place (from 1) of a name in an array, null if it is not there."""
+    pos = F.array_position(F.col(array), F.lit(name)).cast("int")
+    return F.nullif(pos, F.lit(0))
+
+
+def _first(*places: Column) -> Column:
+    return F.least(*places) if len(places) > 1 else places[0]
+
+
+def pivoted_columns(df: DataFrame, fields: list[T.StructField], keep: list[Column], opts: CefOptions,
+                    prefix: str) -> tuple[DataFrame, list[Column]]:
+    """Typed columns ``t0``, ``t1``, ...; and for each a flag that its value has the wrong type."""
+    k, v, n = (prefix + x for x in "kvn")
+    places = []
+    for i, f in enumerate(fields):
+        # A name with the conflict suffix may also stand for the bare label or key.
+        suffix = S.CONFLICT_SUFFIX
+        names = [f.name] + ([f.name[:-len(suffix)]] if f.name.endswith(suffix) and S.is_header(f.name[:-len(suffix)]) else [])
+        names = [x for x in names if not (S.is_header(x) and x == f.name)]
+        places.append(_first(*[_position(n, x) for x in names]).alias(f"{prefix}l{i}"))
+        places.append(_first(*[_position(k, x) for x in names]).alias(f"{prefix}q{i}"))
+    step = df.select(*keep, k, v, n, *places)
+    raw = []
+    for i, f in enumerate(fields):
+        by_label, by_key = F.col(f"{prefix}l{i}"), F.col(f"{prefix}q{i}")
+        plain = by_key.isNotNull() & F.get(F.col(n), by_key - 1).isNull()
+        if f.name.endswith(LABEL_SUFFIX):
+            # The label of a pair is used up, unless its value is null.
+            used = F.get(F.col(v), by_key - 1).isNotNull() & F.array_contains(F.col(k), F.lit(f.name[:-len(LABEL_SUFFIX)]))
+            plain = plain & ~used
+        text = F.when(by_label.isNotNull(), F.get(F.col(v), by_label - 1)).when(plain, F.get(F.col(v), by_key - 1))
+        raw.append((TK.unescape_extension(text) if opts.unescape else text).alias(f"{prefix}r{i}"))
+        # Source key: of a label at run time; a plain column is its own source.
+        raw.append(F.when(by_label.isNotNull(), F.get(F.col(k), by_label - 1))
+                   .when(plain, F.get(F.col(k), by_key - 1)).alias(f"{prefix}s{i}"))
+    step = step.select(*keep, *raw)
+    step = step.select(*keep, *[c for i, f in enumerate(fields) for c in (
+        F.col(f"{prefix}r{i}"), F.when(F.col(f"{prefix}s{i}").isNotNull(), _src_code(F.col(f"{prefix}s{i}"))).alias(f"{prefix}s{i}"))])
+    typed, flags = [], []
+    for i, f in enumerate(fields):
+        value, clash = typed_pivot_value(F.col(f"{prefix}r{i}"), F.col(f"{prefix}s{i}"), f.dataType)
+        typed.append(value.alias(f"{prefix}t{i}"))
+        typed.append(clash.alias(f"{prefix}f{i}"))
+        flags.append(F.col(f"{prefix}f{i}"))
+    return step.select(*keep, *typed), flags
+
+
+def typed_pivot_value(raw: Column, code: Column, dt: T.DataType) -> tuple[Column, Column]:
     """(typed value, clash flag) for a pivot column of type ``dt``."""
     want = type_code(dt)
     if want is None:  # user-declared type outside the format: plain lenient cast
         return V.convert(raw, dt), F.lit(False)
     same = code == want
-    value = F.when(same, V.convert(raw, dt))
-    clash = code.isNotNull() & ~same & nonnull
-    return value, F.coalesce(clash, F.lit(False))
+    clash = F.when(code.isNull() | same, F.lit(False)).otherwise(F.coalesce(_nonnull_by_code(raw, code), F.lit(False)))
+    return F.when(same, V.convert(raw, dt)), clash
+
+
+def entries(df: DataFrame, keep: list[Column], prefix: str) -> DataFrame:
+    """One row per pair of :func:`label_arrays` that gives a column: ``name``, ``src``, ``p``."""
+    k, v, n, p = (prefix + x for x in "kvnp")
+    used = F.transform(k, lambda x, i: x.endswith(LABEL_SUFFIX) & F.get(F.col(v), i).isNotNull() & (
+        F.array_position(F.col(k), F.substr(x, F.lit(1), F.length(x) - len(LABEL_SUFFIX))) > 0))
+    zipped = df.select(*keep, F.explode(F.arrays_zip(F.col(k).alias("k"), F.col(n).alias("n"), F.col(p).alias("p"),
+                                                     used.alias("used"))).alias("e"))
+    # A key that is itself paired by a label of its own is not used up.
+    left = zipped.filter(F.col("e.k").isNotNull() & (F.col("e.n").isNotNull() | ~F.col("e.used")))
+    return left.select(*keep, label_column_name(F.coalesce("e.n", "e.k")).alias("name"),
+                       F.col("e.k").alias("src"), F.col("e.p").alias("p"))

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from typing import Any, Mapping
 
 # --- fixed values (option defaults and accepted date formats) ---
-DEFAULT_MAX_RECORDS = 10000
 DEFAULT_NULL_VALUE = "-"
 DEFAULT_DATE_FORMAT = "MMM dd yyyy HH:mm:ss.SSS zzz"
 VALID_DATE_FORMATS = (
@@ -47,6 +46,20 @@ def _norm(name: str) -> str:
 _BY_NORM = {_norm(k): k for k in _KNOWN}
 
 
+# Options of Spark's own sources whose names come close to one of ours.
+_SPARKS_OWN = ("maxcolumns", "maxfilespertrigger", "maxbytespertrigger", "maxfileage", "maxcharspercolumn",
+               "fileformat", "timestampformat", "emptyvalue", "columnnameofcorruptrecord")
+
+
+def near_miss(key: str) -> str | None:
+    """The option a name is a misspelling of, if it is one."""
+    name = _norm(key)
+    if name in _BY_NORM or name in _SPARKS_OWN:
+        return None
+    close = difflib.get_close_matches(name, [_norm(k) for k in _CHECKED], n=1, cutoff=0.66)
+    return _BY_NORM[close[0]] if close else None
+
+
 def _to_bool(name: str, value: Any) -> bool:
     if isinstance(value, bool):
         return value
@@ -65,7 +78,7 @@ def _to_int(name: str, value: Any) -> int:
 
 @dataclass(frozen=True)
 class CefOptions:
-    max_records: int = DEFAULT_MAX_RECORDS
+    max_records: int | None = None    # None: inference reads every line
     pivot_fields: bool = False
     mode: str = "permissive"
     corrupt_record_column_name: str | None = None
@@ -82,8 +95,9 @@ class CefOptions:
         return self.date_format.lower() == "millis"
 
     @property
-    def effective_max_records(self) -> int:
-        return self.max_records if self.max_records >= 1 else DEFAULT_MAX_RECORDS
+    def effective_max_records(self) -> int | None:
+        """The number of lines to infer from, None for all of them."""
+        return self.max_records if self.max_records is not None and self.max_records >= 1 else None
 
     @classmethod
     def from_dict(cls, options: Mapping[str, Any] | None = None, **kwargs: Any) -> "CefOptions":
@@ -91,21 +105,19 @@ class CefOptions:
         merged.update(kwargs)
         canon: dict[str, Any] = {}
         hints: list[str] = []
-        checked_norm = {_norm(k): k for k in _CHECKED}
         for key, value in merged.items():
             known = _BY_NORM.get(_norm(key))
             if known is not None:
                 canon[known] = value
                 continue
-            close = difflib.get_close_matches(key.lower(), list(checked_norm), n=1, cutoff=0.6)
-            if close:
-                hints.append(f"Unable to find option '{key}', did you mean '{checked_norm[close[0]]}'")
-            # Unrelated keys (path, compression, lineSep, ...) pass through untouched.
+            if (close := near_miss(key)) is not None:
+                hints.append(f"Unable to find option '{key}', did you mean '{close}'")
+            # Unrelated keys (path, compression, lineSep, ...) are Spark's.
         if hints:
             raise CefOptionsError("Unable to parse all options\n" + "\n".join(hints))
 
         fields: dict[str, Any] = {}
-        if "maxRecords" in canon:
+        if canon.get("maxRecords") is not None:
             fields["max_records"] = _to_int("maxRecords", canon["maxRecords"])
         if "pivotFields" in canon:
             fields["pivot_fields"] = _to_bool("pivotFields", canon["pivotFields"])

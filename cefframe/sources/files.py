@@ -8,35 +8,37 @@ extension, globs, partition discovery, ``pathGlobFilter``,
 
 from __future__ import annotations
 
+import re
+import time
 from typing import Any, Iterable, Mapping
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.encode import to_cef_lines
-from ..operators.infer import build_schema, first_seen_names
+from ..operators.infer import build_schema, first_seen_names, log_inferred
 from ..operators.parse import parse_cef
-from ..options import CefOptions, _BY_NORM, _norm, resolve
+from ..options import CefOptions, _BY_NORM, _norm, near_miss, resolve
 
+# A limit of up to so many lines is taken by the driver, which stops the scan early.
+TAKE = 100_000
 NO_FILES_MESSAGE = "Unable to infer schema for CEF. It must be specified manually."
 
 
 def _split_options(options: Mapping[str, Any] | None, kwargs: Mapping[str, Any]):
-    """Separate CEF options from options meant for Spark's text source/sink."""
+    """Separate CEF options from options for Spark's text source / sink, which get all others.
+
+    Spark matches its option names ignoring case; a name that is a misspelling of a CEF option is
+    left to CefOptions, which reports it.
+    """
     cef: dict[str, Any] = {}
     spark_opts: dict[str, str] = {}
     for key, value in {**(options or {}), **kwargs}.items():
-        if _norm(key) in _BY_NORM:
+        if _norm(key) in _BY_NORM or near_miss(key) is not None:
             cef[key] = value
-        elif key in ("pathGlobFilter", "recursiveFileLookup", "basePath", "lineSep",
-                     "modifiedBefore", "modifiedAfter", "encoding", "compression",
-                     "ignoreCorruptFiles", "ignoreMissingFiles", "maxFilesPerTrigger",
-                     "latestFirst", "maxFileAge", "cleanSource", "sourceArchiveDir"):
-            spark_opts[key] = str(value).lower() if isinstance(value, bool) else str(value)
         else:
-            cef[key] = value  # let CefOptions report misspellings
+            spark_opts[key] = str(value).lower() if isinstance(value, bool) else str(value)
     return cef, spark_opts
 
 
@@ -49,49 +51,56 @@ def _text_reader(spark: SparkSession, spark_opts: Mapping[str, str]):
 
 def infer_files_schema(spark: SparkSession, paths: list[str], opts: CefOptions,
                        spark_opts: Mapping[str, str] | None = None) -> T.StructType:
-    """First ``maxRecords`` lines over the files in path order, as Spark jobs.
+    """Names in the order of (file path, offset, place in line).
 
-    Files are taken in sorted order in growing batches (1, 2, 4, ... files)
-    until enough lines are seen; inside a batch the first lines are chosen by
-    (file, split offset, row id), so split files keep their line order.  Only
-    the distinct names found are collected.
+    All lines of all files count, in one aggregate.  With ``maxRecords`` = N only the first N lines
+    do, and the scan stops there: files are taken in path order, and a file's first lines come from
+    its first splits (``limit`` on one file), so the bytes read follow N, not the files' size.
     """
-    spark_opts = dict(spark_opts or {})
+    started = time.monotonic()
     # A private option keeps these reads from matching a cached read of the same
     # paths (inputFiles() of a cached plan is empty).
-    spark_opts["cefframe.inference"] = "true"
-    listing = _text_reader(spark, spark_opts).text(paths)
-    # inputFiles() returns URIs; decode them (spaces arrive as %20) before re-reading.
-    files = sorted(unquote(p) for p in listing.inputFiles())
+    listing = _text_reader(spark, {**(spark_opts or {}), "cefframe.inference": "true"}).text(paths)
+    inputs = [c for c in listing.columns if c != "value"]
+    n = opts.effective_max_records
+    if n is None:
+        order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                         F.monotonically_increasing_id().alias("i"))
+        found = first_seen_names(listing.select("value", order.alias("o")), opts, "value", F.col("o"))
+        if not found and not listing.inputFiles():
+            raise ValueError(NO_FILES_MESSAGE)
+    else:
+        found = _names_of_first_lines(spark, listing, opts, n)
+    case_sensitive = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+    schema = build_schema(found, opts, case_sensitive, inputs)
+    log_inferred(schema, n, started)
+    return schema
+
+
+def _names_of_first_lines(spark: SparkSession, listing: DataFrame, opts: CefOptions, n: int) -> list:
+    """Names in the first ``n`` lines, file by file; up to TAKE of them at a time pass the driver."""
+    files = sorted(listing.inputFiles())
     if not files:
         raise ValueError(NO_FILES_MESSAGE)
-    # The listing already applied globs, filters and recursion; read files directly.
-    spark_opts.pop("basePath", None)
-    spark_opts.pop("pathGlobFilter", None)
-    spark_opts.pop("recursiveFileLookup", None)
-    remaining = opts.effective_max_records
     found: list = []
-    start, batch, rnd = 0, 1, 0
-    while remaining > 0 and start < len(files):
-        chunk = files[start:start + batch]
-        lines = (_text_reader(spark, spark_opts).text(chunk)
-                 .select("value", F.col("_metadata.file_path").alias("f"),
-                         F.col("_metadata.file_block_start").alias("b"),
-                         F.monotonically_increasing_id().alias("i"))
-                 .orderBy("f", "b", "i").limit(remaining)
-                 .persist())
-        try:
-            taken = lines.count()
-            order = F.struct(F.lit(rnd).alias("r"), "f", "b", "i")
-            found.extend(first_seen_names(lines, opts, "value", order))
-        finally:
-            lines.unpersist()
-        remaining -= taken
-        start += batch
-        batch *= 2
-        rnd += 1
-    case_sensitive = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
-    return build_schema(found, opts, case_sensitive)
+    for rank, name in enumerate(files):
+        # By its metadata, so that no character of a file's name is taken for a pattern.  A URI without
+        # a host has one slash there and three in the listing.
+        same = [name, re.sub(r"^(\w+):///", r"\1:/", name)]
+        one = listing.filter(F.col("_metadata.file_path").isin(same)).select("value", "_metadata")
+        if n <= TAKE:
+            lines = one.select("value").limit(n).collect()
+            taken, frame = len(lines), spark.createDataFrame([(r["value"], i) for i, r in enumerate(lines)],
+                                                             "value string, i long")
+        else:
+            order = one.select("value", F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("j"))
+            frame = order.orderBy("b", "j").limit(n).select("value", F.struct("b", "j").alias("i"))
+            taken = frame.count()
+        found += [((rank, place), name_, src) for place, name_, src in first_seen_names(frame, opts, "value", F.col("i"))]
+        n -= taken
+        if n <= 0:
+            break
+    return found
 
 
 def read_cef(spark: SparkSession, *paths: str | Iterable[str], schema: T.StructType | str | None = None,

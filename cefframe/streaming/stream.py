@@ -6,6 +6,7 @@ involved; ``mode=failfast`` fails the query, ``dropmalformed`` filters.
 
 from __future__ import annotations
 
+import functools
 from typing import Any, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,21 +19,28 @@ from ..options import resolve
 from ..sources.files import _split_options, infer_files_schema
 
 
-def read_cef_stream(spark: SparkSession, path: str, schema: T.StructType | None = None,
+# Options of the streaming source that a batch read does not know.
+_STREAM_ONLY = ("maxfilespertrigger", "maxbytespertrigger", "latestfirst", "maxfileage", "cleansource",
+                "sourcearchivedir", "filenameonly", "maxcachedfiles", "discardcachedinputratio")
+
+
+def read_cef_stream(spark: SparkSession, *paths: str | Iterable[str], schema: T.StructType | None = None,
                     options: Mapping[str, Any] | None = None, **kwargs: Any) -> DataFrame:
-    """Stream CEF files from ``path``.  Without ``schema`` the schema is
-    inferred once from the files already there (fixed for the query's life)."""
+    """Stream CEF files from one or more paths (one stream per path, united).  Without ``schema`` the
+    schema is inferred once from the files already there (fixed for the query's life)."""
+    flat: list[str] = []
+    for p in paths:
+        flat.extend([p] if isinstance(p, str) else list(p))
     cef_opts, spark_opts = _split_options(options, kwargs)
     opts = resolve(cef_opts)
     if schema is None:
-        batch_opts = {k: v for k, v in spark_opts.items()
-                      if k not in ("maxFilesPerTrigger", "latestFirst", "maxFileAge",
-                                   "cleanSource", "sourceArchiveDir")}
-        schema = infer_files_schema(spark, [path], opts, batch_opts)
+        batch_opts = {k: v for k, v in spark_opts.items() if k.lower() not in _STREAM_ONLY}
+        schema = infer_files_schema(spark, flat, opts, batch_opts)
     reader = spark.readStream
     for k, v in spark_opts.items():
         reader = reader.option(k, v)
-    return parse_cef(reader.text(path), schema, "value", opts)
+    streams = [parse_cef(reader.text(p), schema, "value", opts) for p in flat]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), streams)
 
 
 def write_cef_stream(df: DataFrame, path: str, checkpoint_location: str,

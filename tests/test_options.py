@@ -1,13 +1,14 @@
 import pytest
 
 from cefframe.options import CefOptions, CefOptionsError
+from cefframe.sources.files import _split_options
 
 
 def test_defaults():
     o = CefOptions.from_dict({})
-    assert (o.max_records, o.pivot_fields, o.mode, o.corrupt_record_column_name,
+    assert (o.effective_max_records, o.pivot_fields, o.mode, o.corrupt_record_column_name,
             o.defensive_mode, o.null_value, o.date_format) == (
-        10000, False, "permissive", None, False, "-", "MMM dd yyyy HH:mm:ss.SSS zzz")
+        None, False, "permissive", None, False, "-", "MMM dd yyyy HH:mm:ss.SSS zzz")
 
 
 def test_valid_map_and_case_insensitive_names():
@@ -20,17 +21,23 @@ def test_valid_map_and_case_insensitive_names():
                 o.null_value, o.date_format) == (10, True, "test_col", True, "NA", "millis")
 
 
+MISSPELT = {"maxRecrods": "maxRecords", "pivtFields": "pivotFields", "corruptRecordColName": "corruptRecordColumnName",
+            "defensiveMod": "defensiveMode", "nullVal": "nullValue", "date_fromat": "dateFormat"}
+
+
 def test_misspelt_options_get_hints():
     with pytest.raises(CefOptionsError) as e:
-        CefOptions.from_dict({"macsRexord": "10", "pivotFeilds": "true",
-                              "coruptRecordColumName": "x", "devensiveMoad": "true",
-                              "nulVal": "NA", "datfrmt": "millis"})
-    msg = str(e.value)
-    for bad, good in (("macsRexord", "maxRecords"), ("pivotFeilds", "pivotFields"),
-                      ("coruptRecordColumName", "corruptRecordColumnName"),
-                      ("devensiveMoad", "defensiveMode"), ("nulVal", "nullValue"),
-                      ("datfrmt", "dateFormat")):
-        assert f"Unable to find option '{bad}', did you mean '{good}'" in msg
+        CefOptions.from_dict(dict.fromkeys(MISSPELT, "1"))
+    for bad, good in MISSPELT.items():
+        assert f"Unable to find option '{bad}', did you mean '{good}'" in str(e.value)
+
+
+def test_options_of_sparks_sources_are_not_misspellings():
+    own = {"fileFormat": "x", "maxColumns": 5, "Compression": "gzip", "LINESEP": "|", "recursivefilelookup": True,
+           "pathglobfilter": "*.log", "maxBytesPerTrigger": "1g", "wholetext": True}
+    assert CefOptions.from_dict(own) == CefOptions()
+    cef, spark_opts = _split_options(own, {"NULLVALUE": "NA"})
+    assert cef == {"NULLVALUE": "NA"} and set(spark_opts) == set(own) and spark_opts["recursivefilelookup"] == "true"
 
 
 def test_unrelated_options_pass():
@@ -38,8 +45,8 @@ def test_unrelated_options_pass():
 
 
 def test_invalid_date_format():
-    with pytest.raises(CefOptionsError, match="Unable to parse date format 'yyyy-MM-dd HH:mm:ss.SSS zzz', valid options are"):
-        CefOptions.from_dict({"dateFormat": "yyyy-MM-dd HH:mm:ss.SSS zzz"})
+    with pytest.raises(CefOptionsError, match="Unable to parse date format 'dd/MM/yyyy', valid options are"):
+        CefOptions.from_dict({"dateFormat": "dd/MM/yyyy"})
     assert CefOptions.from_dict({"dateFormat": "MILLIS"}).date_format_is_epoch
 
 
@@ -49,5 +56,12 @@ def test_mode_values():
         CefOptions.from_dict({"mode": "failfst"})
 
 
-def test_max_records_below_one_means_default():
-    assert CefOptions.from_dict({"maxRecords": "0"}).effective_max_records == 10000
+@pytest.mark.parametrize("value,lines", [("0", None), (-5, None), (None, None), ("25", 25)])
+def test_max_records_below_one_means_all_lines(value, lines):
+    assert CefOptions.from_dict({"maxRecords": value}).effective_max_records == lines
+
+
+def test_mode_ignores_case_and_blanks_are_refused():
+    assert CefOptions.from_dict({"MODE": "FAILFAST"}).mode == "failfast"
+    with pytest.raises(CefOptionsError, match="valid modes are"):
+        CefOptions.from_dict({"mode": "strict"})

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cefframe import infer_cef_schema, parse_cef, split_malformed
+from cefframe.plans.inspect import count_calls, optimized_plan, physical_plan
 from cefframe.schema import header_schema
 from conftest import lines_df
 
@@ -133,14 +134,29 @@ def test_quarantine_split(spark):
     assert good.count() == 2 and bad.count() == 1
 
 
-def test_mode_filter_does_not_inline_the_parse(spark):
-    # The mode Filter must read the computed error column; if Catalyst pushed it
-    # down it would copy the header split (and, with pivoting, every lookup) into it.
-    from cefframe.plans.inspect import count_calls, optimized_plan
+@pytest.mark.parametrize("pivot", [False, True])
+@pytest.mark.parametrize("mode", ["permissive", "dropmalformed", "failfast"])
+def test_filters_on_parsed_columns_do_not_copy_the_parse(spark, mode, pivot):
     df = lines_df(spark, PIVOT_LINES)
-    sch = schema(("eventId", T.LongType()), ("Pivot Header", S))
-    for mode in ("dropmalformed", "failfast"):
-        plain = optimized_plan(parse_cef(df, sch, mode=mode))
-        assert count_calls(plain, "split") == 2  # literal fast path + look-behind pattern
-        pivoted = optimized_plan(parse_cef(df, sch, mode=mode, pivotFields=True))
-        assert len(pivoted) < 4 * len(optimized_plan(parse_cef(df, sch, pivotFields=True)))
+    sch = schema(("eventId", T.LongType()), ("rt", T.TimestampType()), ("Pivot Header", S))
+    out = parse_cef(df, sch, mode=mode, pivotFields=pivot)
+    for cond in ("eventId > 5", "rt > timestamp'2020-01-01'", "`Pivot Header` = '905' and eventId > 1 and rt is null"):
+        plan = optimized_plan(out.filter(cond))
+        assert count_calls(plan, "regexp_extract_all") == 1
+        assert count_calls(plan, "split") <= 8  # fast path and look-behind pattern, once for the mode's Filter
+    assert "regexp_extract_all" not in optimized_plan(out.select("Name")) or pivot and mode != "permissive"
+    if mode != "failfast":
+        assert out.filter("`Pivot Header` = '905'").count() == int(pivot)
+
+
+@pytest.mark.parametrize("pivot", [False, True])
+@pytest.mark.parametrize("mode", ["permissive", "dropmalformed", "failfast"])
+def test_partitions_are_pruned_in_every_mode(spark, tmp_dir, mode, pivot):
+    path = f"{tmp_dir}/p"
+    spark.createDataFrame([(x, f"d{i % 3}") for i, x in enumerate(PIVOT_LINES)], "value string, day string") \
+        .write.partitionBy("day").text(path)
+    out = parse_cef(spark.read.text(path), schema(("eventId", T.LongType()), ("Pivot Header", S)), mode=mode, pivotFields=pivot)
+    picked = out.filter("day = 'd1' and eventId > 1 and SignatureID = 's'")
+    plan = physical_plan(picked)
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day" in plan.split("PartitionFilters:")[1]
+    assert sorted(r.eventId for r in picked.collect()) == [4, 7]
