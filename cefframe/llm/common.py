@@ -48,6 +48,22 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def quoted(name: str):
+    """A column by its whole name, dots and back quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that the table does not have (ignoring case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def digest_hex(text_col):
     """Lowercase hex SHA-256 of a string column's UTF-8 bytes."""
     return F.sha2(text_col.cast("binary"), 256)

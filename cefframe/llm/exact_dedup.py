@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, digest_hex, new_run, stored, table
+from .common import SPACE, digest_hex, fresh, new_run, quoted, stored, table
 
 #: At least as many salts, in multiples of 64; more where the session has more shuffle partitions.
 SALTS, MOST_SALTS = 64, 1024
@@ -70,15 +70,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns.  Ties on id and text leave one row."""
+    sha, turn = fresh(docs, "_text_sha", "_turn")
     groups = exact_groups(docs, id_col, text_col)
-    losers = groups.filter(~F.col("kept")).select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"),
-                                                  "keep_id")
     # A row goes if its id is not its group's, or if it repeats a row that stays.
-    gone = (losers.filter(~F.col("_id").eqNullSafe(F.col("keep_id"))).select("_id", "_sha").distinct())
-    keyed = docs.withColumn("_text_sha", digest_hex(normalised(F.col(text_col))))
-    rest = keyed.join(gone, keyed[id_col].eqNullSafe(gone["_id"]) & (keyed["_text_sha"] == gone["_sha"]), "left_anti")
-    one = F.row_number().over(Window.partitionBy(id_col, "_text_sha").orderBy(F.lit(0)))
-    return rest.withColumn("_turn", one).filter("_turn = 1").select(*docs.columns)
+    gone = (groups.filter(~F.col(id_col).eqNullSafe(F.col("keep_id")))
+            .select(F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_sha")).distinct())
+    keyed = docs.withColumn(sha, digest_hex(normalised(F.col(text_col))))
+    rest = keyed.join(gone, keyed[id_col].eqNullSafe(gone["gone_id"]) & (keyed[sha] == gone["gone_sha"]), "left_anti")
+    one = F.row_number().over(Window.partitionBy(id_col, sha).orderBy(F.lit(0)))
+    return rest.withColumn(turn, one).filter(F.col(turn) == 1).select(*map(quoted, docs.columns))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

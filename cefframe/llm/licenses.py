@@ -8,9 +8,10 @@ share of the template's words that are matched; a license is found where it reac
 
 Regions: a region that reaches the threshold matches all but a few of the template's words, so of
 any (words - needed + 1) places of the template at least one is matched.  The places whose words
-are rarest in the text are taken; each occurrence of such a word proposes the region in which it
-would lie.  No other region can reach the threshold, so nothing is missed and most texts, which
-lack too many of a template's words, are not aligned at all.
+are rarest in the text are taken; each occurrence of such a word proposes the regions in which it
+could be matched, which begin at most two slacks from where the template would begin if nothing
+were inserted or missing.  No other region can reach the threshold, so nothing is missed, and most
+texts, which lack too many of a template's words, are not aligned at all.
 
 Defined cases: null or empty text holds no license (license null, coverage 0); ties in coverage go
 to the first template by name, then to the first region; rows may repeat and stay; an empty table
@@ -129,12 +130,12 @@ class Scanner:
             return
         rare = sorted(range(len(template)), key=lambda j: (len(places.get(template[j], ())), j))[:len(template) - needed + 1]
         slack = int(len(template) * SLACK) + 1
-        starts = sorted({at - j for j in rare for at in places.get(template[j], ())})
-        last = None
-        for s in starts:
-            if last is None or s != last:
-                yield max(0, s - slack), min(len(words), s + len(template) + slack)
-            last = s
+        starts = {s for j in rare for at in places.get(template[j], ()) for s in range(at - j - 2 * slack, at - j + 2 * slack + 1)}
+        for s in sorted(starts):
+            a, b = max(0, s - slack), min(len(words), s + len(template) + slack)
+            inside = set(words[a:b]) if a < b else ()
+            if sum(w in inside for w in template) >= needed:
+                yield a, b
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, last word) of each license found, best region of each."""

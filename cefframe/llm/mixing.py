@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, new_run, stored, table
+from .common import WORD, fresh, new_run, quoted, stored, table
 
 MOST, BINS, SEED = 3, 16384, "mix"
 
@@ -103,15 +103,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", most: int = MOST, seed: str = S
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", most: int = MOST, seed: str = SEED) -> DataFrame:
     """The mix itself: each row of ``docs``, all its columns, as often as the mix takes it."""
-    run = new_run(docs.sparkSession, "mixed")
-    # Rows tied on id and source share their copies: counts travel by row number within the id.
+    key, source, size, copies, copy = fresh(docs, "_id", "_source", "_size", "_copies", "_copy")
+    # Rows tied on id, source and size share their copies.
     chosen = stored(mix(docs, id_col, most, seed).filter("copies > 0")
-                    .groupBy(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-                    .agg(F.max("copies").alias("_copies")), f"{run}/copies")
-    on = (docs[id_col].eqNullSafe(chosen["_id"]) & docs["source"].eqNullSafe(chosen["_source"])
-          & (word_count(docs["text"]) == chosen["_size"]))
-    return (docs.join(chosen, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*docs.columns))
+                    .groupBy(F.col(id_col).alias(key), F.col("source").alias(source), F.col("size").alias(size))
+                    .agg(F.max("copies").cast("int").alias(copies)), f"{new_run(docs.sparkSession, 'mixed')}/copies")
+    on = (docs[id_col].eqNullSafe(chosen[key]) & docs["source"].eqNullSafe(chosen[source])
+          & (word_count(docs["text"]) == chosen[size]))
+    return (docs.join(chosen, on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+            .select(*map(quoted, docs.columns)))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

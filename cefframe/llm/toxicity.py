@@ -26,6 +26,7 @@ are held out; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from dataclasses import dataclass, field
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, table
+from .common import fresh, map_arrow, quoted, table
 
 FIT_TOXIC, FIT_CLEAN, FIT_CHARS, CALIBRATE, LEAST_TOXIC = 2000, 3000, 20000, 3000, 20
 BUCKETS, DIMS, FILTERS, WIDTHS, WIDE, STEMS = 1 << 16, 16, 6, (1, 2, 3), 40, (4, 5, 6, 7)
@@ -287,7 +288,6 @@ _SCORERS: dict[str, Scorer] = {}
 
 def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, score, predicted, threshold, rejected for each row, and the columns ``keep`` unchanged."""
-    import uuid
     shipped, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     rows = docs.select(F.col(id_col).alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang"), *keep)
 
@@ -315,8 +315,8 @@ def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", keep: tupl
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows whose score stays below their language's threshold, with all their columns."""
     model = fit(docs, labels, id_col)
-    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    plain = docs.select("*", *[F.col(c).alias(n) for c, n in names.items()])
+    names = dict(zip(docs.columns, fresh(docs, *[f"_c{i}" for i in range(len(docs.columns))])))
+    plain = docs.select("*", *[quoted(c).alias(n) for c, n in names.items()])
     kept = score_rows(plain, model, id_col, tuple(names.values())).filter(~F.col("rejected"))
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 

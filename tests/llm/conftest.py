@@ -1,0 +1,11 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(__file__))
+
+
+@pytest.fixture
+def tables_dir():
+    return "/root/testdata/sf0.001"
