@@ -3,10 +3,13 @@
 Setup (untimed): lineitem (about 600,000 rows at sf0.1) is encoded as CEF
 text once.  Timed (median of BENCH_RUNS warm runs each):
 
-  infer           schema inference over the files (first 10,000 lines)
+  infer           schema inference over all lines of the files
+  infer_pivot     the same with pivotFields=true
+  infer_first     inference from the first 10,000 lines (the scan stops there)
   parse_full      parse every line into 21 typed columns (noop sink)
   header_scan     groupBy(SignatureID).count() (extension regex pruned)
   parse_pivot     parse with pivotFields=true (noop sink)
+  filter_rt       parse_full behind a filter on a parsed timestamp (noop sink)
   rollup          TPC-H Q1-style aggregate over parsed CEF
   encode          lineitem parquet -> CEF lines (noop sink)
   gzip_roundtrip  write gzip CEF, read it back, count
@@ -21,7 +24,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from cefframe import read_cef, to_cef_lines, write_cef  # noqa: E402
 from cefframe.sources.files import infer_files_schema  # noqa: E402
 from cefframe.options import CefOptions  # noqa: E402
+from cefframe.plans.catalogue import scratch_dir  # noqa: E402
 from cefframe.session import local_session  # noqa: E402
 
 
@@ -67,8 +70,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="cefframe-bench")
-    work = tempfile.mkdtemp(prefix="cefframe-bench-")
-    text_dir = os.path.join(work, "lineitem_cef")
+    # A local benchmark: its files are this machine's; elsewhere they go to the shared folder.
+    work = scratch_dir(spark)
+    text_dir = f"{work}/lineitem_cef"
     write_cef(lineitem_frame(spark, sf_dir), text_dir, mode="overwrite")
     n_lines = spark.read.text(text_dir).count()
 
@@ -81,6 +85,15 @@ def main() -> None:
     def q_infer():
         infer_files_schema(spark, [text_dir], CefOptions())
 
+    def q_infer_pivot():
+        infer_files_schema(spark, [text_dir], CefOptions(pivot_fields=True))
+
+    def q_infer_first():
+        infer_files_schema(spark, [text_dir], CefOptions(max_records=10_000))
+
+    def q_filter_rt():
+        noop(read_cef(spark, text_dir, schema=schema).filter("rt > timestamp'1993-01-01'"))
+
     def q_parse_full():
         noop(read_cef(spark, text_dir, schema=schema))
 
@@ -107,11 +120,11 @@ def main() -> None:
 
     def q_gzip_roundtrip():
         counter["i"] += 1
-        out = os.path.join(work, f"gz_{counter['i']}")
+        out = f"{work}/gz_{counter['i']}"
         write_cef(read_cef(spark, text_dir, schema=schema), out, compression="gzip")
         read_cef(spark, out, schema=schema).count()
 
-    plan = [("infer", q_infer), ("parse_full", q_parse_full), ("header_scan", q_header_scan),
+    plan = [("infer", q_infer), ("infer_pivot", q_infer_pivot), ("infer_first", q_infer_first), ("filter_rt", q_filter_rt), ("parse_full", q_parse_full), ("header_scan", q_header_scan),
             ("parse_pivot", q_parse_pivot), ("rollup", q_rollup), ("encode", q_encode),
             ("gzip_roundtrip", q_gzip_roundtrip)]
     results = {}

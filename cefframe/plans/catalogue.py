@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions import cef_extensions
+from ..functions import cef_extensions, cef_header
 from ..operators.encode import to_cef_lines
 from ..operators.infer import infer_cef_schema
 from ..operators.parse import parse_cef, split_malformed
 from ..sources.files import read_cef, register_cef_view, write_cef
-from ..streaming.stream import read_cef_stream
+from ..streaming.stream import read_cef_stream, write_cef_stream
 
 Builder = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, tuple[Builder, str | None]] = {}
@@ -51,21 +51,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+    """A fresh folder under the cluster's shared checkpoint directory, deleted when the driver ends.
 
-    The checkpoint directory is read from the session; only when it is unset
-    (local tests) is a local one created and registered.
+    The directory is read from the session (scheme included); only a local session without one gets a
+    temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cefframe-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "cefframe-" + uuid.uuid4().hex)
+    path = f"{base.rstrip('/')}/cefframe-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)  # noqa: SLF001
+    return path
 
 
 def _millis(ts: Column) -> Column:
@@ -535,7 +534,7 @@ FROM (SELECT {name} AS name, {typ} AS type, min(event_id) AS first_id
 @query("infer_schema", _infer_sql())
 def infer_schema(spark: SparkSession, d: str) -> DataFrame:
     lines = _infer_lines(_table(spark, d, "events"))
-    sch = infer_cef_schema(lines, order=F.col("event_id"), maxRecords=1 << 30)
+    sch = infer_cef_schema(lines, order=F.col("event_id"))
     return _schema_rows(spark, sch)
 
 
@@ -570,7 +569,7 @@ def infer_pivot(spark: SparkSession, d: str) -> DataFrame:
     lines = ev.select("event_id", F.concat(
         _header_text(), F.lit("eventId="), _s("event_id"), F.lit(" rt="), _s(_millis(F.col("ts"))),
         F.lit(" cs1="), _s("value"), F.lit(" cs1Label=Reading"), extra).alias("value"))
-    sch = infer_cef_schema(lines, order=F.col("event_id"), pivotFields=True, maxRecords=1 << 30)
+    sch = infer_cef_schema(lines, order=F.col("event_id"), pivotFields=True)
     return _schema_rows(spark, sch)
 
 
@@ -696,7 +695,7 @@ SELECT event_id AS eventId, event_type AS SignatureID, {_MS_SQL} AS rt_ms,
 def file_roundtrip_gzip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark)
     _write_events(spark, d, path, compression="gzip")
-    df = read_cef(spark, path)  # schema inferred from the first 10,000 lines
+    df = read_cef(spark, path)  # schema inferred from all lines
     return df.select("eventId", "SignatureID", _ms("rt").alias("rt_ms"), "suser", "slat")
 
 
@@ -757,3 +756,172 @@ def stream_parse(spark: SparkSession, d: str) -> DataFrame:
     q.awaitTermination()
     out = spark.read.schema(T.StructType(sch.fields)).parquet(base + "/out")
     return out.select("eventId", "SignatureID", _ms("rt").alias("rt_ms"), "suser", "slat")
+
+
+# ---------------------------------------------------------------- filters on parsed columns
+
+@query("filter_extension", """
+SELECT event_id AS eventId, CAST(user_id AS VARCHAR) AS suser, value AS slat FROM events
+WHERE event_id > 500 AND event_type = 'click' AND value > 10""")
+def filter_extension(spark: SparkSession, d: str) -> DataFrame:
+    parsed = parse_cef(_lines(_table(spark, d, "events")).select("value"), BASE_SCHEMA)
+    return parsed.filter("eventId > 500 and SignatureID = 'click' and slat > 10").select("eventId", "suser", "slat")
+
+
+@query("filter_timestamp", f"""
+SELECT event_id AS eventId, {_MS_SQL} AS rt_ms FROM events
+WHERE {_MS_SQL} > (SELECT (min({_MS_SQL}) + max({_MS_SQL})) // 2 FROM events)""")
+def filter_timestamp(spark: SparkSession, d: str) -> DataFrame:
+    ev = _table(spark, d, "events")
+    ms = _millis(F.col("ts"))
+    half = ev.agg(F.floor((F.min(ms) + F.max(ms)) / 2).alias("at")).first()["at"]
+    parsed = parse_cef(_lines(ev).select("value"), BASE_SCHEMA)
+    return parsed.filter(F.col("rt") > F.timestamp_millis(F.lit(half))).select("eventId", _ms("rt").alias("rt_ms"))
+
+
+@query("filter_pivot", """
+SELECT event_id AS eventId, event_type AS Kind FROM events
+WHERE event_type = 'view' AND event_id > 100 AND value <= 50""")
+def filter_pivot(spark: SparkSession, d: str) -> DataFrame:
+    lines = _lines(_table(spark, d, "events"), F.concat(F.lit("cs1="), F.col("event_type"), F.lit(" cs1Label=Kind")))
+    sch = infer_cef_schema(lines, order=F.col("event_id"), pivotFields=True)
+    out = parse_cef(lines.select("value"), sch, pivotFields=True)
+    return out.filter("Kind = 'view' and eventId > 100 and slat <= 50 and rt > timestamp'1970-01-02'").select("eventId", "Kind")
+
+
+@query("sql_view_where", """
+SELECT event_id AS eventId, CAST(user_id AS VARCHAR) AS suser FROM events
+WHERE event_type <> 'error' AND event_id % 3 = 0 AND user_id > 10""")
+def sql_view_where(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark)
+    _write_events(spark, d, path)
+    view = "cef_where_" + uuid.uuid4().hex[:8]
+    register_cef_view(spark, view, path)
+    return spark.sql(f"SELECT eventId, suser FROM {view} WHERE SignatureID <> 'error' AND eventId % 3 = 0 "
+                     "AND CAST(suser AS BIGINT) > 10")
+
+
+@query("partitioned_read_drop", """
+SELECT event_id AS eventId, event_type AS etype FROM events WHERE event_type = 'click' AND event_id % 9 >= 7""")
+def partitioned_read_drop(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark)
+    ev = _table(spark, d, "events")
+    lines = _truncated(ev).join(ev.select("event_id", F.col("event_type").alias("etype")), "event_id").drop("event_id")
+    lines.write.partitionBy("etype").text(path)
+    return read_cef(spark, path, mode="dropmalformed").filter("etype = 'click'").select("eventId", "etype")
+
+
+@query("partition_clash", """
+SELECT event_id AS eventId, 'P' || CAST(event_id % 4 AS VARCHAR) AS src FROM events WHERE event_id % 4 = 1""")
+def partition_clash(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark)
+    ev = _table(spark, d, "events")
+    lines = ev.select(F.concat(_header_text(), F.lit("eventId="), _s("event_id"), F.lit(" src=line")).alias("value"),
+                      F.concat(F.lit("P"), _s(F.col("event_id") % 4)).alias("src"))
+    lines.write.partitionBy("src").text(path)
+    return read_cef(spark, path).filter("src = 'P1'").select("eventId", "src")
+
+
+# ---------------------------------------------------------------- operators without a query so far
+
+@query("header_function", """
+SELECT event_id, 'CEF:0' AS CEFVersion, 'Acme' AS DeviceVendor, 'Sensor' AS DeviceProduct, '1.0' AS DeviceVersion,
+  event_type AS SignatureID, 'User ' || event_type AS Name, CAST(event_id % 10 AS VARCHAR) AS Severity FROM events""")
+def header_function(spark: SparkSession, d: str) -> DataFrame:
+    lines = _lines(_table(spark, d, "events"))
+    return lines.select("event_id", cef_header(F.col("value")).alias("h")).select("event_id", "h.*")
+
+
+@query("blank_lines", """
+SELECT CASE WHEN event_id % 4 = 0 THEN '' ELSE 'CEF:0' END AS CEFVersion,
+  CASE WHEN event_id % 4 > 0 THEN 'Acme' END AS DeviceVendor, CASE WHEN event_id % 4 > 0 THEN event_id END AS eventId,
+  CASE WHEN event_id % 4 = 0 THEN '' END AS broken FROM events""")
+def blank_lines(spark: SparkSession, d: str) -> DataFrame:
+    lines = _lines(_table(spark, d, "events")).select(
+        F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(F.col("value")).alias("value"))
+    sch = T.StructType(BASE_SCHEMA.fields + [T.StructField("broken", T.StringType())])
+    return parse_cef(lines, sch, corruptRecordColumnName="broken").select("CEFVersion", "DeviceVendor", "eventId", "broken")
+
+
+@query("infer_late_key", """
+SELECT pos, name, type FROM (VALUES (7, 'eventId', 'bigint'), (8, 'late', 'string')) AS t(pos, name, type)
+WHERE name = 'eventId' OR EXISTS (SELECT 1 FROM events)""")
+def infer_late_key(spark: SparkSession, d: str) -> DataFrame:
+    ev = _table(spark, d, "events")
+    last = ev.agg(F.max("event_id")).first()[0]
+    lines = ev.select("event_id", F.concat(_header_text(), F.lit("eventId="), _s("event_id"),
+                                           F.when(F.col("event_id") == last, F.lit(" late=x")).otherwise(F.lit(""))).alias("value"))
+    return _schema_rows(spark, infer_cef_schema(lines, order=F.col("event_id"))).filter("pos >= 7")
+
+
+@query("infer_defensive", """
+SELECT pos, name, type FROM (VALUES (7, 'eventId', 'bigint'), (8, 'door', 'string'), (9, 'cn1', 'bigint'),
+  (10, 'zone', 'string')) AS t(pos, name, type) WHERE EXISTS (SELECT 1 FROM events)""")
+def infer_defensive(spark: SparkSession, d: str) -> DataFrame:
+    ev = _table(spark, d, "events")
+    lines = ev.select("event_id", F.concat(_header_text(), F.lit("eventId="), _s("event_id"), F.lit(" door= cn1="),
+                                           _s("user_id"), F.lit(" zone=")).alias("value"))
+    return _schema_rows(spark, infer_cef_schema(lines, order=F.col("event_id"), defensiveMode=True)).filter("pos >= 7")
+
+
+_ALL_FORMATS = (("MMM dd yyyy HH:mm:ss", "%b %d %Y %H:%M:%S"), ("MMM dd yyyy HH:mm:ss.SSS zzz", "%b %d %Y %H:%M:%S.%g UTC"),
+                ("MMM dd yyyy HH:mm:ss.SSS", "%b %d %Y %H:%M:%S.%g"), ("MMM dd yyyy HH:mm:ss zzz", "%b %d %Y %H:%M:%S UTC"),
+                ("MMM dd HH:mm:ss", "%b %d %H:%M:%S"), ("MMM dd HH:mm:ss.SSS zzz", "%b %d %H:%M:%S.%g UTC"),
+                ("MMM dd HH:mm:ss.SSS", "%b %d %H:%M:%S.%g"), ("MMM dd HH:mm:ss zzz", "%b %d %H:%M:%S UTC"))
+
+
+@query("encode_all_date_formats", "\nUNION ALL ".join(
+    f"SELECT 'CEF:0|a|b|1|{i}|n|1|rt=' || strftime(ts, '{duck}') AS value FROM events WHERE event_id % 8 = {i}"
+    for i, (_, duck) in enumerate(_ALL_FORMATS)))
+def encode_all_date_formats(spark: SparkSession, d: str) -> DataFrame:
+    ev = _table(spark, d, "events")
+    out = None
+    for i, (fmt, _) in enumerate(_ALL_FORMATS):
+        heads = [F.lit(x).alias(h) for h, x in zip(S.HEADER_FIELDS, ("CEF:0", "a", "b", "1", str(i), "n", "1"))]
+        one = to_cef_lines(ev.filter(F.col("event_id") % 8 == i).select(*heads, F.col("ts").cast("timestamp").alias("rt")), dateFormat=fmt)
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+_TAIL = r" C:\new a\b = c|d"
+
+
+@query("roundtrip_text", r"""
+SELECT conv_id AS cn1, turn AS cn2, '[' || regexp_replace(replace(text, '\=', '='), '\r\n|\r', chr(10), 'g') || ' C:\new a\b = c|d' || chr(10) || ']' AS msg,
+  role || ' \x | y' AS Name FROM conversations
+UNION ALL SELECT page_id, -1, '[' || url || ' C:\new a\b = c|d' || chr(10) || ']', 'page \x | y' FROM pages""")
+def roundtrip_text(spark: SparkSession, d: str) -> DataFrame:
+    """Encoding and decoding with unescape give the text back: backslashes, newlines, = and pipes."""
+    conv = _table(spark, d, "conversations").select("conv_id", "turn", "role", F.replace("text", F.lit(r"\="), F.lit("=")).alias("text"))
+    page = _table(spark, d, "pages").select("page_id", F.lit(-1).cast("long"), F.lit("page"), "url")
+    rows = conv.unionAll(page)
+    frame = rows.select(
+        F.lit("CEF:0").alias("CEFVersion"), F.lit("A|B").alias("DeviceVendor"), F.lit("C\\").alias("DeviceProduct"),
+        F.lit("1").alias("DeviceVersion"), F.lit("s").alias("SignatureID"), F.concat("role", F.lit(r" \x | y")).alias("Name"),
+        F.lit("1").alias("Severity"), F.col("conv_id").alias("cn1"), F.col("turn").alias("cn2"),
+        F.concat(F.lit("["), F.col("text"), F.lit(_TAIL), F.lit("\n]")).alias("msg"))
+    sch = _schema(("cn1", T.LongType()), ("cn2", T.LongType()), ("msg", T.StringType()))
+    return parse_cef(to_cef_lines(frame), sch, unescape=True).select("cn1", "cn2", "msg", "Name")
+
+
+@query("append_and_line_separator", """
+SELECT event_id AS eventId, event_type AS SignatureID FROM events""")
+def append_and_line_separator(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark)
+    ev = _encode_frame(_table(spark, d, "events"), product="Sensor")
+    write_cef(ev.filter("eventId % 2 = 0"), path, lineSep="\r\n")
+    write_cef(ev.filter("eventId % 2 = 1"), path, mode="append", lineSep="\r\n")
+    write_cef(ev, path, mode="ignore", lineSep="\r\n")
+    return read_cef(spark, path, lineSep="\r\n").select("eventId", "SignatureID")
+
+
+@query("stream_write", _FILE_SQL)
+def stream_write(spark: SparkSession, d: str) -> DataFrame:
+    base = scratch_dir(spark)
+    ev = _encode_frame(_table(spark, d, "events"), product="Sensor")
+    write_cef(ev.filter("eventId % 2 = 0"), base + "/a")
+    write_cef(ev.filter("eventId % 2 = 1"), base + "/b")
+    stream = read_cef_stream(spark, base + "/a", base + "/b", schema=BASE_SCHEMA)
+    write_cef_stream(stream, base + "/out", base + "/chk").trigger(availableNow=True).start().awaitTermination()
+    return read_cef(spark, base + "/out", schema=BASE_SCHEMA).select(
+        "eventId", "SignatureID", _ms("rt").alias("rt_ms"), "suser", "slat")

@@ -2,14 +2,16 @@ import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cefframe import read_cef, read_cef_stream, register_cef_view, write_cef
+from cefframe import read_cef, read_cef_stream, register_cef_view, write_cef, write_cef_stream
+from cefframe.plans.inspect import physical_plan
 from cefframe.schema import header_schema
 
-LINES = [f"CEF:0|Imp|Waf|1|{i}|n|5|fileid={i} cn1={i * 10} start={1597312906000 + i}" +
-         (" cs11=x" if i == 1 else "") + (" randomValue=r" if i == 2 else "") for i in range(3)]
+LINES = [f"CEF:0|Northwind|Gatekeeper|7.2|{i}|Door|5|badge={i} cn1={i * 10} start={1655789415000 + i}" +
+         (" zone=x" if i == 1 else "") + (" note=r" if i == 2 else "") for i in range(3)]
 
 
 def write_lines(path, lines, gz=False):
@@ -24,26 +26,26 @@ def write_lines(path, lines, gz=False):
 
 
 def test_read_plain_gzip_bzip2_multi_and_glob(spark, tmp_dir):
-    write_lines(f"{tmp_dir}/imperva-access-event.cef", LINES)
-    write_lines(f"{tmp_dir}/imperva-access-event.cef.gz", LINES, gz=True)
+    write_lines(f"{tmp_dir}/gate.cef", LINES)
+    write_lines(f"{tmp_dir}/gate.cef.gz", LINES, gz=True)
     spark.createDataFrame([(x,) for x in LINES], "value string").coalesce(1).write.text(
         f"{tmp_dir}/bz", compression="bzip2")
     bz = glob.glob(f"{tmp_dir}/bz/*.bz2")[0]
-    os.rename(bz, f"{tmp_dir}/imperva-access-event.cef.bz2")
-    plain = read_cef(spark, f"{tmp_dir}/imperva-access-event.cef")
+    os.rename(bz, f"{tmp_dir}/gate.cef.bz2")
+    plain = read_cef(spark, f"{tmp_dir}/gate.cef")
     assert plain.count() == 3
-    assert plain.filter("cs11 is not null").count() == 1 and plain.filter("randomValue is not null").count() == 1
+    assert plain.filter("zone is not null").count() == 1 and plain.filter("note is not null").count() == 1
     assert dict((f.name, f.dataType) for f in plain.schema.fields)["start"] == T.TimestampType()
-    assert read_cef(spark, f"{tmp_dir}/imperva-access-event.cef.gz").count() == 3
-    assert read_cef(spark, f"{tmp_dir}/imperva-access-event.cef.bz2").count() == 3
-    assert read_cef(spark, f"{tmp_dir}/imperva-access-event.cef.gz", f"{tmp_dir}/imperva-access-event.cef").count() == 6
-    assert read_cef(spark, f"{tmp_dir}/imperva*").count() == 9
-    one = read_cef(spark, f"{tmp_dir}/imperva-access-event.cef", maxRecords=2)
-    assert "cs11" in one.columns and "randomValue" not in one.columns
+    assert read_cef(spark, f"{tmp_dir}/gate.cef.gz").count() == 3
+    assert read_cef(spark, f"{tmp_dir}/gate.cef.bz2").count() == 3
+    assert read_cef(spark, f"{tmp_dir}/gate.cef.gz", f"{tmp_dir}/gate.cef").count() == 6
+    assert read_cef(spark, f"{tmp_dir}/gate*").count() == 9
+    one = read_cef(spark, f"{tmp_dir}/gate.cef", maxRecords=2)
+    assert "zone" in one.columns and "note" not in one.columns
 
 
 def test_path_with_spaces_and_cached_input(spark, tmp_dir):
-    p = f"{tmp_dir}/citrix events spaces in name.cef"
+    p = f"{tmp_dir}/two words here.cef"
     write_lines(p, LINES)
     spark.read.text(p).cache().count()
     assert read_cef(spark, p).count() == 3
@@ -72,16 +74,16 @@ def test_sql_view(spark, tmp_dir):
 def test_writer_output_file(spark, tmp_dir):
     fields = header_schema() + [T.StructField(n, T.StringType()) for n in ("cs1", "cs1Label", "cs2", "cs2Label")] \
         + [T.StructField("rt", T.TimestampType())]
-    rows = [["CEF:0", "Testing", "DataFrame | Writer", "1", "1", "Test Writing", "3",
-             f"sample {i}=true", "Some label", None if i % 3 == 0 else "A value with | values",
-             "Another label", dt.datetime(2020, 7, 19, 21, 38, 18)] for i in range(20)]
+    rows = [["CEF:0", "Northwind", "Gate|keeper", "7.2", "B-2", "Badge read", "6",
+             f"door {i}=open", "State", None if i % 4 == 1 else "left | right",
+             "Side", dt.datetime(2021, 11, 30, 23, 59, 1)] for i in range(9)]
     df = spark.createDataFrame(rows, T.StructType(fields)).coalesce(1)
     write_cef(df, f"{tmp_dir}/out", mode="overwrite", dateFormat="millis", epochUnit="micros")
     content = open(glob.glob(f"{tmp_dir}/out/*.txt")[0]).read().splitlines()
-    assert len(content) == 20
-    assert content[0] == (r"CEF:0|Testing|DataFrame \| Writer|1|1|Test Writing|3|cs1=sample 0\=true "
-                          "cs1Label=Some label cs2=- cs2Label=Another label rt=1595194698000000")
-    assert r"|3|cs1=sample 1\=true cs1Label=Some label cs2=A value with | values cs2Label" in content[1]
+    assert len(content) == 9
+    assert content[1] == (r"CEF:0|Northwind|Gate\|keeper|7.2|B-2|Badge read|6|cs1=door 1\=open "
+                          "cs1Label=State cs2=- cs2Label=Side rt=1638316741000000")
+    assert r"|6|cs1=door 4\=open cs1Label=State cs2=left | right cs2Label=Side" in content[4]
 
 
 def test_partitioned_write_and_read(spark, tmp_dir):
@@ -98,10 +100,71 @@ def test_partitioned_write_and_read(spark, tmp_dir):
 
 def test_stream_parse(spark, tmp_dir):
     write_lines(f"{tmp_dir}/in/a.cef", LINES)
-    write_lines(f"{tmp_dir}/in/b.cef", ["CEF:0|V|P", "CEF:0|V|P|1|9|n|1|fileid=9"])
+    write_lines(f"{tmp_dir}/in/b.cef", ["CEF:0|V|P", "CEF:0|V|P|1|9|n|1|badge=9"])
     stream = read_cef_stream(spark, f"{tmp_dir}/in", mode="dropmalformed")
     q = (stream.writeStream.format("parquet").option("path", f"{tmp_dir}/out")
          .option("checkpointLocation", f"{tmp_dir}/chk").trigger(availableNow=True).start())
     q.awaitTermination()
     out = spark.read.parquet(f"{tmp_dir}/out")
-    assert sorted(r.fileid for r in out.collect()) == ["0", "1", "2", "9"]
+    assert sorted(r.badge for r in out.collect()) == ["0", "1", "2", "9"]
+
+
+def test_max_records_stops_reading_early(spark, tmp_dir):
+    write_lines(f"{tmp_dir}/big/a.cef", [f"CEF:0|V|P|1|s|n|1|k{i // 5000}=v pad={'x' * 80}" for i in range(60_000)])
+    df = read_cef(spark, f"{tmp_dir}/big", maxRecords=3)
+    assert df.columns[7:] == ["k0", "pad"]
+
+
+def test_file_names_with_glob_characters_and_logged_inference(spark, tmp_dir, caplog):
+    for i, name in enumerate(("a[1].cef", "b{x}.cef", "c d.cef", "e%20f.cef")):
+        write_lines(f"{tmp_dir}/odd/{name}", [f"CEF:0|V|P|1|s|n|1|k{i}=1"])
+    with caplog.at_level("INFO", logger="cefframe"):
+        assert read_cef(spark, f"{tmp_dir}/odd").columns[7:] == ["k0", "k1", "k2", "k3"]
+    assert "Inferred CEF schema of 11 columns" in caplog.text
+    assert read_cef(spark, f"{tmp_dir}/odd", maxRecords=2).columns[7:] == ["k0", "k1"]
+
+
+def test_no_files(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/none")
+    for kw in ({}, {"maxRecords": 5}):
+        with pytest.raises(ValueError, match="It must be specified manually"):
+            read_cef(spark, f"{tmp_dir}/none", **kw)
+
+
+@pytest.mark.parametrize("name", ["src", "Src"])
+def test_partition_column_named_like_a_key_wins(spark, tmp_dir, name):
+    write_lines(f"{tmp_dir}/{name}/{name}=P1/x.cef", ["CEF:0|V|P|1|s|n|1|src=line act=go"])
+    write_lines(f"{tmp_dir}/{name}/{name}=P2/x.cef", ["CEF:0|V|P|1|s|n|1|src=line act=go"])
+    df = read_cef(spark, f"{tmp_dir}/{name}")
+    assert [c.lower() for c in df.columns].count("src") == 1
+    one = df.filter(F.col("src") == "P1")
+    assert [(r["src"], r.act) for r in one.select("src", "act").collect()] == [("P1", "go")]
+    assert f"({name}#" in physical_plan(one).split("PartitionFilters:")[1].split("PushedFilters")[0]
+    given = T.StructType(header_schema() + [T.StructField("src", T.StringType()), T.StructField("act", T.StringType())])
+    assert [r.src for r in read_cef(spark, f"{tmp_dir}/{name}", schema=given).orderBy("src").collect()] == ["P1", "P2"]
+
+
+def test_options_reach_spark_whatever_their_case(spark, tmp_dir):
+    df = spark.createDataFrame([("CEF:0", "V", "P", "1", "s", "n", "1", "x")],
+                               "CEFVersion string, DeviceVendor string, DeviceProduct string, DeviceVersion string, "
+                               "SignatureID string, Name string, Severity string, act string")
+    write_cef(df.union(df), f"{tmp_dir}/z", Compression="gzip", LINESEP="\r\n", mode="append")
+    write_cef(df, f"{tmp_dir}/z", mode="ignore")
+    assert glob.glob(f"{tmp_dir}/z/*.gz") and not glob.glob(f"{tmp_dir}/z/*.txt")
+    assert [r.act for r in read_cef(spark, f"{tmp_dir}/z", LINESEP="\r\n", pathglobfilter="*.gz").collect()] == ["x", "x"]
+
+
+def test_null_line_is_marked_in_the_corrupt_column(spark):
+    from cefframe import parse_cef
+    df = spark.createDataFrame([(None,), ("CEF:0|V|P|1|s|n|1|act=x",)], "value string")
+    sch = T.StructType(header_schema() + [T.StructField("act", T.StringType()), T.StructField("_c", T.StringType())])
+    out = parse_cef(df, sch, corruptRecordColumnName="_c")
+    assert [(r.act, r._c) for r in out.collect()] == [(None, ""), ("x", None)] and out.filter("_c is not null").count() == 1
+
+
+def test_stream_of_several_paths_and_stream_write(spark, tmp_dir):
+    write_lines(f"{tmp_dir}/one/a.cef", LINES)
+    write_lines(f"{tmp_dir}/two/b.cef", LINES[:1])
+    stream = read_cef_stream(spark, f"{tmp_dir}/one", f"{tmp_dir}/two", maxBytesPerTrigger=1000000)
+    write_cef_stream(stream, f"{tmp_dir}/sout", f"{tmp_dir}/schk").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.badge for r in read_cef(spark, f"{tmp_dir}/sout").collect()) == ["0", "0", "1", "2"]
