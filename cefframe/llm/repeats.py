@@ -21,8 +21,9 @@ cut so that an enhanced suffix array is built only where it decides something, i
 
 Counting sends each key once per block of documents, as packed arrays, to the task of the key's
 range; the answer is one byte per key and block.  So a hot key arrives at most once per block.  The
-documents are stored once, compressed, as a table bucketed by the blocks' home (a quarter of a map
-task's blocks, one file), and the answers come back by home, so no step shuffles the texts.
+documents and their units are stored, compressed, as a table bucketed by the blocks' home (a quarter
+of a map task's blocks, one file); the answers come back by home, so no step shuffles the texts or
+finds the units again.
 
 Anchors and digests only choose what meets: repeats are decided on the bytes, or on 128-bit digests.
 
@@ -50,7 +51,6 @@ from .common import map_arrow, new_run, ship_code, stored, table
 LENGTH, GRAM = 200, 64
 BLOCK_BYTES, BLOCK_DOCS, HOMES = 1_500_000, 2000, 4
 MOST_UNITS, BATCH_BYTES = 400, 2_000_000
-GROUP_BYTES = 256 << 20
 
 _U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -254,40 +254,72 @@ def home_of(block_col):
     return F.shiftright(block_col, 24)
 
 
+def shut(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length as compressed bytes."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.ascontiguousarray(x).tobytes() for x in arrays]))
+
+
+def opened(data: bytes, *kinds) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n, at, out = len(raw) // sum(np.dtype(k).itemsize for k in kinds), 0, []
+    for k in kinds:
+        out.append(np.frombuffer(raw, k, n, at))
+        at += n * np.dtype(k).itemsize
+    return out
+
+
 class Block:
-    """The documents of one block, and their units."""
+    """The documents of one block, its units, and (later) the digests of its units."""
 
-    def __init__(self, sizes: list[int], packed: bytes):
-        data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8) if packed else np.empty(0, np.uint8)
+    def __init__(self, sizes: list[int], data: bytes, units_: bytes | None = None, digests: bool = False):
         self.ends = np.cumsum(sizes, dtype=np.int64)
         self.starts = self.ends - np.asarray(sizes, np.int64)
-        self.data = data
-        found = [units(data[a:b]) for a, b in zip(self.starts, self.ends)]
-        count = [len(f[0]) for f in found]
-        shift = np.repeat(self.starts, count)
+        self.raw = data
+        self.data = np.frombuffer(data, np.uint8)
+        if units_ is not None:
+            kinds = ["i4", "i4", "i4", "u8"] + ["u8", "u8"] * digests
+            self.first, self.last, self.anchor, self.hash, *words = opened(units_, *kinds)
+            self.first, self.last, self.anchor = (x.astype(np.int64) for x in (self.first, self.last, self.anchor))
+            self.keys = np.column_stack([self.hash, *words]) if digests else self.hash
+            return
+        found = [units(self.data[a:b]) for a, b in zip(self.starts, self.ends)]
+        shift = np.repeat(self.starts, [len(f[0]) for f in found])
         cat = lambda k, kind: np.concatenate([f[k] for f in found]) if found else np.empty(0, kind)
         self.first, self.last, self.anchor = (cat(k, np.int64) + shift for k in range(3))
-        self.hash = cat(3, np.uint64)
+        self.hash = self.keys = cat(3, np.uint64)
+
+    def shut_units(self) -> bytes:
+        words = [self.keys[:, 1], self.keys[:, 2]] if self.keys.ndim > 1 else []
+        return shut(*(x.astype(np.int32) for x in (self.first, self.last, self.anchor)), self.hash, *words)
 
     def keep(self, mask: np.ndarray) -> None:
+        """Only some of the units, with their digests: two words for its bytes and its anchor's place in them."""
         self.first, self.last, self.anchor, self.hash = (x[mask] for x in (self.first, self.last, self.anchor, self.hash))
+        out = [xxhash.xxh3_128_digest(self.raw[a:b], seed=c) for a, b, c in
+               zip(self.first.tolist(), (self.last + LENGTH).tolist(), (self.anchor - self.first).tolist())]
+        self.keys = np.column_stack([self.hash, np.frombuffer(b"".join(out), np.uint64).reshape(-1, 2)])
 
     def string(self, i: int) -> bytes:
-        return self.data[self.first[i]:self.last[i] + LENGTH].tobytes()
-
-    def digests(self) -> np.ndarray:
-        """Two words for each unit: its bytes and where its anchor lies in them."""
-        raw = self.data.tobytes()
-        out = [xxhash.xxh3_128_digest(raw[a:b + LENGTH], seed=int(c - a)) for a, b, c in zip(self.first, self.last, self.anchor)]
-        return np.frombuffer(b"".join(out), np.uint64).reshape(-1, 2)
-
-    def window_digests(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, anchor hash and digest of each window of the chosen units."""
-        raw = self.data.tobytes()
-        starts = np.concatenate([np.arange(self.first[i], self.last[i] + 1) for i in chosen]) if len(chosen) else np.empty(0, np.int64)
+        return self.raw[self.first[i]:self.last[i] + LENGTH]
+
+    def window_keys(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start of each window of the chosen units, and its key: digest and anchor hash."""
+        if not len(chosen):
+            return np.empty(0, np.int64), np.empty((0, 3), np.uint64)
+        starts = np.concatenate([np.arange(self.first[i], self.last[i] + 1) for i in chosen])
         hashes = np.repeat(self.hash[chosen], self.last[chosen] - self.first[chosen] + 1)
-        out = [xxhash.xxh3_128_digest(raw[a:a + LENGTH]) for a in starts.tolist()]
-        return starts, hashes, np.frombuffer(b"".join(out), np.uint64).reshape(-1, 2)
+        out = [xxhash.xxh3_128_digest(self.raw[a:a + LENGTH]) for a in starts.tolist()]
+        # The digest first: an anchor's windows are too many for one task, so they are dealt out by it.
+        return starts, np.column_stack([np.frombuffer(b"".join(out), np.uint64).reshape(-1, 2), hashes])
+
+    def key_rows(self, block: int, keys: np.ndarray, parts: int) -> list[dict]:
+        """A block's distinct keys by the part that counts them, as rows for the table."""
+        kinds, _, count = distinct(keys)
+        part = parts_of(kinds if kinds.ndim == 1 else kinds[:, 0], parts)
+        order = np.argsort(part, kind="stable")
+        cuts = np.nonzero(np.diff(part[order]))[0] + 1
+        return [{"part": int(part[rows[0]]), "keys": kinds[rows].tobytes(), "several": (count[rows] > 1).tobytes()}
+                for rows in (np.split(order, cuts) if len(order) else ())]
 
 
 def distinct(keys: np.ndarray):
@@ -306,16 +338,8 @@ def parts_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> _U(33)) % _U(parts)).astype(np.int64)
 
 
-def packed_keys(block: int, keys: np.ndarray, count: np.ndarray, parts: int):
-    """(part, block, keys, several) rows: a block's distinct keys by the part that counts them."""
-    part = parts_of(keys if keys.ndim == 1 else keys[:, 0], parts)
-    order = np.argsort(part, kind="stable")
-    cuts = np.nonzero(np.diff(part[order]))[0] + 1
-    for rows in np.split(order, cuts) if len(order) else ():
-        yield int(part[rows[0]]), block, keys[rows].tobytes(), (count[rows] > 1).tobytes()
-
-
-KEY_ROWS = "part long, block long, keys binary, several binary"
+KEY_ROWS = "array<struct<part: long, keys: binary, several: binary>>"
+KEY_TYPE = pa.list_(pa.struct([("part", pa.int64()), ("keys", pa.binary()), ("several", pa.binary())]))
 
 
 def answers(rows: pd.DataFrame, words: int, judge) -> pd.DataFrame:
@@ -365,23 +389,58 @@ class Answers:
         return out
 
 
+TABLE = f"home long, block long, ids array<long>, sizes array<long>, packed binary, units binary, keys {KEY_ROWS}"
+TABLE_TYPES = [("home", pa.int64()), ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+               ("packed", pa.binary()), ("units", pa.binary()), ("keys", KEY_TYPE)]
+
+
+def one_row(types, *values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, (_, k) in zip(values, types)], [n for n, _ in types])
+
+
+def rows_of(batches):
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def inflated(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed) if packed else b""
+
+
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 for each row."""
     spark = docs.sparkSession
     ship_code(spark)
     run = new_run(spark, "repeats")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    # A part counts about as many keys as one partition of the input has.
+    parts = max(buckets, rows.rdd.getNumPartitions())
+
+    def bucketed(df: DataFrame, label: str) -> DataFrame:
+        """A table bucketed by home: the answers join it without shuffling the texts."""
+        name = f"llm_{label}_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, "home").option("path", f"{run}/{label}").option("compression", "none").saveAsTable(name)
+        return spark.table(name)
+
+    def by_home(codes: DataFrame, label: str) -> DataFrame:
+        codes = stored(codes, f"{run}/{label}").withColumn("home", home_of(F.col("block")))
+        return codes.groupBy("home").agg(F.collect_list(F.struct("block", "part", "codes")).alias(label))
+
+    def counted(table_: DataFrame, words: int, judge, label: str) -> DataFrame:
+        """Each key counted over all blocks by its part; the answers by home."""
+        keys = table_.select("block", F.inline("keys"))
+        return by_home(keys.groupBy("part").applyInPandas(lambda r: answers(r, words, judge), "block long, part long, codes binary"), label)
 
     def pack(batches):
         task, k = TaskContext.get().partitionId(), 0
         ids, texts, size = [], [], 0
 
         def row():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([task * HOMES + k % HOMES], pa.int64()), pa.array([block_number(task, k)], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-                 pa.array([zstandard.ZstdCompressor(level=3).compress(b"".join(texts))], pa.binary())],
-                ["home", "block", "ids", "sizes", "packed"])
+            number, data = block_number(task, k), b"".join(texts)
+            block = Block([len(t) for t in texts], data)
+            return one_row(TABLE_TYPES, task * HOMES + k % HOMES, number, ids, [len(t) for t in texts],
+                           zstandard.ZstdCompressor(level=3).compress(data), block.shut_units(), block.key_rows(number, block.hash, parts))
 
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
@@ -395,70 +454,39 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if ids:
             yield row()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    # A bucketed table: the steps below join their answers to it without shuffling the texts.
-    name = f"llm_blocks_{uuid.uuid4().hex}"
-    (map_arrow(rows, pack, "home long, block long, ids array<long>, sizes array<long>, packed binary")
-     .write.bucketBy(buckets, "home").option("path", f"{run}/blocks").option("compression", "none").saveAsTable(name))
-    blocks = spark.table(name)
-    total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    parts = max(buckets, -(-total // GROUP_BYTES))
-
-    def by_home(codes: DataFrame, label: str) -> DataFrame:
-        codes = stored(codes, f"{run}/{label}").withColumn("home", home_of(F.col("block")))
-        return codes.groupBy("home").agg(F.collect_list(F.struct("block", "part", "codes")).alias(label))
-
-    def keyed(batches):
-        for batch in batches:
-            for block, sizes, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                keys, _, count = distinct(Block(sizes, packed).hash)
-                yield key_batch(packed_keys(block, keys, count, parts))
-
-    def judge_anchors(kinds, count, number):
-        return (count > 1)[number]
-
-    base = ["block", "sizes", "packed"]
-    anchors = map_arrow(blocks.select(*base), keyed, KEY_ROWS).groupBy("part").applyInPandas(
-        lambda r: answers(r, 1, judge_anchors), "block long, part long, codes binary")
-    with_anchors = blocks.join(by_home(anchors, "anchors"), "home", "left")
-
-    def open_block(block_id, sizes, packed, anchors_):
-        """A block with only the units whose anchors repeat, and their keys."""
-        block = Block(sizes, packed)
-        keys, number, _ = distinct(block.hash)
-        block.keep(Answers(anchors_, block_id).of(keys, parts)[number] > 0)
-        return block, np.column_stack([block.hash, block.digests()]) if len(block.hash) else np.empty((0, 3), np.uint64)
-
-    def unit_keys(batches):
-        for batch in batches:
-            for block_id, sizes, packed, anchors_ in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                _, keys = open_block(block_id, sizes, packed, anchors_)
-                kinds, _, count = distinct(keys)
-                yield key_batch(packed_keys(block_id, kinds, count, parts))
-
-    unit_codes = map_arrow(with_anchors.select(*base, "anchors"), unit_keys, KEY_ROWS).groupBy("part").applyInPandas(
-        lambda r: answers(r, 3, judge_units), "block long, part long, codes binary")
-    # Both answers are stored now, so each step below starts from tables.
-    unit_codes = by_home(unit_codes, "units")
-    with_units = with_anchors.join(unit_codes, "home", "left")
-
-    def coded(block_id, sizes, packed, anchors_, units_):
-        block, keys = open_block(block_id, sizes, packed, anchors_)
-        kinds, number, _ = distinct(keys)
-        codes = Answers(units_, block_id).of(kinds, parts)
-        once = np.zeros(len(number), bool)
-        once[np.unique(number, return_index=True)[1]] = True
-        return block, codes[number], once
+    blocks = bucketed(map_arrow(rows, pack, TABLE), "blocks")
+    anchors = counted(blocks, 1, lambda kinds, count, number: (count > 1)[number], "anchors")
+
+    def digest(batches):
+        """Only units whose anchors repeat, with their digests."""
+        for home, number, ids, sizes, packed, units_, anchors_ in rows_of(batches):
+            block = Block(sizes, inflated(packed), units_)
+            kinds, index, _ = distinct(block.hash)
+            block.keep(Answers(anchors_, number).of(kinds, parts)[index] > 0)
+            yield one_row(TABLE_TYPES, home, number, ids, sizes, packed, block.shut_units(), block.key_rows(number, block.keys, parts))
+
+    joined = blocks.join(anchors, "home", "left").select("home", "block", "ids", "sizes", "packed", "units", "anchors")
+    digested = bucketed(map_arrow(joined, digest, TABLE), "digested")
+    coded_units = counted(digested, 3, judge_units, "codes")
+    judged = digested.drop("keys").join(coded_units, "home", "left")
+    base = ["block", "sizes", "packed", "units", "codes"]
+
+    def coded(number, sizes, packed, units_, codes_, wanted: int):
+        """A block, its units' codes, and those that are the block's first of their kind and have a wanted code."""
+        block = Block(sizes, inflated(packed), units_, digests=True)
+        kinds, index, _ = distinct(block.keys)
+        codes = Answers(codes_, number).of(kinds, parts)[index]
+        once = np.zeros(len(index), bool)
+        once[np.unique(index, return_index=True)[1]] = True
+        return block, codes, np.nonzero((codes & wanted > 0) & once)[0]
 
     def meeting(batches):
-        for batch in batches:
-            for block_id, sizes, packed, anchors_, units_ in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                block, codes, once = coded(block_id, sizes, packed, anchors_, units_)
-                chosen = np.nonzero((codes & MEETS > 0) & once)[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.hash[chosen].view(np.int64)), pa.array([block_id] * len(chosen), pa.int64()),
-                     pa.array(block.first[chosen]), pa.array([block.string(i) for i in chosen], pa.binary())],
-                    ["anchor", "block", "first", "string"])
+        for row in rows_of(batches):
+            block, _, chosen = coded(*row, MEETS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block.hash[chosen].view(np.int64)), pa.array([row[0]] * len(chosen), pa.int64()),
+                 pa.array(block.first[chosen]), pa.array([block.string(i) for i in chosen], pa.binary())],
+                ["anchor", "block", "first", "string"])
 
     def decide(batches):
         """Rows sorted by anchor: as many whole anchors as fit go into one suffix array."""
@@ -474,81 +502,64 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             cols = list(zip(*spans)) or [(), (), ()]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["block", "start", "stop"])
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and row[0] != held[-1][0] and size > BATCH_BYTES:
-                    yield flush()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3])
+        for row in rows_of(batches):
+            if held and row[0] != held[-1][0] and size > BATCH_BYTES:
+                yield flush()
+                held, size = [], 0
+            held.append(row)
+            size += len(row[3])
         if held:
             yield flush()
 
-    spans = (map_arrow(with_units.select(*base, "anchors", "units"), meeting, "anchor long, block long, first long, string binary")
-             .repartition(buckets, "anchor").sortWithinPartitions("anchor"))
-    spans = stored(map_arrow(spans, decide, "block long, start long, stop long"), f"{run}/spans")
+    met = (map_arrow(judged.select(*base), meeting, "anchor long, block long, first long, string binary")
+           .repartition(buckets, "anchor").sortWithinPartitions("anchor"))
+    spans = stored(map_arrow(met, decide, "block long, start long, stop long"), f"{run}/spans")
 
-    # Windows are dealt out by their own digest: an anchor's are too many for one task.
-    def by_digest(keys):
-        return keys[:, [1, 2, 0]]
+    def window_rows(batches):
+        for row in rows_of(batches):
+            block, _, chosen = coded(*row, WINDOWS)
+            yield one_row([("block", pa.int64()), ("keys", KEY_TYPE)], row[0], block.key_rows(row[0], block.window_keys(chosen)[1], parts))
 
-    def window_keys(batches):
-        for batch in batches:
-            for block_id, sizes, packed, anchors_, units_ in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                block, codes, once = coded(block_id, sizes, packed, anchors_, units_)
-                _, hashes, digests = block.window_digests(np.nonzero((codes & WINDOWS > 0) & once)[0])
-                kinds, _, count = distinct(by_digest(np.column_stack([hashes, digests])))
-                yield key_batch(packed_keys(block_id, kinds, count, parts))
-
-    window_codes = map_arrow(with_units.select(*base, "anchors", "units"), window_keys, KEY_ROWS).groupBy("part").applyInPandas(
-        lambda r: answers(r, 3, judge_anchors), "block long, part long, codes binary")
-    window_codes = by_home(window_codes, "windows")
+    windows = counted(map_arrow(judged.select(*base), window_rows, f"block long, keys {KEY_ROWS}"), 3,
+                      lambda kinds, count, number: (count > 1)[number], "windows")
     by_spans = (spans.groupBy(home_of(F.col("block")).alias("home"))
                 .agg(F.collect_list(F.struct("block", "start", "stop")).alias("spans")))
-    everything = with_units.join(window_codes, "home", "left").join(by_spans, "home", "left")
+    everything = judged.join(windows, "home", "left").join(by_spans, "home", "left")
 
     def finish(batches):
-        for batch in batches:
-            for block_id, sizes, packed, anchors_, units_, windows_, spans_, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                block, codes, once = coded(block_id, sizes, packed, anchors_, units_)
-                edge = np.zeros(len(block.data) + 1, np.int64)
-                whole = codes & REPEATS > 0
-                np.add.at(edge, block.first[whole], 1)
-                np.add.at(edge, block.last[whole] + LENGTH, -1)
-                starts, hashes, digests = block.window_digests(np.nonzero((codes & WINDOWS > 0) & once)[0])
-                if len(starts):
-                    kinds, number, _ = distinct(by_digest(np.column_stack([hashes, digests])))
-                    again = Answers(windows_, block_id).of(kinds, parts)[number] > 0
-                    np.add.at(edge, starts[again], 1)
-                    np.add.at(edge, starts[again] + LENGTH, -1)
-                for span in spans_ or ():
-                    if span["block"] == block_id:
-                        edge[span["start"]] += 1
-                        edge[span["stop"]] -= 1
-                gone = np.cumsum(edge[:-1]) > 0
-                removed, runs, shas = [], [], []
-                for a, b in zip(block.starts, block.ends):
-                    own = gone[a:b]
-                    removed.append(int(own.sum()))
-                    runs.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()))
-                    shas.append(hashlib.sha256(block.data[a:b][~own].tobytes()).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                     pa.array(runs, pa.int64()), pa.array(shas, pa.string())],
-                    ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    out = map_arrow(everything.select(*base, "anchors", "units", "windows", "spans", "ids"), finish,
+        for *row, windows_, spans_, ids in rows_of(batches):
+            block, codes, chosen = coded(*row, WINDOWS)
+            edge = np.zeros(len(block.data) + 1, np.int64)
+            whole = codes & REPEATS > 0
+            np.add.at(edge, block.first[whole], 1)
+            np.add.at(edge, block.last[whole] + LENGTH, -1)
+            starts, keys = block.window_keys(chosen)
+            if len(starts):
+                kinds, index, _ = distinct(keys)
+                again = Answers(windows_, row[0]).of(kinds, parts)[index] > 0
+                np.add.at(edge, starts[again], 1)
+                np.add.at(edge, starts[again] + LENGTH, -1)
+            for span in spans_ or ():
+                if span["block"] == row[0]:
+                    edge[span["start"]] += 1
+                    edge[span["stop"]] -= 1
+            gone = np.cumsum(edge[:-1]) > 0
+            removed, runs, shas = [], [], []
+            for a, b in zip(block.starts, block.ends):
+                own = gone[a:b]
+                removed.append(int(own.sum()))
+                runs.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()))
+                shas.append(hashlib.sha256(block.data[a:b][~own].tobytes() if removed[-1] else block.raw[a:b]).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(row[1], pa.int64()), pa.array(removed, pa.int64()),
+                 pa.array(runs, pa.int64()), pa.array(shas, pa.string())],
+                ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    out = map_arrow(everything.select(*base, "windows", "spans", "ids"), finish,
                     "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumnRenamed("id", id_col)
 
 
-def key_batch(rows) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                       pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
-                                      ["part", "block", "keys", "several"])
-
-
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching spans joined."""
     out: list[tuple[int, int]] = []
