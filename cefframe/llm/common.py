@@ -37,8 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_run(spark: SparkSession, label: str) -> str:
-    """A fresh folder for the intermediate tables of one call."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder for the intermediate tables of one call, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)  # noqa: SLF001
+    return path
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

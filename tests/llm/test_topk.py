@@ -43,9 +43,9 @@ def test_matches_brute_force(spark, monkeypatch, spread):
 
 
 def test_odd_vectors_ties_and_repeats(spark):
-    rows = vectors(random.Random(4), 40, 4) + [(7, None), (14, [1.0, None, 2.0, 0.0]), (21, [float("nan")] * 4), (50, [float("inf"), 0, 0, 0]),
+    rows = vectors(random.Random(4), 40, 4) + [(7, None), (14, [1.0, None, 2.0, 0.0]), (21, [float("nan")] * 4), (50, [float("inf"), 0.0, 0.0, 0.0]),
                                                (51, []), (52, [1.0]), (53, [1.0] * 6), (None, [3.0] * 4), (None, [3.0] * 4), (28, [9.0] * 4),
-                                               (54, [1e9, 0, 0, 0])]
+                                               (54, [1e9, 0.0, 0.0, 0.0])]
     rows += [(100 + i, [5.0, 5.0, 5.0, 5.0]) for i in range(30)]
     check(spark, rows)
 
