@@ -16,7 +16,6 @@ parse; a filter on an extension column reads the computed column.
 
 from __future__ import annotations
 
-import functools
 from typing import Any, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -103,8 +102,7 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
     once: dict[str, str] = {}
     if opts.pivot_fields:
         step = PV.label_arrays(step, m, keep, nv, _P)
-        step, flags = PV.pivoted_columns(step, ext_fields, keep, opts, _P)
-        clash = functools.reduce(lambda a, b: a | b, flags, F.lit(False))
+        step, clash = PV.pivoted_columns(step, ext_fields, keep, opts, _P)
         step = step.withColumn(_P + "perr", F.coalesce(err, F.when(clash, F.lit(PV.TYPE_CLASH_MESSAGE))))
         once[_P + "perr"] = _P + "error"
     else:

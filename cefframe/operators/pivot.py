@@ -59,15 +59,16 @@ def _nonnull_by_code(raw: Column, code: Column) -> Column:
 
 def label_arrays(df: DataFrame, m: Column, keep: list[Column], null_value: str, prefix: str,
                  positions: bool = False) -> DataFrame:
-    """``k``, ``v``, ``n`` (and ``p``, places in the line, if asked) from the matches ``m``.
+    """``k`` (keys), ``m`` (whole pairs) and ``n`` (names, where a pair has a label), last pair first.
 
-    A key that is repeated keeps its last value.  Each stage is a Project over column references, so
-    an array is built once per row.
+    Also ``lk`` and ``lv``: the label keys and their values; and ``p``, places in the line, if asked.
+    A key that is repeated keeps its last pair.  Each stage is a Project over column references, so an
+    array is built once per row; values are cut out later, for the columns that are selected.
     """
-    k, v, n, p = (prefix + x for x in "kvnp")
-    place = [F.sequence(F.lit(0), F.greatest(F.size(m) - 1, F.lit(0))).alias(p)] if positions else []
-    d = df.select(*keep, F.reverse(TK.match_keys(m)).alias(k), F.reverse(TK.match_values(m, null_value)).alias(v),
-                  *[F.reverse(x).alias(p) for x in place])
+    k, pairs, n, lk, lv, p = (prefix + x for x in ("k", "m", "n", "lk", "lv", "p"))
+    place = [F.reverse(F.sequence(F.lit(0), F.greatest(F.size(m) - 1, F.lit(0)))).alias(p)] if positions else []
+    d = df.select(*keep, F.reverse(TK.match_keys(m)).alias(k), F.reverse(m).alias(pairs), *place)
+    arrays = [k, pairs, *([p] if positions else [])]
     # The quadratic filter only runs for lines that repeat a key.
     single = F.size(F.array_distinct(k)) == F.size(k)
 
@@ -75,12 +76,15 @@ def label_arrays(df: DataFrame, m: Column, keep: list[Column], null_value: str,
         first = F.filter(F.col(name), lambda x, i: F.array_position(F.col(k), F.get(F.col(k), i)).cast("int") == i + 1)
         return F.when(single, F.col(name)).otherwise(first)
 
-    d = d.select(*keep, *[last_only(x).alias(x) for x in (k, v, *([p] if positions else []))])
+    d = d.select(*keep, *[last_only(x).alias(x) for x in arrays])
+    d = d.select(*keep, *arrays, F.filter(k, lambda x: x.endswith(LABEL_SUFFIX)).alias(lk))
+    value = F.transform(lk, lambda x: TK.null_token(TK.java_trim(TK.match_text(
+        F.get(F.col(pairs), F.array_position(F.col(k), x).cast("int") - 1))), null_value))
+    d = d.select(*keep, *arrays, lk, value.alias(lv))
     # Labels are looked for only in lines that have one.
-    label = F.transform(k, lambda x: F.get(F.col(v), F.array_position(F.col(k), F.concat(x, F.lit(LABEL_SUFFIX))).cast("int") - 1))
-    has_label = F.exists(k, lambda x: x.endswith(LABEL_SUFFIX))
-    return d.select(*keep, k, v, *([p] if positions else []),
-                    F.when(has_label, label).otherwise(F.array().cast("array<string>")).alias(n))
+    names = F.transform(k, lambda x: F.get(F.col(lv), F.array_position(F.col(lk), F.concat(x, F.lit(LABEL_SUFFIX))).cast("int") - 1))
+    return d.select(*keep, *arrays, lk, lv,
+                    F.when(F.size(lk) > 0, names).otherwise(F.array().cast("array<string>")).alias(n))
 
 
 def _position(array: str, name: str) -> Column:
@@ -94,57 +98,54 @@ def _first(*places: Column) -> Column:
 
 
 def pivoted_columns(df: DataFrame, fields: list[T.StructField], keep: list[Column], opts: CefOptions,
-                    prefix: str) -> tuple[DataFrame, list[Column]]:
-    """Typed columns ``t0``, ``t1``, ...; and for each a flag that its value has the wrong type."""
-    k, v, n = (prefix + x for x in "kvn")
+                    prefix: str) -> tuple[DataFrame, Column]:
+    """Typed columns ``t0``, ``t1``, ...; and a flag: the line has a value of the wrong type."""
+    k, m, n, lk, lv = (prefix + x for x in ("k", "m", "n", "lk", "lv"))
     places = []
     for i, f in enumerate(fields):
         # A name with the conflict suffix may also stand for the bare label or key.
-        suffix = S.CONFLICT_SUFFIX
-        names = [f.name] + ([f.name[:-len(suffix)]] if f.name.endswith(suffix) and S.is_header(f.name[:-len(suffix)]) else [])
-        names = [x for x in names if not (S.is_header(x) and x == f.name)]
+        bare = f.name[:-len(S.CONFLICT_SUFFIX)] if f.name.endswith(S.CONFLICT_SUFFIX) else ""
+        names = [f.name, bare] if S.is_header(bare) else [f.name]
         places.append(_first(*[_position(n, x) for x in names]).alias(f"{prefix}l{i}"))
         places.append(_first(*[_position(k, x) for x in names]).alias(f"{prefix}q{i}"))
-    step = df.select(*keep, k, v, n, *places)
-    raw = []
+    step = df.select(*keep, k, m, n, lk, lv, *places)
+    cut = []
     for i, f in enumerate(fields):
         by_label, by_key = F.col(f"{prefix}l{i}"), F.col(f"{prefix}q{i}")
         plain = by_key.isNotNull() & F.get(F.col(n), by_key - 1).isNull()
         if f.name.endswith(LABEL_SUFFIX):
             # The label of a pair is used up, unless its value is null.
-            used = F.get(F.col(v), by_key - 1).isNotNull() & F.array_contains(F.col(k), F.lit(f.name[:-len(LABEL_SUFFIX)]))
-            plain = plain & ~used
-        text = F.when(by_label.isNotNull(), F.get(F.col(v), by_label - 1)).when(plain, F.get(F.col(v), by_key - 1))
-        raw.append((TK.unescape_extension(text) if opts.unescape else text).alias(f"{prefix}r{i}"))
-        # Source key: of a label at run time; a plain column is its own source.
-        raw.append(F.when(by_label.isNotNull(), F.get(F.col(k), by_label - 1))
-                   .when(plain, F.get(F.col(k), by_key - 1)).alias(f"{prefix}s{i}"))
+            value = F.get(F.col(lv), F.array_position(F.col(lk), F.lit(f.name)).cast("int") - 1)
+            plain = plain & ~(value.isNotNull() & F.array_contains(F.col(k), F.lit(f.name[:-len(LABEL_SUFFIX)])))
+        place = F.when(by_label.isNotNull(), by_label).when(plain, by_key)
+        cut.append(TK.match_text(F.get(F.col(m), place - 1)).alias(f"{prefix}r{i}"))
+        # A plain column's type is the dictionary's; a label's is that of its key.
+        own = F.lit(type_code(S.key_type(f.name)))
+        cut.append(F.when(by_label.isNotNull(), _src_code(F.get(F.col(k), by_label - 1))).when(plain, own).alias(f"{prefix}s{i}"))
+    step = step.select(*keep, *cut)
+    raw = []
+    for i in range(len(fields)):
+        text = TK.clean_value(F.col(f"{prefix}r{i}"), opts.null_value)
+        raw += [(TK.unescape_extension(text) if opts.unescape else text).alias(f"{prefix}r{i}"), F.col(f"{prefix}s{i}")]
     step = step.select(*keep, *raw)
-    step = step.select(*keep, *[c for i, f in enumerate(fields) for c in (
-        F.col(f"{prefix}r{i}"), F.when(F.col(f"{prefix}s{i}").isNotNull(), _src_code(F.col(f"{prefix}s{i}"))).alias(f"{prefix}s{i}"))])
-    typed, flags = [], []
+    typed, odd = [], []
     for i, f in enumerate(fields):
-        value, clash = typed_pivot_value(F.col(f"{prefix}r{i}"), F.col(f"{prefix}s{i}"), f.dataType)
-        typed.append(value.alias(f"{prefix}t{i}"))
-        typed.append(clash.alias(f"{prefix}f{i}"))
-        flags.append(F.col(f"{prefix}f{i}"))
-    return step.select(*keep, *typed), flags
-
-
-def typed_pivot_value(raw: Column, code: Column, dt: T.DataType) -> tuple[Column, Column]:
-    """(typed value, clash flag) for a pivot column of type ``dt``."""
-    want = type_code(dt)
-    if want is None:  # user-declared type outside the format: plain lenient cast
-        return V.convert(raw, dt), F.lit(False)
-    same = code == want
-    clash = F.when(code.isNull() | same, F.lit(False)).otherwise(F.coalesce(_nonnull_by_code(raw, code), F.lit(False)))
-    return F.when(same, V.convert(raw, dt)), clash
+        text, code, want = F.col(f"{prefix}r{i}"), F.col(f"{prefix}s{i}"), type_code(f.dataType)
+        if want is None:  # user-declared type outside the format: plain lenient cast
+            typed.append(V.convert(text, f.dataType).alias(f"{prefix}t{i}"))
+            continue
+        typed.append(F.when(code == want, V.convert(text, f.dataType)).alias(f"{prefix}t{i}"))
+        odd.append(F.when(code != want, F.struct(text.alias("v"), code.alias("c"))))
+    # Rarely any: one test for all of them, over the values that are not of their column's type.
+    clash = F.exists(F.array(*odd), lambda x: x.isNotNull() & _nonnull_by_code(x["v"], x["c"])) if odd else F.lit(False)
+    return step.select(*keep, *typed, F.coalesce(clash, F.lit(False)).alias(prefix + "clash")), F.col(prefix + "clash")
 
 
 def entries(df: DataFrame, keep: list[Column], prefix: str) -> DataFrame:
     """One row per pair of :func:`label_arrays` that gives a column: ``name``, ``src``, ``p``."""
-    k, v, n, p = (prefix + x for x in "kvnp")
-    used = F.transform(k, lambda x, i: x.endswith(LABEL_SUFFIX) & F.get(F.col(v), i).isNotNull() & (
+    k, n, lk, lv, p = (prefix + x for x in ("k", "n", "lk", "lv", "p"))
+    used = F.transform(k, lambda x: x.endswith(LABEL_SUFFIX) & F.get(
+        F.col(lv), F.array_position(F.col(lk), x).cast("int") - 1).isNotNull() & (
         F.array_position(F.col(k), F.substr(x, F.lit(1), F.length(x) - len(LABEL_SUFFIX))) > 0))
     zipped = df.select(*keep, F.explode(F.arrays_zip(F.col(k).alias("k"), F.col(n).alias("n"), F.col(p).alias("p"),
                                                      used.alias("used"))).alias("e"))
