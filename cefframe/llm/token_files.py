@@ -17,7 +17,7 @@ at most a file that no manifest names.
 
 Texts are encoded with the tokenizers library.  The word-level tokenizer drops white space and
 never joins across it, so a text's ids are the ids of its white-space separated parts in order; a
-worker keeps the ids of parts it has met in a bounded table and gives the library only new ones.
+worker keeps the ids of parts it has met in a bounded table and asks the library only for new ones.
 Tokenizers for which that does not hold are used on whole texts (``by_part=False``).
 
 Defined cases: null text counts as empty (only the end id is written); null ids come first; rows
@@ -28,7 +28,6 @@ ignored.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import posixpath
 import re
 import struct
@@ -44,46 +43,81 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import read_tokenizer
+from .bpe import byte_letters, read_tokenizer
 from .common import map_arrow, new_run, stored, table
 
 #: Fixed values of the zstandard seekable format.
 SKIPPABLE, DIRECTORY, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1, 0x80
 FRAME_TOKENS, END_ID, LEVEL = 32768, 1, 3
-MOST_CACHED, LONGEST_CACHED = 500_000, 48
+MOST_CACHED, LONGEST_CACHED = 700_000, 48
 MANIFEST = ("shard int, file string, n_bytes long, n_docs long, n_tokens long, first_id long, last_id long")
 
 
 class PartEncoder:
-    """Token ids of a text by the tokenizers library, one call for all new parts of a batch."""
+    """Token ids of a text by the tokenizers library, part by part.
+
+    A part of plain letters, with or without closing punctuation, goes straight to the library's
+    model: the normalizer would only put it into lower case and the pre-tokenizer only cut off the
+    punctuation.  That this holds for the given tokenizer is tried out on a few words first.
+    """
 
     def __init__(self, data: bytes, by_part: bool):
         self.tokenizer = Tokenizer.from_buffer(data)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.by_part = by_part
+        self.by_part, self.plain = by_part, False
         self.known: dict[str, bytes] = {}
+        self.letters = {b: c for c, b in byte_letters().items()}
+        if by_part:
+            self.plain = all(self._model(w) == self.library([w])[0] for w in PROBES) and \
+                all(self._model(a) + self._model(b) == self.library([a + b])[0] for a in PROBES[:4] for b in PROBES[4:])
+            self.known.clear()
 
     def library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _model(self, word: str) -> bytes:
+        word = word.lower()
+        if not word.isascii():
+            word = "".join(map(self.letters.__getitem__, word.encode()))
+        return np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+
+    def _new(self, part: str) -> bytes:
+        simple = PLAIN.fullmatch(part) if self.plain else None
+        if simple is None:
+            ids = self.library([part])[0]
+        elif simple[2] or not part.islower():
+            word, mark = simple[1].lower(), simple[2]
+            ids = (self.known.get(word) or self._new(word)) + (self.known.get(mark) or self._mark(mark) if mark else b"")
+        else:
+            ids = self._model(part)
+        return self._keep(part, ids)
+
+    def _mark(self, mark: str) -> bytes:
+        return self._keep(mark, self._model(mark))
+
+    def _keep(self, part: str, ids: bytes) -> bytes:
+        if len(part) <= LONGEST_CACHED:
+            if len(self.known) >= MOST_CACHED:
+                self.known.clear()
+            self.known[part] = ids
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_part:
             return self.library(texts)
+        known, new = self.known, self._new
         # ASCII white space only: the tokenizer's own notion of white space is wider.
-        parts = [PARTS.findall(t) if not t.isascii() else t.split() for t in texts]
-        known = self.known
-        new = list({p for row in parts for p in row if p not in known})
-        if len(known) + len(new) > MOST_CACHED:
-            known.clear()
-            new = list({p for row in parts for p in row})
-        fresh = dict(zip(new, self.library(new)))
-        known.update((p, ids) for p, ids in itertools.islice(fresh.items(), MOST_CACHED) if len(p) <= LONGEST_CACHED)
-        get = (fresh if len(known) < len(fresh) else known).get
-        return [b"".join([get(p) or fresh[p] for p in row]) for row in parts]
+        return [b"".join([known.get(p) or new(p) for p in (PARTS.findall(t) if ODD_SPACE.search(t) else t.split())])
+                for t in texts]
 
 
+#: Letters whose lower case and composition hold no surprise, then closing punctuation.
+PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0134-\u0137]+)([.,;:!?|]*)")
+#: Characters that str.split() takes for white space and the contract does not.
+ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+PROBES = ["the", "Übung", "wHITE", "ínstitución", ".", ",,", "!?", "|;:"]
 PARTS = re.compile(r"[^\x20\x09-\x0D]+")
 _ENCODERS: dict[tuple[str, bool], PartEncoder] = {}
 
