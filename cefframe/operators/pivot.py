@@ -1,9 +1,9 @@
 """Label pivot (``pivotFields``): ``k=v kLabel=Name`` becomes column ``Name``.
 
-Per row there are three arrays, last pair of the line first: keys ``k``, values ``v`` and names
-``n`` (the label of a paired key, else null).  A column looks itself up in them: by its name among
-the labels, or else by its key.  The type of a key is known from the dictionary, so only columns
-that really come from a label need their source's type at run time.
+Per row there are small arrays, last pair of the line first: keys ``k`` and whole pairs ``m``, and of
+the labels whose key is in the line their keys ``lk`` and values ``lv``.  A column looks itself up in
+them: by its name among the labels' values, or else by its key.  The type of a key is known from the
+dictionary, so only columns that really come from a label need their source's type at run time.
 """
 
 from __future__ import annotations
@@ -59,13 +59,12 @@ def _nonnull_by_code(raw: Column, code: Column) -> Column:
 
 def label_arrays(df: DataFrame, m: Column, keep: list[Column], null_value: str, prefix: str,
                  positions: bool = False) -> DataFrame:
-    """``k`` (keys), ``m`` (whole pairs) and ``n`` (names, where a pair has a label), last pair first.
+    """``k`` (keys), ``m`` (whole pairs), ``lk`` and ``lv`` (keys and values of labels), last pair first.
 
-    Also ``lk`` and ``lv``: the label keys and their values; and ``p``, places in the line, if asked.
-    A key that is repeated keeps its last pair.  Each stage is a Project over column references, so an
+    Also ``p``, places in the line, if asked.  A key that is repeated keeps its last pair.  Each stage is a Project over column references, so an
     array is built once per row; values are cut out later, for the columns that are selected.
     """
-    k, pairs, n, lk, lv, p = (prefix + x for x in ("k", "m", "n", "lk", "lv", "p"))
+    k, pairs, lk, lv, p = (prefix + x for x in ("k", "m", "lk", "lv", "p"))
     place = [F.reverse(F.sequence(F.lit(0), F.greatest(F.size(m) - 1, F.lit(0)))).alias(p)] if positions else []
     d = df.select(*keep, F.reverse(TK.match_keys(m)).alias(k), F.reverse(m).alias(pairs), *place)
     arrays = [k, pairs, *([p] if positions else [])]
@@ -77,14 +76,20 @@ def label_arrays(df: DataFrame, m: Column, keep: list[Column], null_value: str,
         return F.when(single, F.col(name)).otherwise(first)
 
     d = d.select(*keep, *[last_only(x).alias(x) for x in arrays])
-    d = d.select(*keep, *arrays, F.filter(k, lambda x: x.endswith(LABEL_SUFFIX)).alias(lk))
+    d = d.select(*keep, *arrays, F.filter(k, lambda x: x.endswith(LABEL_SUFFIX) & (
+        F.array_position(F.col(k), base_key(x)) > 0)).alias(lk))
     value = F.transform(lk, lambda x: TK.null_token(TK.java_trim(TK.match_text(
         F.get(F.col(pairs), F.array_position(F.col(k), x).cast("int") - 1))), null_value))
-    d = d.select(*keep, *arrays, lk, value.alias(lv))
-    # Labels are looked for only in lines that have one.
-    names = F.transform(k, lambda x: F.get(F.col(lv), F.array_position(F.col(lk), F.concat(x, F.lit(LABEL_SUFFIX))).cast("int") - 1))
-    return d.select(*keep, *arrays, lk, lv,
-                    F.when(F.size(lk) > 0, names).otherwise(F.array().cast("array<string>")).alias(n))
+    return d.select(*keep, *arrays, lk, value.alias(lv))
+
+
+def base_key(label: Column) -> Column:
+    return F.substr(label, F.lit(1), F.length(label) - len(LABEL_SUFFIX))
+
+
+def _label_of(key: Column, lk: str, lv: str) -> Column:
+    """The label of a key, null if it has none."""
+    return F.get(F.col(lv), F.array_position(F.col(lk), F.concat(key, F.lit(LABEL_SUFFIX))).cast("int") - 1)
 
 
 def _position(array: str, name: str) -> Column:
@@ -100,33 +105,38 @@ def _first(*places: Column) -> Column:
 def pivoted_columns(df: DataFrame, fields: list[T.StructField], keep: list[Column], opts: CefOptions,
                     prefix: str) -> tuple[DataFrame, Column]:
     """Typed columns ``t0``, ``t1``, ...; and a flag: the line has a value of the wrong type."""
-    k, m, n, lk, lv = (prefix + x for x in ("k", "m", "n", "lk", "lv"))
+    k, m, lk, lv = (prefix + x for x in ("k", "m", "lk", "lv"))
     places = []
     for i, f in enumerate(fields):
         # A name with the conflict suffix may also stand for the bare label or key.
         bare = f.name[:-len(S.CONFLICT_SUFFIX)] if f.name.endswith(S.CONFLICT_SUFFIX) else ""
         names = [f.name, bare] if S.is_header(bare) else [f.name]
-        places.append(_first(*[_position(n, x) for x in names]).alias(f"{prefix}l{i}"))
-        places.append(_first(*[_position(k, x) for x in names]).alias(f"{prefix}q{i}"))
-    step = df.select(*keep, k, m, n, lk, lv, *places)
-    cut = []
+        by_label = base_key(F.get(F.col(lk), _first(*[_position(lv, x) for x in names]) - 1))
+        places.append(F.nullif(F.array_position(F.col(k), by_label).cast("int"), F.lit(0)).alias(f"{prefix}l{i}"))
+        plain = []
+        for x in names:
+            free = _label_of(F.lit(x), lk, lv).isNull()
+            if x.endswith(LABEL_SUFFIX):
+                # The label of a pair is used up, unless its value is null.
+                free = free & _label_of(F.lit(x[:-len(LABEL_SUFFIX)]), lk, lv).isNull()
+            plain.append(F.when(free, _position(k, x)))
+        places.append(_first(*plain).alias(f"{prefix}q{i}"))
+    step = df.select(*keep, k, m, *places)
+    cut, source, kind = [], [F.lit(None).cast("string")], []
     for i, f in enumerate(fields):
         by_label, by_key = F.col(f"{prefix}l{i}"), F.col(f"{prefix}q{i}")
-        plain = by_key.isNotNull() & F.get(F.col(n), by_key - 1).isNull()
-        if f.name.endswith(LABEL_SUFFIX):
-            # The label of a pair is used up, unless its value is null.
-            value = F.get(F.col(lv), F.array_position(F.col(lk), F.lit(f.name)).cast("int") - 1)
-            plain = plain & ~(value.isNotNull() & F.array_contains(F.col(k), F.lit(f.name[:-len(LABEL_SUFFIX)])))
-        place = F.when(by_label.isNotNull(), by_label).when(plain, by_key)
-        cut.append(TK.match_text(F.get(F.col(m), place - 1)).alias(f"{prefix}r{i}"))
-        # A plain column's type is the dictionary's; a label's is that of its key.
-        own = F.lit(type_code(S.key_type(f.name)))
-        cut.append(F.when(by_label.isNotNull(), _src_code(F.get(F.col(k), by_label - 1))).when(plain, own).alias(f"{prefix}s{i}"))
-    step = step.select(*keep, *cut)
+        cut.append(TK.match_text(F.get(F.col(m), F.coalesce(by_label, by_key) - 1)).alias(f"{prefix}r{i}"))
+        source.append(F.when(by_label.isNotNull(), F.get(F.col(k), by_label - 1)))
+        kind.append(F.when(by_key.isNotNull() & by_label.isNull(), F.lit(type_code(S.key_type(f.name)))).alias(f"{prefix}s{i}"))
+    # A plain column's type is the dictionary's; a label's is that of its key.  Types are looked up for
+    # all labels in one place: the list of typed keys in every column would outgrow the JIT's limits.
+    codes = F.transform(F.array(*source), lambda x: F.when(x.isNotNull(), _src_code(x)))
+    step = step.select(*keep, *cut, *kind, codes.alias(prefix + "codes"))
     raw = []
     for i in range(len(fields)):
         text = TK.clean_value(F.col(f"{prefix}r{i}"), opts.null_value)
-        raw += [(TK.unescape_extension(text) if opts.unescape else text).alias(f"{prefix}r{i}"), F.col(f"{prefix}s{i}")]
+        raw += [(TK.unescape_extension(text) if opts.unescape else text).alias(f"{prefix}r{i}"),
+                F.coalesce(F.col(f"{prefix}s{i}"), F.get(F.col(prefix + "codes"), i + 1)).alias(f"{prefix}s{i}")]
     step = step.select(*keep, *raw)
     typed, odd = [], []
     for i, f in enumerate(fields):
@@ -143,13 +153,11 @@ def pivoted_columns(df: DataFrame, fields: list[T.StructField], keep: list[Colum
 
 def entries(df: DataFrame, keep: list[Column], prefix: str) -> DataFrame:
     """One row per pair of :func:`label_arrays` that gives a column: ``name``, ``src``, ``p``."""
-    k, n, lk, lv, p = (prefix + x for x in ("k", "n", "lk", "lv", "p"))
-    used = F.transform(k, lambda x: x.endswith(LABEL_SUFFIX) & F.get(
-        F.col(lv), F.array_position(F.col(lk), x).cast("int") - 1).isNotNull() & (
-        F.array_position(F.col(k), F.substr(x, F.lit(1), F.length(x) - len(LABEL_SUFFIX))) > 0))
-    zipped = df.select(*keep, F.explode(F.arrays_zip(F.col(k).alias("k"), F.col(n).alias("n"), F.col(p).alias("p"),
-                                                     used.alias("used"))).alias("e"))
-    # A key that is itself paired by a label of its own is not used up.
-    left = zipped.filter(F.col("e.k").isNotNull() & (F.col("e.n").isNotNull() | ~F.col("e.used")))
-    return left.select(*keep, label_column_name(F.coalesce("e.n", "e.k")).alias("name"),
-                       F.col("e.k").alias("src"), F.col("e.p").alias("p"))
+    k, lk, lv, p = (prefix + x for x in ("k", "lk", "lv", "p"))
+    pairs = df.select(*keep, lk, lv, F.explode(F.arrays_zip(F.col(k).alias("k"), F.col(p).alias("p"))).alias("e"))
+    key = F.col("e.k")
+    label = _label_of(key, lk, lv)
+    # The label of a pair is used up, but not if it is itself paired by a label of its own.
+    used = F.get(F.col(lv), F.array_position(F.col(lk), key).cast("int") - 1).isNotNull()
+    left = pairs.withColumn("label", label).filter(key.isNotNull() & (F.col("label").isNotNull() | ~used))
+    return left.select(*keep, label_column_name(F.coalesce("label", "e.k")).alias("name"), key.alias("src"), F.col("e.p").alias("p"))
