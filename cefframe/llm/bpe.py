@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from .common import map_arrow, table
+from .common import hold, map_arrow, table
 
 #: Fixed value: how byte-level BPE tokenizers of this family cut a text into pieces.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -38,7 +38,7 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
 #: U+0558; texts with later code points are cut by the library's own pre-tokenizer.
 LATER = regex.compile(r"[^\u0000-\u0557]")
 MOST_FILE_BYTES = 64 << 20
-MOST_CACHED = 600_000
+MOST_CACHED, MOST_PAIRS = 300_000, 400_000
 LONGEST_CACHED = 48
 
 
@@ -110,7 +110,7 @@ class ByteBPE:
         """Whether the merges leave a border between these two tokens (kept in the pair table)."""
         known = self.compatible.get((left, right))
         if known is None:
-            if len(self.compatible) > 2_000_000:
+            if len(self.compatible) > MOST_PAIRS:
                 self.compatible.clear()
             known = self.compatible[left, right] = self._border_stays(left, right)
         return known
@@ -195,6 +195,7 @@ _BUILT: dict[str, ByteBPE] = {}
 
 def built(data: bytes) -> ByteBPE:
     """One encoder for each worker process and tokenizer file."""
+    hold("bpe", _BUILT.clear)
     key = hashlib.sha256(data).hexdigest()
     if key not in _BUILT:
         _BUILT.clear()

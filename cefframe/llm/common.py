@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,19 @@ def ship_code(spark: SparkSession) -> None:
     context._llm_code_sent = True
 
 
+_HOLDERS: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, drop: Callable[[], None]) -> None:
+    """Called in a worker before an operator fills its tables: those of other operators go.
+
+    Workers live on from stage to stage, so without this the tables of all stages would add up.
+    """
+    for name in [n for n in _HOLDERS if n != owner]:
+        _HOLDERS.pop(name)()
+    _HOLDERS[owner] = drop
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package's code on the executors."""
     ship_code(df.sparkSession)

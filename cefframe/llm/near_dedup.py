@@ -37,14 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, new_run, ship_code, stored, table
+from .common import hold, map_arrow, new_run, ship_code, stored, table
 from .components import UnionFind, connected_components
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 40, 4
 SLOTS = BANDS * ROWS
 BLOCK = 128
-MOST_CACHED = 500_000
+MOST_CACHED = 300_000
 GROUP_ELEMENTS = 150_000
 
 _WORDS: dict[bytes, int] = {}
@@ -120,6 +120,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def sketch(batches):
+    hold("near", _WORDS.clear)
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
@@ -159,6 +160,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 def verify(batches):
     """(a, text_a, b, text_b), rows of one b side by side -> the pairs that are linked."""
+    hold("near", _WORDS.clear)
     last, last_set = None, None
     for batch in batches:
         a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
@@ -173,6 +175,7 @@ def verify(batches):
 
 def block_links(rows: pd.DataFrame) -> pd.DataFrame:
     """Links between the documents of one or two blocks; a spanning forest of them is enough."""
+    hold("near", _WORDS.clear)
     ids, sets = rows["id"].tolist(), [shingle_set(t) for t in rows["text"]]
     size = np.array([len(s) for s in sets])
     values, index = np.unique(np.concatenate(sets), return_inverse=True)

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import byte_letters, read_tokenizer
-from .common import map_arrow, new_run, stored, table
+from .common import hold, map_arrow, new_run, stored, table
 
 #: Fixed values of the zstandard seekable format.
 SKIPPABLE, DIRECTORY, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1, 0x80
@@ -123,6 +123,7 @@ _ENCODERS: dict[tuple[str, bool], PartEncoder] = {}
 
 
 def encoder(data: bytes, by_part: bool) -> PartEncoder:
+    hold("token files", _ENCODERS.clear)
     key = (hashlib.sha256(data).hexdigest(), by_part)
     if key not in _ENCODERS:
         _ENCODERS.clear()

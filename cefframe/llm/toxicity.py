@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, map_arrow, quoted, table
+from .common import fresh, hold, map_arrow, quoted, table
 
 FIT_TOXIC, FIT_CLEAN, FIT_CHARS, CALIBRATE, LEAST_TOXIC = 2000, 3000, 20000, 3000, 20
 BUCKETS, DIMS, FILTERS, WIDTHS, WIDE, STEMS = 1 << 16, 16, 6, (1, 2, 3), 40, (4, 5, 6, 7)
@@ -292,6 +292,7 @@ def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", keep: tupl
     rows = docs.select(F.col(id_col).alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang"), *keep)
 
     def run(batches):
+        hold("toxicity", _SCORERS.clear)
         if key not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[key] = Scorer(shipped.value)
