@@ -10,9 +10,13 @@ and FIT_CLEAN other rows of at most FIT_CHARS characters each, chosen by a diges
 trained arrays (a few MB, fixed by the parameters) are broadcast and every row is scored.
 
 A score uses the text alone.  For the decision ``rejected``, each language's threshold is the one
-with the best F1 on a calibration sample that the fit never saw (at most CALIBRATE rows); languages
-with fewer than LEAST_TOXIC toxic rows in it use 0.5, to which the fit moves the best cut over all
-languages.
+with the best F1 on all labelled rows outside the held-out fold that the fit did not use, whatever
+their number and length; languages with fewer than LEAST_TOXIC toxic rows among them use 0.5, to
+which the fit moves the best cut over all languages.  Those rows are scored in Spark and counted by
+language, label and bin of the score (STEP wide in log-odds), so a cut is exact to one bin and the
+driver holds at most a few thousand counts for each language.  Rows that the fit used are counted
+apart: the others stand for them too, each weighed by rows of its kind (label, short or long) over
+those of them that the fit did not use, so the shares of the kinds are those of the whole table.
 
 A word's filter responses do not depend on its neighbours, so each worker keeps those of words it
 has met in a bounded table; a text is scored by adding and comparing rows of that table.
@@ -31,13 +35,17 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import fresh, hold, map_arrow, quoted, table
+from .common import fresh, hold, map_arrow, new_run, quoted, stored, table
 
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS, CALIBRATE, LEAST_TOXIC = 2000, 3000, 20000, 3000, 20
+FIT_TOXIC, FIT_CLEAN, FIT_CHARS, LEAST_TOXIC = 2000, 3000, 20000, 20
+#: Width of a bin of scores, in log-odds.
+STEP = 1 / 64
 BUCKETS, DIMS, FILTERS, WIDTHS, WIDE, STEMS = 1 << 16, 16, 6, (1, 2, 3), 40, (4, 5, 6, 7)
 EPOCHS, BATCH, RATE, LEAST_DOCS = 6, 32, 0.1, 3
 MOST_CACHED = 250_000
@@ -236,15 +244,25 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.model.logits(out).astype(np.float64), -30, 30)))
 
 
-def best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
-    """The cut with the best F1; of equal ones the nearest to 0.5."""
+def best_threshold(scores: np.ndarray, toxic: np.ndarray, weight: np.ndarray | None = None, middle: float = 0.5,
+                   least: float | None = None) -> float:
+    """The cut with the best F1; of equal ones the nearest to ``middle``; ``least``: the cut below all scores."""
+    weight = np.ones(len(scores)) if weight is None else weight
     order = np.argsort(-scores, kind="stable")
-    s, hit = scores[order], np.cumsum(toxic[order])
-    f1 = 2 * hit / (np.arange(1, len(s) + 1) + hit[-1])
-    cut = np.append((s[:-1] + s[1:]) / 2, s[-1] / 2)
+    s, hit, taken = scores[order], np.cumsum((toxic * weight)[order]), np.cumsum(weight[order])
+    f1 = 2 * hit / (taken + hit[-1])
+    cut = np.append((s[:-1] + s[1:]) / 2, s[-1] / 2 if least is None else least)
     real = np.append(s[:-1] > s[1:], True)
     good = real & (f1 >= f1[real].max() - 1e-12)
-    return float(cut[good][np.argmin(np.abs(cut[good] - 0.5))])
+    return float(cut[good][np.argmin(np.abs(cut[good] - middle))])
+
+
+def best_cut(bins: pd.DataFrame, weights: dict) -> float:
+    """The best cut, in log-odds, of rows counted by (toxic, long, bin)."""
+    bins = bins.sort_values(["bin", "toxic", "long"])
+    middles = (bins["bin"].to_numpy() + 0.5) * STEP
+    weight = np.array([n * weights[kind] for n, kind in zip(bins["n"], zip(bins["toxic"], bins["long"]))])
+    return best_threshold(middles, bins["toxic"].to_numpy(), weight, 0.0, middles.min() - STEP / 2)
 
 
 def held_out(id_col):
@@ -259,30 +277,47 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
              .withColumn("calibrate", F.crc32(F.concat(F.lit("cal:"), F.col("id").cast("string")).cast("binary")) % 5 == 0))
     count = known.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     prior = ((count["t"] or 0) + 1) / (count["n"] + 2)
-    # Four ordered limits: bounded whatever the table holds.
-    short = docs.filter(F.length("text") <= FIT_CHARS).select(F.col(id_col).alias("id"), "text", "lang")
-    have = known.join(short.select("id").distinct(), "id", "left_semi")
-    parts = [have.filter((F.col("calibrate") == cal) & (F.col("toxic") == t)).orderBy("order").limit(n)
-             for cal, t, n in ((False, 1, FIT_TOXIC), (False, 0, FIT_CLEAN), (True, 1, CALIBRATE // 3), (True, 0, CALIBRATE * 2 // 3))]
-    sample = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    rows = (short.join(sample, "id").groupBy("id", "toxic", "calibrate", "order")
-            .agg(F.min("text").alias("text"), F.min("lang").alias("lang")).toPandas().sort_values("order"))
-    learn, check = rows[~rows.calibrate.astype(bool)], rows[rows.calibrate.astype(bool)]
+    # Two ordered limits: bounded whatever the table holds.
+    short = docs.filter(F.length("text") <= FIT_CHARS).select(F.col(id_col).alias("id"), "text")
+    have = known.filter(~F.col("calibrate")).join(short.select("id").distinct(), "id", "left_semi")
+    sample = (have.filter("toxic = 1").orderBy("order").limit(FIT_TOXIC)
+              .unionByName(have.filter("toxic = 0").orderBy("order").limit(FIT_CLEAN)))
+    learn = (short.join(sample, "id").groupBy("id", "toxic", "order").agg(F.min("text").alias("text"))
+             .toPandas().sort_values("order"))
     model = train(learn.text.tolist(), learn.toxic.to_numpy(), prior)
-    if len(check) and 0 < check.toxic.sum() < len(check):
-        scores, toxic, lang = Scorer(model).scores(check.text.tolist()), check.toxic.to_numpy(), check.lang.to_numpy()
-        if toxic.sum() >= LEAST_TOXIC:
-            # Move all scores so that the best cut over all languages is 0.5.
-            cut = min(max(best_threshold(scores, toxic), 1e-6), 1 - 1e-6)
-            model.offset -= float(np.log(cut / (1 - cut)))
-            scores = Scorer(model).scores(check.text.tolist())
-        for name in {x for x in lang if x is not None}:
-            own = lang == name
-            if LEAST_TOXIC <= toxic[own].sum() < own.sum():
-                model.thresholds[name] = best_threshold(scores[own], toxic[own])
+    if model.output.any():
+        calibrate(model, docs, known.select("id", "toxic"), learn.id.tolist(), id_col)
     return model
 
 
+def calibrate(model: Model, docs: DataFrame, known: DataFrame, used: list, id_col: str) -> None:
+    """Set the offset and the thresholds by all known rows but those with the ids ``used``."""
+    spark = docs.sparkSession
+    rows = (docs.filter(F.col("text").isNotNull() & F.col(id_col).isNotNull()).filter(~held_out(F.col(id_col)))
+            .select(F.col(id_col).alias("doc_id"), "text", "lang", (F.length("text") > FIT_CHARS).cast("int").alias("long")))
+    # Scores meet the labels, not texts: no text is shuffled.
+    odds = F.log(F.col("score") / (1 - F.col("score")))
+    scored = score_rows(rows, model, "doc_id", ("lang", "long")).select(
+        F.col("doc_id").alias("id"), "lang", "long", F.floor(odds / STEP).cast("int").alias("bin"))
+    fitted = spark.createDataFrame([(i,) for i in used], T.StructType([T.StructField("id", known.schema["id"].dataType)]))
+    bins = stored(scored.join(known, "id").join(F.broadcast(fitted.withColumn("fitted", F.lit(1))), "id", "left")
+                  .groupBy("lang", "toxic", "long", F.coalesce("fitted", F.lit(0)).alias("fitted"), "bin")
+                  .agg(F.count(F.lit(1)).alias("n")), f"{new_run(spark, 'toxicity')}/bins")
+    kinds = bins.groupBy("toxic", "long").agg(F.sum("n").alias("all"), F.sum(F.expr("n * (1 - fitted)")).alias("unused")).collect()
+    weights = {(r["toxic"], r["long"]): r["all"] / r["unused"] for r in kinds if r["unused"]}
+    free = bins.filter("fitted = 0")
+    whole = free.groupBy("toxic", "long", "bin").agg(F.sum("n").alias("n")).toPandas()
+    cut = 0.0
+    if LEAST_TOXIC <= whole.n[whole.toxic == 1].sum() < whole.n.sum():
+        # Move all scores so that the best cut over all languages is 0.5.
+        cut = min(max(best_cut(whole, weights), -13.8), 13.8)
+        model.offset -= cut
+    enough = (free.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum(F.expr("n * toxic")).alias("t"), F.sum("n").alias("n"))
+              .filter((F.col("t") >= LEAST_TOXIC) & (F.col("t") < F.col("n"))).select("lang"))
+    for name, own in free.join(enough, "lang").select("lang", "toxic", "long", "bin", "n").toPandas().groupby("lang"):
+        model.thresholds[name] = float(1 / (1 + np.exp(cut - best_cut(own, weights))))
+
+
 _SCORERS: dict[str, Scorer] = {}
 
 

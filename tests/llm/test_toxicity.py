@@ -111,3 +111,38 @@ def test_no_labels_of_one_kind(spark):
 
 def test_words():
     assert words_of("Du Idiot, ÉTÉ_12x\n—ok") == ["du", "idiot", "été", "x", "ok"] and words_of(None) == []
+
+
+def test_cuts_rest_on_all_labelled_rows_of_any_length(spark, monkeypatch):
+    from cefframe.llm import toxicity as X
+    rng = random.Random(9)
+    rows = []
+    for i in range(1500):
+        toxic = int(rng.random() < 0.15)
+        # Bad words are common in clean texts too, so that the cut depends on the shares of the labels.
+        words = [rng.choice(BAD) if rng.random() < (0.3 if toxic else 0.12) else f"w{rng.randrange(80)}" for _ in range(8)]
+        rows.append((i, " ".join(words) + (" pad" * 60 if i % 5 == 0 else ""), "en", toxic))
+    monkeypatch.setattr(X, "FIT_CHARS", 200)
+    monkeypatch.setattr(X, "FIT_TOXIC", 60)
+    monkeypatch.setattr(X, "FIT_CLEAN", 120)
+    docs = table_of(spark, [(i, t, lang, "s", 0) for i, t, lang, _ in rows])
+    labels = spark.createDataFrame([(i, 1, y) for i, _, _, y in rows], "doc_id long, quality int, toxic int")
+    met = {}
+    real = X.best_cut
+    monkeypatch.setattr(X, "best_cut", lambda bins, weights: met.setdefault("all", (bins, weights)) and real(bins, weights))
+    model = fit(docs, labels)
+    bins, weights = met["all"]
+    outside = [(y, len(t) > 200) for i, t, _, y in rows if zlib.crc32(str(i).encode()) % 5]
+    assert bins.n.sum() == len(outside) - 180 and bins.n[bins.long == 1].sum() == sum(long for _, long in outside)
+    # Weighed, the rows that the fit did not use have the shares of all rows.
+    for y in (0, 1):
+        for long in (0, 1):
+            own = bins.n[(bins.toxic == y) & (bins.long == long)].sum() * weights[y, long]
+            assert abs(own - outside.count((y, bool(long)))) < 1e-6
+    # The cut has the best F1 by those shares, within the width of a bin.
+    scores = Scorer(model).scores([t for _, t, _, _ in rows])
+    odds, y = np.log(scores / (1 - scores)), np.array([r[3] for r in rows])
+    kept = np.array([zlib.crc32(str(r[0]).encode()) % 5 > 0 for r in rows])
+    f1 = lambda c: 2 * y[kept & (odds >= c)].sum() / ((kept & (odds >= c)).sum() + y[kept].sum())
+    assert f1(0) > max(f1(c) for c in np.arange(-8, 8, 0.05)) - 0.05
+    assert abs(model.threshold("en") - 0.5) < 1e-9  # one language: its cut is the common one
