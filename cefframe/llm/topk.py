@@ -16,9 +16,10 @@ A cell is dealt out in parts of about PART rows, its queries in parts of about C
 holds a third of all rows (one vector, repeated) is spread over tasks.  The driver holds one row for
 each cell, PIVOTS * RINGS at most.
 
-Defined cases: a vector that is null, or has a null or non-finite component, takes no part; nor does
-one with a component of LIMIT / 256 or more in size, whose scores a long might not hold; shorter
-vectors count as padded with zeros; rows that share the query's id are its own rows; of several
+Defined cases: a vector that is null, or has a null or non-finite component, takes no part; all
+others do, whatever their size, and scores are exact.  A result score of 2^63 - 1 or more in size, or
+a component whose whole number does not fit a long (LIMIT / 256 or more in size), raises an error, as
+in SQL; shorter vectors count as padded with zeros; rows that share the query's id are its own rows; of several
 vectors with a query's id the first in order is the query; null ids are candidates, last among ties,
 and no queries; an empty table gives an empty result; extra columns are ignored.
 """
@@ -35,17 +36,22 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, new_run, ship_code, stored, table
 
-SCALE, LIMIT = 256, 1 << 24
+SCALE, LIMIT = 256, 1 << 63
+#: Stands for scores that no long holds; of such parts is an exact product put together.
+BEYOND, PART_BITS, PART_DIMS = (1 << 63) - 1, 21, 2048
 FIT, PIVOTS, RINGS, ROUNDS = 4096, 32, 4, 6
 PROBE, PART, CHUNK = 2000, 4096, 2048
 
 
 def whole_numbers(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, v): usable vectors as arrays of longs."""
-    ok = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) * SCALE < LIMIT)  # noqa: E731  false for infinities too
+    ok = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     given = vectors.select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: x.cast("double")).alias("x"))
     given = given.filter(F.col("x").isNotNull() & F.forall("x", ok))
-    return given.select("id", F.transform("x", lambda x: F.floor(F.lit(float(SCALE)) * x)).alias("v"))
+    large = F.exists("x", lambda x: F.abs(x) * F.lit(float(SCALE)) >= F.lit(float(LIMIT)))
+    error = F.raise_error(F.concat(F.lit("top-k: a component times 256 does not fit a long; vector "), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
+    return given.select("id", F.when(large, error.cast("array<bigint>"))
+                        .otherwise(F.transform("x", lambda x: F.floor(F.lit(float(SCALE)) * x))).alias("v"))
 
 
 def fit_pivots(sample: np.ndarray, most: float) -> np.ndarray:
@@ -77,11 +83,37 @@ def padded(rows, dims: int) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products: in doubles where they are exact, else in longs."""
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    """Exact inner products: in doubles where they are exact, else in longs, else in parts of PART_BITS bits.
+
+    Products that reach BEYOND in size become BEYOND with their sign.
+    """
+    top = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * a.shape[1]
     if top < 2 ** 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if top < BEYOND:
+        return a @ b.T
+    mask = (1 << PART_BITS) - 1
+    split = lambda x: [(x & mask), (x >> PART_BITS) & mask, x >> 2 * PART_BITS]
+    sums = [np.zeros((len(a), len(b)), np.int64) for _ in range(5)]
+    for at in range(0, a.shape[1], PART_DIMS):  # so few that doubles are exact
+        left, right = split(a[:, at:at + PART_DIMS]), split(b[:, at:at + PART_DIMS])
+        right = [y.astype(np.float64).T for y in right]
+        for i, x in enumerate(left):
+            x = x.astype(np.float64)
+            for j, y in enumerate(right):
+                sums[i + j] += (x @ y).astype(np.int64)
+    low = np.zeros_like(sums[0])
+    for i in range(4):
+        sums[i + 1] += sums[i] >> PART_BITS
+        sums[i] &= mask
+        if i < 3:
+            low |= sums[i] << i * PART_BITS
+    # The product is (sums[4] * 2^21 + sums[3]) * 2^63 + low.
+    zero, minus = (sums[4] == 0) & (sums[3] == 0), (sums[4] == -1) & (sums[3] == mask)
+    out = np.where(sums[4] >= 0, BEYOND, -BEYOND)
+    out[zero] = low[zero]
+    out[minus] = np.maximum(low[minus] + np.iinfo(np.int64).min, -BEYOND)
+    return out
 
 
 def best_rows(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pd.DataFrame:
@@ -176,8 +208,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
                     floor = batch.column(2)[i].as_py() if phase == 2 else None
                     if floor is not None:
                         reach = (size[i] + most - bound[i, mine] ** 2) / 2
-                        # A little slack, for rounding in the bounds.
-                        mine = mine[reach * (1 + 1e-9) + 1 + 1e-9 * (size[i] + most) >= floor]
+                        # A little slack, for rounding in the bounds: a distance is off by up to about
+                        # 1e-6 of the largest norm, where it is small.
+                        mine = mine[reach + 1 + 1e-5 * (size[i] + most) >= floor]
                     take += [i] * len(mine)
                     cell += mine.tolist()
                 packed = [r.tobytes() for r in q]
@@ -221,7 +254,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     floor = first.withColumn("rank", F.row_number().over(rank)).filter(f"rank = {k}").select(F.col("query_id").alias("id"), "score")
     second = scored(asked.join(floor, "id", "left").select("id", "v", "score"), 2, "second")
-    return (first.unionByName(second).withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
+    error = F.raise_error(F.concat(F.lit("top-k: a score does not fit a long; query "), F.col("query_id").cast("string")))
+    fits = F.when(F.col("rank") > k, False).when(F.abs("score") >= BEYOND, error.cast("boolean")).otherwise(True)
+    return (first.unionByName(second).withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k).filter(fits)
             .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
 
 

@@ -72,3 +72,50 @@ def test_bounds_skip_cells():
     best = np.sort(K.products(v[:1], v)[0])[-5]
     reach = ((v[0] ** 2).sum() + most - bound[0] ** 2) / 2
     assert (reach < best).any()  # some cells cannot hold a better row
+
+
+def exact(rows, asked, k):
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    out = []
+    for q, v in whole:
+        if asked(q):
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def found(spark, rows, k=5, step=7):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in K.search(df, df.filter(f"vec_id % {step} = 0"), k).collect())
+
+
+def test_large_vectors_take_part(spark, monkeypatch):
+    monkeypatch.setattr(K, "PROBE", 20)
+    rng = random.Random(8)
+    rows = vectors(rng, 120, 6) + [(200, [70_000.0] * 6), (203, [-65_536.0, 9e4, 0.0, 1.0, 2.0, 3.0]), (205, [1e12, 0.0, 0.0, 0.0, 0.0, 0.0]),
+                                   (206, [1e13, -3e11, 0.0, 0.0, 0.0, 0.5])]
+    assert found(spark, rows) == exact(rows, lambda i: i % 7 == 0, 5)
+    scaled = [(i, [x * 5e5 for x in v]) for i, v in vectors(rng, 120, 6)]  # scores just within a long
+    assert found(spark, scaled) == exact(scaled, lambda i: i % 7 == 0, 5)
+
+
+def test_products_are_exact_or_beyond():
+    import numpy as np
+    rng = random.Random(5)
+    for bits in (20, 31, 33, 40, 62):
+        a, b = ([[rng.choice([0, 1, -1, rng.randrange(-2 ** bits, 2 ** bits)]) for _ in range(5)] for _ in range(30)] for _ in range(2))
+        got = K.products(np.array(a, np.int64), np.array(b, np.int64))
+        for x, row in zip(a, got):
+            for y, s in zip(b, row):
+                want = sum(p * q for p, q in zip(x, y))
+                assert int(s) == max(-K.BEYOND, min(K.BEYOND, want))
+
+
+def test_scores_that_no_long_holds_are_errors(spark):
+    with pytest.raises(Exception, match="a score does not fit a long; query 7"):
+        found(spark, [(7, [1e8, 1.0]), (8, [1e8, 1.0])])
+    with pytest.raises(Exception, match="does not fit a long; vector 8"):
+        found(spark, [(7, [1.0, 1.0]), (8, [1e30, 1.0])])
+    # Pairs outside the result do no harm.
+    rows = [(7, [1e8, 1.0]), (8, [-1e8, 1.0])] + [(i, [1.0, float(i)]) for i in range(20, 26)]
+    assert found(spark, rows) == exact(rows, lambda i: i % 7 == 0, 5)
