@@ -18,7 +18,8 @@ at most a file that no manifest names.
 Texts are encoded with the tokenizers library.  The word-level tokenizer drops white space and
 never joins across it, so a text's ids are the ids of its white-space separated parts in order; a
 worker keeps the ids of parts it has met in a bounded table and asks the library only for new ones.
-Tokenizers for which that does not hold are used on whole texts (``by_part=False``).
+That is ``by_part=True``, for tokenizers known to be such; by default texts are encoded whole, as
+byte-level tokenizers need it, which encode white space too.
 
 Defined cases: null text counts as empty (only the end id is written); null ids come first; rows
 tied on id are ordered by text; an empty table writes a manifest without files; extra columns are
@@ -209,7 +210,7 @@ class FrameReader:
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text",
-                      end_id: int | None = END_ID, by_part: bool = True, shards: int | None = None) -> DataFrame:
+                      end_id: int | None = END_ID, by_part: bool = False, shards: int | None = None) -> DataFrame:
     """Encode and write; returns the manifest (one row per file), itself stored under ``path``."""
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -289,6 +290,6 @@ def default_tokenizer() -> str:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_run(spark, "tokens")
-    write_token_files(table(spark, sf_dir, "documents"), default_tokenizer(), path)
+    write_token_files(table(spark, sf_dir, "documents"), default_tokenizer(), path, by_part=True)
     return (read_token_files(spark, path)
             .select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32"))

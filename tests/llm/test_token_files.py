@@ -81,3 +81,13 @@ def test_empty_table(spark):
     path = new_run(spark, "test-tokens")
     assert write_token_files(docs_frame(spark, ["x"]).limit(0), default_tokenizer(), path).collect() == []
     assert read_token_files(spark, path).collect() == []
+
+
+def test_white_space_is_kept_by_default(spark):
+    from cefframe.llm import bpe
+    df = docs_frame(spark, ["two  words", "a\tb\n\nc ", " x"])
+    path = new_run(spark, "test-tokens")
+    write_token_files(df, bpe.default_tokenizer(), path, shards=1).collect()
+    library = Tokenizer.from_file(bpe.default_tokenizer())
+    got = [(r.id, r.n_tokens, r.ids_crc32) for r in read_token_files(spark, path).orderBy("start").collect()]
+    assert got == expected(df, library)
