@@ -4,7 +4,9 @@ Texts and templates are sequences of lower-case words (letters and digits).  A r
 aligned with a template as in patience sorting: common words at both ends are matched; words that
 occur once in the region and once in the template are anchors; the longest increasing subsequence
 of anchors is kept; and the gaps between kept anchors are aligned in the same way.  Coverage is the
-share of the template's words that are matched; a license is found where it reaches THRESHOLD.
+share of the template's words that are matched; a license is found where it reaches THRESHOLD and
+where the words that tell it from its rivals (KEYS: name, family, version) are matched as whole
+phrases, so "GNU Lesser General" is no "GNU General" and "BY-NC-SA" no "BY-NC".
 
 Regions: a region that reaches the threshold matches all but a few of the template's words, so of
 any (words - needed + 1) places of the template at least one is matched.  The places whose words
@@ -14,7 +16,7 @@ were inserted or missing.  No other region can reach the threshold, so nothing i
 texts, which lack too many of a template's words, are not aligned at all.
 
 Defined cases: null or empty text holds no license (license null, coverage 0); ties in coverage go
-to the first template by name, then to the first region; rows may repeat and stay; an empty table
+to the longer template, then to the first by name, then to the first region; "licence" counts as "license"; rows may repeat and stay; an empty table
 gives an empty result; extra columns are ignored; texts of any length are scanned whole.
 """
 
@@ -32,7 +34,8 @@ from .common import map_arrow, table
 
 THRESHOLD, SLACK = 0.8, 0.25
 
-#: Wordings of licenses and license notices, as their owners published them.
+#: Openings and usual notices of the licenses that are looked for (names, years and
+#: owners left out), not whole licenses.  A text under another license has none of these.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0": (
@@ -65,13 +68,63 @@ TEMPLATES = {
         "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
         "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
         "Software."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."),
+    "BSD notice": "Released under the BSD License",
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at mozilla.org/MPL/2.0/."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."),
 }
 
+#: Phrases of each template that must be matched word after word.
+KEYS = {
+    "Apache-2.0 notice": ["apache license", "2 0"], "Apache-2.0": ["apache license", "2 0"],
+    "BSD-3-Clause": ["neither the name of"], "BSD notice": ["bsd license"], "MIT notice": ["mit license"],
+    "MIT": ["subject to the following conditions"], "ISC": ["provided that the above copyright notice"],
+    "GPL-3.0 notice": ["gnu general public license", "version 3"],
+    "GPL-3.0": ["gnu general public license", "version 3 of"],
+    "CC-BY-NC-4.0 notice": ["cc by nc 4 0"],
+    "MPL-2.0": ["mozilla public license v 2 0"], "Unlicense": ["free and unencumbered software"],
+}
+
+_GNU = (
+    "This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} Public License as "
+    "published by the Free Software Foundation, either version {3} of the License, or (at your option) any later version. "
+    "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
+for _name, _what, _family, _version in (("GPL-2.0", "program", "General", "2"), ("LGPL-2.1", "library", "Lesser General", "2.1"),
+                                        ("LGPL-3.0", "library", "Lesser General", "3"), ("AGPL-3.0", "program", "Affero General", "3")):
+    TEMPLATES[_name] = _GNU.format(_what, ";", _family, _version)
+    KEYS[_name] = [f"gnu {_family} public license".lower(), f"version {_version} of".replace(".", " ")]
+    _line = f"This work is licensed under the GNU {_family} Public License"
+    TEMPLATES[f"{_name} notice"] = f"{_line}, version {_version}"
+    KEYS[f"{_name} notice"] = [f"gnu {_family} public license".lower(), f"version {_version}".replace(".", " ")]
+for _name, _version in (("GPL-2.0", "2"), ("GPL-3.0", "3")):
+    TEMPLATES[f"{_name} notice (v{_version})"] = f"This work is licensed under the GNU General Public License v{_version}"
+    KEYS[f"{_name} notice (v{_version})"] = [f"gnu general public license v{_version}"]
+for _kind in ("BY", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+    TEMPLATES[f"CC-{_kind}-4.0 notice"] = f"Licensed under CC {_kind} 4.0"
+    KEYS[f"CC-{_kind}-4.0 notice"] = [f"cc {_kind.lower().replace('-', ' ')} 4 0"]
+for _name in ("MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later",
+              "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+              "AGPL-3.0-only", "AGPL-3.0-or-later", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Unlicense"):
+    TEMPLATES[f"{_name} tag"] = f"SPDX-License-Identifier: {_name}"
+    KEYS[f"{_name} tag"] = ["spdx license identifier " + re.sub(r"\W", " ", _name.lower())]
+
 WORDS = re.compile(r"[^\W_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORDS.findall((text or "").lower())
+    return WORDS.findall((text or "").lower().replace("licence", "license"))
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -118,10 +171,21 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], threshold: float = THRESHOLD):
+    def __init__(self, templates: dict[str, str], threshold: float = THRESHOLD, keys: dict[str, list[str]] | None = None):
         self.templates = [(name, words_of(text)) for name, text in sorted(templates.items())]
         self.needed = [-int(-threshold * len(w) // 1) for _, w in self.templates]
         self.vocabulary = {w for _, ws in self.templates for w in ws}
+        self.keys = [[self._span(ws, words_of(p)) for p in (keys or {}).get(name, ())] for name, ws in self.templates]
+
+    @staticmethod
+    def _span(template: list[str], phrase: list[str]) -> tuple[int, int]:
+        """First and last place of a phrase in the template."""
+        return next((j, j + len(phrase) - 1) for j in range(len(template)) if template[j:j + len(phrase)] == phrase)
+
+    def told(self, pairs: list[tuple[int, int]], k: int) -> bool:
+        """Whether all key phrases are matched, word after word."""
+        at = {j: i for i, j in pairs} if self.keys[k] else {}
+        return all(j in at and at[j] == at.get(first, -1) + j - first for first, last in self.keys[k] for j in range(first, last + 1))
 
     def regions(self, words: list[str], places: dict[str, list[int]], k: int):
         """Start and end of each region of the text that can reach the threshold for a template."""
@@ -150,7 +214,7 @@ class Scanner:
             best = None
             for a, b in self.regions(words, places, k):
                 pairs = align(words[a:b], template)
-                if len(pairs) >= self.needed[k] and (best is None or len(pairs) > best[0]):
+                if len(pairs) >= self.needed[k] and (best is None or len(pairs) > best[0]) and self.told(pairs, k):
                     best = len(pairs), a + pairs[0][0], a + pairs[-1][0]
             if best:
                 found.append((name, best[0] / len(template), best[1], best[2]))
@@ -158,17 +222,19 @@ class Scanner:
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text",
-                 threshold: float = THRESHOLD) -> DataFrame:
+                 threshold: float = THRESHOLD, keys: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per document: id, license and coverage of the best find, its words, n_licenses, all licenses."""
     wording = dict(TEMPLATES if templates is None else templates)
+    keys = KEYS if templates is None and keys is None else keys
 
     def run(batches):
-        scanner = Scanner(wording, threshold)
+        scanner = Scanner(wording, threshold, keys)
+        length = {name: len(words) for name, words in scanner.templates}
         for batch in batches:
             cols = [[] for _ in range(6)]
             for cell in batch.column(1):
                 found = scanner.scan(cell.as_py())
-                best = min(found, key=lambda f: (-f[1], f[0])) if found else (None, 0.0, None, None)
+                best = min(found, key=lambda f: (-f[1], -length[f[0]], f[0])) if found else (None, 0.0, None, None)
                 for col, value in zip(cols, (*best, len(found), [f[0] for f in found])):
                     col.append(value)
             kinds = [pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]

@@ -76,3 +76,20 @@ def test_operator_rows(spark):
     assert by[4].license == "MIT" and by[4].coverage == 1.0 and (by[4].first_word, by[4].last_word) == (1, len(words_of(mit)))
     assert by[5].license == "MIT notice" and by[None].license == "Apache-2.0 notice" and by[7].license == "ISC"
     assert license_scan(docs_frame(spark, ["x"]).limit(0)).collect() == []
+
+
+def test_rival_licenses_are_told_apart(spark):
+    gpl = TEMPLATES["GPL-3.0"]
+    texts = {"Released under the BSD License": "BSD notice", "Released under the Apache License": None, "Released under the MIT-0 License": None,
+             "Licensed under CC BY 4.0": "CC-BY-4.0 notice", "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0 notice",
+             "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0 notice", "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0 notice",
+             "This work is licensed under the GNU General Public License, version 2": "GPL-2.0 notice",
+             "This work is licensed under the GNU General Public License, version 3": "GPL-3.0 notice",
+             "This work is licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0 notice",
+             gpl: "GPL-3.0", gpl.replace("version 3", "version 2").replace("software:", "software;"): "GPL-2.0",
+             gpl.replace("program", "library").replace("GNU", "GNU Lesser").replace("version 3", "version 2.1"): "LGPL-2.1",
+             gpl.replace("GNU", "GNU Affero"): "AGPL-3.0", TEMPLATES["BSD-3-Clause"].replace("name of nor", "name of ACME nor"): "BSD-3-Clause",
+             TEMPLATES["BSD-2-Clause"]: "BSD-2-Clause", "// SPDX-License-Identifier: MPL-2.0": "MPL-2.0 tag",
+             "Released under the MIT Licence": "MIT notice"}
+    got = {r.doc_id: r.license for r in license_scan(docs_frame(spark, list(texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
