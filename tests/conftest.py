@@ -24,7 +24,3 @@ def spark():
 @pytest.fixture
 def tmp_dir():
     return tempfile.mkdtemp(prefix="cefframe-test-")
-
-
-def lines_df(spark, lines):
-    return spark.createDataFrame([(x,) for x in lines], "value string")

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from cefframe import infer_cef_schema, to_cef_lines
 from cefframe.schema import HEADER_FIELDS, header_schema
-from conftest import lines_df
+from lines import lines_df
 
 
 def infer(df, **kw):

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from cefframe import cef_extensions, cef_header, cef_timestamp, parse_cef
 from cefframe.plans.inspect import count_calls, optimized_plan
 from cefframe.schema import header_schema
-from conftest import lines_df
+from lines import lines_df
 
 
 def schema(*ext):

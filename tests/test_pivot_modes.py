@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from cefframe import infer_cef_schema, parse_cef, split_malformed
 from cefframe.plans.inspect import count_calls, optimized_plan, physical_plan
 from cefframe.schema import header_schema
-from conftest import lines_df
+from lines import lines_df
 
 S = T.StringType()
 
