@@ -1,6 +1,6 @@
 """The queries of the training-data operators, and their SQL where SQL can express them."""
 
-from . import bpe, chat, exact_dedup, licenses, mixing, near_dedup, repeats, token_files, topk, toxicity
+from . import bpe, chat, exact_dedup, licenses, mixing, near_dedup, pieces, repeats, token_files, topk, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_topk": topk.op9_topk,
     "op10_token_files": token_files.op10_token_files,
+    "op12_sentencepiece": pieces.op12_sentencepiece,
 }
 
 ORACLES = {
