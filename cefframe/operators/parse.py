@@ -101,8 +101,7 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
     m = F.col(_P + "m")
     once: dict[str, str] = {}
     if opts.pivot_fields:
-        step = PV.label_arrays(step, m, keep, nv, _P)
-        step, clash = PV.pivoted_columns(step, ext_fields, keep, opts, _P)
+        step, clash = PV.pivoted_columns(step, m, ext_fields, keep, opts, _P)
         step = step.withColumn(_P + "perr", F.coalesce(err, F.when(clash, F.lit(PV.TYPE_CLASH_MESSAGE))))
         once[_P + "perr"] = _P + "error"
     else:

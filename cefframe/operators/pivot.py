@@ -1,9 +1,10 @@
 """Label pivot (``pivotFields``): ``k=v kLabel=Name`` becomes column ``Name``.
 
-Per row there are small arrays, last pair of the line first: keys ``k`` and whole pairs ``m``, and of
-the labels whose key is in the line their keys ``lk`` and values ``lv``.  A column looks itself up in
-them: by its name among the labels' values, or else by its key.  The type of a key is known from the
-dictionary, so only columns that really come from a label need their source's type at run time.
+Per row there are small arrays, last pair of the line first.  Labels are resolved once per line into
+three dense arrays: the column each one names, the place of its pair and the type code of its key;
+keys that a label uses up are blanked.  A column then makes two searches, by its name among the named
+columns and among the keys left, which gives it a place in the array of pairs or none.  The type of a
+key is known from the dictionary, so only labels need their source's type at run time.
 """
 
 from __future__ import annotations
@@ -92,63 +93,79 @@ def _label_of(key: Column, lk: str, lv: str) -> Column:
     return F.get(F.col(lv), F.array_position(F.col(lk), F.concat(key, F.lit(LABEL_SUFFIX))).cast("int") - 1)
 
 
-def _position(array: str, name: str) -> Column:
-    """Place (from 1) of a name in an array, null if it is not there."""
-    pos = F.array_position(F.col(array), F.lit(name)).cast("int")
-    return F.nullif(pos, F.lit(0))
+def label_slots(df: DataFrame, m: Column, keep: list[Column], fields: list[T.StructField], null_value: str,
+                prefix: str) -> DataFrame:
+    """The dense arrays of each line: ``ln``, ``lp``, ``lc`` (labels: column, place from 1, type code),
+    ``k`` (keys, null where a label uses them up) and ``m`` (whole pairs).
 
-
-def _first(*places: Column) -> Column:
-    return F.least(*places) if len(places) > 1 else places[0]
-
-
-def pivoted_columns(df: DataFrame, fields: list[T.StructField], keep: list[Column], opts: CefOptions,
+    Each stage is a Project over column references, so an array is built once per row.
+    """
+    k, pairs, lk, ls, ln, lp, lc = (prefix + x for x in ("k", "m", "lk", "ls", "ln", "lp", "lc"))
+    d = df.select(*keep, F.reverse(TK.match_keys(m)).alias(k), F.reverse(m).alias(pairs))
+    paired = F.filter(k, lambda x: x.endswith(LABEL_SUFFIX) & (F.array_position(F.col(k), base_key(x)) > 0))
+    d = d.select(*keep, k, pairs, paired.alias(lk))
+
+    def resolved(key: Column) -> Column:
+        name = TK.null_token(TK.java_trim(TK.match_text(
+            F.get(F.col(pairs), F.array_position(F.col(k), key).cast("int") - 1))), null_value)
+        base = base_key(key)
+        return F.struct(label_column_name(name).alias("name"), base.alias("base"), key.alias("key"),
+                        F.array_position(F.col(k), base).cast("int").alias("place"))
+
+    labels = F.filter(F.transform(lk, resolved), lambda x: x["name"].isNotNull())
+    d = d.select(*keep, k, pairs, labels.alias(ls))
+    own = label_column_name if any(f.name.endswith(S.CONFLICT_SUFFIX) for f in fields) else (lambda x: x)
+    used = F.concat(F.col(ls)["key"], F.col(ls)["base"])
+    left = F.transform(k, lambda x: F.when(~F.array_contains(used, x), own(x)))
+    plain = F.when(F.size(ls) > 0, left).otherwise(F.col(k) if own is not label_column_name else F.transform(k, own))
+    return d.select(*keep, plain.alias(k), pairs, F.col(ls)["name"].alias(ln), F.col(ls)["place"].alias(lp),
+                    F.transform(ls, lambda x: _src_code(x["base"])).alias(lc))
+
+
+def pivoted_columns(df: DataFrame, m: Column, fields: list[T.StructField], keep: list[Column], opts: CefOptions,
                     prefix: str) -> tuple[DataFrame, Column]:
     """Typed columns ``t0``, ``t1``, ...; and a flag: the line has a value of the wrong type."""
-    k, m, lk, lv = (prefix + x for x in ("k", "m", "lk", "lv"))
-    places = []
-    for i, f in enumerate(fields):
-        # A name with the conflict suffix may also stand for the bare label or key.
-        bare = f.name[:-len(S.CONFLICT_SUFFIX)] if f.name.endswith(S.CONFLICT_SUFFIX) else ""
-        names = [f.name, bare] if S.is_header(bare) else [f.name]
-        by_label = base_key(F.get(F.col(lk), _first(*[_position(lv, x) for x in names]) - 1))
-        places.append(F.nullif(F.array_position(F.col(k), by_label).cast("int"), F.lit(0)).alias(f"{prefix}l{i}"))
-        plain = []
-        for x in names:
-            free = _label_of(F.lit(x), lk, lv).isNull()
-            if x.endswith(LABEL_SUFFIX):
-                # The label of a pair is used up, unless its value is null.
-                free = free & _label_of(F.lit(x[:-len(LABEL_SUFFIX)]), lk, lv).isNull()
-            plain.append(F.when(free, _position(k, x)))
-        places.append(_first(*plain).alias(f"{prefix}q{i}"))
-    step = df.select(*keep, k, m, *places)
-    cut, source, kind = [], [F.lit(None).cast("string")], []
-    for i, f in enumerate(fields):
-        by_label, by_key = F.col(f"{prefix}l{i}"), F.col(f"{prefix}q{i}")
-        cut.append(TK.match_text(F.get(F.col(m), F.coalesce(by_label, by_key) - 1)).alias(f"{prefix}r{i}"))
-        source.append(F.when(by_label.isNotNull(), F.get(F.col(k), by_label - 1)))
-        kind.append(F.when(by_key.isNotNull() & by_label.isNull(), F.lit(type_code(S.key_type(f.name)))).alias(f"{prefix}s{i}"))
-    # A plain column's type is the dictionary's; a label's is that of its key.  Types are looked up for
-    # all labels in one place: the list of typed keys in every column would outgrow the JIT's limits.
-    codes = F.transform(F.array(*source), lambda x: F.when(x.isNotNull(), _src_code(x)))
-    step = step.select(*keep, *cut, *kind, codes.alias(prefix + "codes"))
-    raw = []
+    k, pairs, ln, lp, lc, clash = (prefix + x for x in ("k", "m", "ln", "lp", "lc", "clash"))
+    step = label_slots(df, m, keep, fields, opts.null_value, prefix)
+    want = [type_code(f.dataType) for f in fields]
+    plain = [type_code(S.key_type(f.name)) for f in fields]
+
+    def text(place: Column) -> Column:
+        value = TK.clean_value(TK.match_text(F.get(F.col(pairs), place - 1)), opts.null_value)
+        return TK.unescape_extension(value) if opts.unescape else value
+
+    def at(array: str, name: str) -> Column:
+        return F.array_position(F.col(array), F.lit(name)).cast("int")
+
+    # A label whose key is not of its column's type: rarely any, so values are only read for those.
+    names = F.array(*[F.lit(f.name) for f in fields]) if fields else F.array().cast("array<string>")
+    wanted = F.array(*[F.lit(w).cast("int") for w in want]) if fields else F.array().cast("array<int>")
+    label = F.arrays_zip(F.col(ln).alias("n"), F.col(lp).alias("p"), F.col(lc).alias("c"))
+    odd = F.filter(label, lambda x, i: (F.get(wanted, F.array_position(names, x["n"]).cast("int") - 1) != x["c"])
+                   & (F.array_position(F.col(ln), x["n"]) == i + 1))
+    wrong = F.exists(odd, lambda x: _nonnull_by_code(text(x["p"]), x["c"]))
+    # A key whose own type is not its column's (in a declared schema): known from the schema.
+    for f, w, own in zip(fields, want, plain):
+        if w is not None and w != own:
+            found = F.when(at(ln, f.name) == 0, F.nullif(at(k, f.name), F.lit(0)))
+            wrong = wrong | F.coalesce(_nonnull_by_code(text(found), F.lit(own)), F.lit(False))
+    cut = []
+    for i, (f, w, own) in enumerate(zip(fields, want, plain)):
+        by_label = at(ln, f.name)
+        place = F.get(F.col(lp), by_label - 1)
+        if w is not None:
+            place = F.when(F.get(F.col(lc), by_label - 1) == w, place)
+        by_key = F.nullif(at(k, f.name), F.lit(0)) if w in (None, own) else F.lit(None).cast("int")
+        chosen = F.when(by_label > 0, place).otherwise(by_key)
+        cut.append(TK.match_text(F.get(F.col(pairs), chosen - 1)).alias(f"{prefix}r{i}"))
+    step = step.select(*keep, *cut, F.coalesce(wrong, F.lit(False)).alias(clash))
+    cleaned = []
     for i in range(len(fields)):
-        text = TK.clean_value(F.col(f"{prefix}r{i}"), opts.null_value)
-        raw += [(TK.unescape_extension(text) if opts.unescape else text).alias(f"{prefix}r{i}"),
-                F.coalesce(F.col(f"{prefix}s{i}"), F.get(F.col(prefix + "codes"), i + 1)).alias(f"{prefix}s{i}")]
-    step = step.select(*keep, *raw)
-    typed, odd = [], []
-    for i, f in enumerate(fields):
-        text, code, want = F.col(f"{prefix}r{i}"), F.col(f"{prefix}s{i}"), type_code(f.dataType)
-        if want is None:  # user-declared type outside the format: plain lenient cast
-            typed.append(V.convert(text, f.dataType).alias(f"{prefix}t{i}"))
-            continue
-        typed.append(F.when(code == want, V.convert(text, f.dataType)).alias(f"{prefix}t{i}"))
-        odd.append(F.when(code != want, F.struct(text.alias("v"), code.alias("c"))))
-    # Rarely any: one test for all of them, over the values that are not of their column's type.
-    clash = F.exists(F.array(*odd), lambda x: x.isNotNull() & _nonnull_by_code(x["v"], x["c"])) if odd else F.lit(False)
-    return step.select(*keep, *typed, F.coalesce(clash, F.lit(False)).alias(prefix + "clash")), F.col(prefix + "clash")
+        value = TK.clean_value(F.col(f"{prefix}r{i}"), opts.null_value)
+        cleaned.append((TK.unescape_extension(value) if opts.unescape else value).alias(f"{prefix}r{i}"))
+    step = step.select(*keep, *cleaned, clash)
+    typed = [V.convert(F.col(f"{prefix}r{i}"), f.dataType).alias(f"{prefix}t{i}") for i, f in enumerate(fields)]
+    return step.select(*keep, *typed, clash), F.col(clash)
 
 
 def entries(df: DataFrame, keep: list[Column], prefix: str) -> DataFrame:
