@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from typing import Any, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,16 +58,29 @@ def name_rule(df: DataFrame):
 
 
 def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
-              options: CefOptions | Mapping[str, Any] | None = None, **kwargs: Any) -> DataFrame:
+              options: CefOptions | Mapping[str, Any] | None = None, *, counts: Observation | str | None = None,
+              rest: str | None = None, **kwargs: Any) -> DataFrame:
     """Parse CEF lines in ``column`` into the columns of ``schema``.
 
     Other input columns (e.g. directory partition values) are kept after the parsed columns.  An
     input column that has the name of a schema column takes that column's place, as the partition
     values of Spark's file tables do.  ``options`` / keywords: ``mode``, ``nullValue``,
     ``pivotFields``, ``defensiveMode``, ``corruptRecordColumnName``, ...
+
+    ``counts``: an ``Observation`` (for streams a name) that the next action fills with the number of
+    ``lines``, of ``malformed`` ones, and of each reason (:data:`REASONS`), in every mode and
+    without a second pass.  It counts all lines that are read, so filters on input columns no longer
+    reach the scan.  In mode ``failfast`` the first malformed line ends the job.
+
+    ``rest``: a further column of this name, a map of the pairs that have no column in ``schema``
+    (by the name their column would have), null where there are none.
     """
-    opts = resolve(options, **kwargs)
-    nv = opts.null_value
+    return _parse(df, schema, column, resolve(options, **kwargs), counts, rest)
+
+
+def _parse(df: DataFrame, schema: T.StructType, column: str, opts: CefOptions, counts: Observation | str | None = None,
+           rest: str | None = None, raw: str | None = None, reason: str | None = None) -> DataFrame:
+    """:func:`parse_cef`; with columns ``raw`` and ``reason`` (null for a well-formed line) if named."""
     corrupt = opts.corrupt_record_column_name if opts.mode == "permissive" else None
     rule = name_rule(df)
     inputs = {rule(c): c for c in df.columns if c != column}
@@ -76,7 +89,7 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
     ext_fields = [f for f, idx in headers if idx is None]
 
     value = _quoted(column)
-    line = TK.repair_line(value, nv, trailing=opts.repair_trailing, defensive=opts.defensive_mode,
+    line = TK.repair_line(value, opts.null_value, trailing=opts.repair_trailing, defensive=opts.defensive_mode,
                           escaped=opts.unescape)
     passed = {c: f"{_P}in{i}" for i, c in enumerate(inputs.values())}
     passed_cols = [F.col(p) for p in passed.values()]
@@ -86,6 +99,7 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
     err = F.col(_P + "err")
     step = step.select(_P + "value", _P + "pieces", TK.header_error(pieces).alias(_P + "err"), *passed_cols)
     if not opts.pivot_fields:
+        step = _observed(step, err, counts)
         step = _apply_mode(step, TK.whole_header(pieces), TK.header_error_text(pieces), opts.mode)
 
     header_cols = []
@@ -101,15 +115,18 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
     m = F.col(_P + "m")
     once: dict[str, str] = {}
     if opts.pivot_fields:
-        step, clash = PV.pivoted_columns(step, m, ext_fields, keep, opts, _P)
+        step, clash = PV.pivoted_columns(step, m, ext_fields, keep, opts, _P, rest is not None)
         step = step.withColumn(_P + "perr", F.coalesce(err, F.when(clash, F.lit(PV.TYPE_CLASH_MESSAGE))))
         once[_P + "perr"] = _P + "error"
     else:
-        step = _plain_columns(step, m, ext_fields, keep, opts)
+        step = _plain_columns(step, m, ext_fields, keep, opts, rest is not None)
+    if rest:
+        once[_P + "rest"] = _P + "others"
     once |= {f"{_P}t{i}": f"{_P}c{i}" for i in range(len(ext_fields))}
     step = computed_once(step.select(*keep, *once), once)
     error = F.col(_P + "error") if opts.pivot_fields else err
     if opts.pivot_fields:
+        step = _observed(step, error, counts)
         step = _apply_mode(step, error.isNull(), error, opts.mode)
 
     place = {f.name: F.col(f"{_P}c{i}") for i, f in enumerate(ext_fields)}
@@ -126,12 +143,16 @@ def parse_cef(df: DataFrame, schema: T.StructType, column: str = "value",
         else:
             outputs.append(place[f.name].cast(f.dataType).alias(f.name))
     named = {rule(f.name) for f in schema.fields}
+    added = {rest: F.col(_P + "others"), raw: F.col(_P + "value"), reason: error}
+    if clash := [n for n in added if n and (rule(n) in named or rule(n) in inputs)]:
+        raise ValueError(f"The table already has a column '{clash[0]}'")
+    outputs += [c.alias(n) for n, c in added.items() if n]
     return step.select(*outputs, *[F.col(passed[c]).alias(c) for k, c in inputs.items() if k not in named])
 
 
 def _plain_columns(step: DataFrame, m: Column, ext_fields: list[T.StructField], keep: list[Column],
-                   opts: CefOptions) -> DataFrame:
-    """Typed extension columns ``t0``, ``t1``, ...; each stage is a Project over column references."""
+                   opts: CefOptions, rest: bool = False) -> DataFrame:
+    """Typed extension columns ``t0``, ``t1``, ... (and the others); each stage is a Project over column references."""
     keys = TK.match_keys(m)
     if _needs_label_map(ext_fields):
         keys = F.transform(keys, PV.label_column_name)
@@ -143,14 +164,32 @@ def _plain_columns(step: DataFrame, m: Column, ext_fields: list[T.StructField],
         suffixed = f.name.endswith(S.CONFLICT_SUFFIX) and S.is_header(f.name[: -len(S.CONFLICT_SUFFIX)])
         match = TK.lookup(F.col(_P + "k"), F.col(_P + "v"), f.name)
         raw.append(TK.match_text(match, None if suffixed else len(f.name)).alias(f"{_P}r{i}"))
+    others = []
+    if rest:
+        names = F.col(_P + "k") if _needs_label_map(ext_fields) else F.transform(_P + "k", PV.label_column_name)
+        step = step.withColumn(_P + "n", names)
+        raw.append(PV.other_pairs(F.col(_P + "n"), F.col(_P + "v"), ext_fields, opts).alias(_P + "rest"))
+        others.append(F.col(_P + "rest"))
     step = step.select(*keep, *raw)
     cleaned = []
     for i in range(len(ext_fields)):
         r = TK.clean_value(F.col(f"{_P}r{i}"), opts.null_value)
         cleaned.append((TK.unescape_extension(r) if opts.unescape else r).alias(f"{_P}r{i}"))
-    step = step.select(*keep, *cleaned)
+    step = step.select(*keep, *cleaned, *others)
     return step.select(*keep, *[V.convert(F.col(f"{_P}r{i}"), f.dataType).alias(f"{_P}t{i}")
-                                for i, f in enumerate(ext_fields)])
+                                for i, f in enumerate(ext_fields)], *others)
+
+
+#: Why a line is malformed: the values of ``_cef_error``, and the names under which lines are counted.
+REASONS = (*TK.MISSING_MESSAGES, TK.PIPE_COUNT_MESSAGE, PV.TYPE_CLASH_MESSAGE)
+
+
+def _observed(df: DataFrame, error: Column, counts: Observation | str | None) -> DataFrame:
+    """Metrics of all lines that pass here, whatever the mode does with them afterwards."""
+    if counts is None:
+        return df
+    return df.observe(counts, F.count(F.lit(1)).alias("lines"), F.count(error).alias("malformed"),
+                      *[F.count_if(error == r).alias(r) for r in REASONS])
 
 
 def _apply_mode(df: DataFrame, whole: Column, reason: Column, mode: str) -> DataFrame:
@@ -177,19 +216,27 @@ def with_parse_error(df: DataFrame, column: str = "value",
 def split_malformed(df: DataFrame, schema: T.StructType, column: str = "value",
                     options: CefOptions | Mapping[str, Any] | None = None,
                     **kwargs: Any) -> tuple[DataFrame, DataFrame]:
-    """M6 quarantine: (good parsed rows, bad raw rows with ``_cef_error``).
+    """M6 quarantine: (good parsed rows, bad raw rows with ``_cef_error``), both lazy.
 
-    Both outputs are lazy filters over the same input; cache or write the
-    input first if both are consumed and the source is expensive to re-read.
+    Each output parses the input when it is used.  To get both out of a single pass, write them with
+    :func:`cefframe.write_split`.
     """
     opts = resolve(options, **kwargs)
     good = parse_cef(df, schema, column, resolve(opts, mode="dropmalformed"))
-    bad = with_parse_error(df, column, opts).filter(F.col("_cef_error").isNotNull())
-    if opts.pivot_fields:
-        name = "__cef_bad"
-        flagged = parse_cef(df, T.StructType(schema.fields + [T.StructField(name, T.StringType())]),
-                            column, resolve(opts, mode="permissive", corruptRecordColumnName=name))
-        bad = flagged.filter(F.col(name).isNotNull()).select(F.col(name).alias(column))
-        bad = with_parse_error(bad, column, opts).withColumn(
-            "_cef_error", F.coalesce(F.col("_cef_error"), F.lit(PV.TYPE_CLASH_MESSAGE)))
+    if not opts.pivot_fields:
+        return good, with_parse_error(df, column, opts).filter(F.col("_cef_error").isNotNull())
+    flagged = flag_malformed(df, schema, column, opts)
+    bad = flagged.filter(F.col(ERROR_COL).isNotNull()).select(F.col(RAW_COL).alias(column), ERROR_COL)
     return good, bad
+
+
+RAW_COL, ERROR_COL = "_cef_raw", "_cef_error"
+
+
+def flag_malformed(df: DataFrame, schema: T.StructType, column: str = "value",
+                   options: CefOptions | Mapping[str, Any] | None = None, *, counts: Observation | str | None = None,
+                   rest: str | None = None, **kwargs: Any) -> DataFrame:
+    """All lines, parsed once: the columns of ``schema``, ``_cef_raw`` (the line) and ``_cef_error``
+    (why it is malformed, null if it is not), then the other input columns."""
+    opts = resolve(resolve(options, **kwargs), mode="permissive")
+    return _parse(df, schema, column, opts, counts, rest, RAW_COL, ERROR_COL)

@@ -93,6 +93,11 @@ def _label_of(key: Column, lk: str, lv: str) -> Column:
     return F.get(F.col(lv), F.array_position(F.col(lk), F.concat(key, F.lit(LABEL_SUFFIX))).cast("int") - 1)
 
 
+def _has_suffix(fields: list[T.StructField]) -> bool:
+    """Whether a column may stand for a key or label that clashes with a header."""
+    return any(f.name.endswith(S.CONFLICT_SUFFIX) for f in fields)
+
+
 def label_slots(df: DataFrame, m: Column, keep: list[Column], fields: list[T.StructField], null_value: str,
                 prefix: str) -> DataFrame:
     """The dense arrays of each line: ``ln``, ``lp``, ``lc`` (labels: column, place from 1, type code),
@@ -114,17 +119,35 @@ def label_slots(df: DataFrame, m: Column, keep: list[Column], fields: list[T.Str
 
     labels = F.filter(F.transform(lk, resolved), lambda x: x["name"].isNotNull())
     d = d.select(*keep, k, pairs, labels.alias(ls))
-    own = label_column_name if any(f.name.endswith(S.CONFLICT_SUFFIX) for f in fields) else (lambda x: x)
+    by_name = _has_suffix(fields)
     used = F.concat(F.col(ls)["key"], F.col(ls)["base"])
-    left = F.transform(k, lambda x: F.when(~F.array_contains(used, x), own(x)))
-    plain = F.when(F.size(ls) > 0, left).otherwise(F.col(k) if own is not label_column_name else F.transform(k, own))
+    left = F.transform(k, lambda x: F.when(~F.array_contains(used, x), label_column_name(x) if by_name else x))
+    plain = F.when(F.size(ls) > 0, left).otherwise(F.transform(k, label_column_name) if by_name else F.col(k))
     return d.select(*keep, plain.alias(k), pairs, F.col(ls)["name"].alias(ln), F.col(ls)["place"].alias(lp),
                     F.transform(ls, lambda x: _src_code(x["base"])).alias(lc))
 
 
+def other_pairs(names: Column, pairs: Column, fields: list[T.StructField], opts: CefOptions) -> Column:
+    """Map of the values whose column is not among ``fields``, by name; null if there are none.
+
+    Of equal names the first counts; null names give no entry.
+    """
+    known = F.array(*[F.lit(f.name) for f in fields]) if fields else F.array().cast("array<string>")
+    entries = F.arrays_zip(names.alias("n"), pairs.alias("m"))
+    left = F.filter(entries, lambda x, i: x["n"].isNotNull() & ~F.array_contains(known, x["n"])
+                    & (F.array_position(names, x["n"]) == i + 1))
+
+    def entry(x: Column) -> Column:
+        value = TK.clean_value(TK.match_text(x["m"]), opts.null_value)
+        return F.struct(x["n"], TK.unescape_extension(value) if opts.unescape else value)
+
+    any_left = F.size(F.array_except(F.array_compact(names), known)) > 0
+    return F.when(any_left, F.map_from_entries(F.transform(left, entry)))
+
+
 def pivoted_columns(df: DataFrame, m: Column, fields: list[T.StructField], keep: list[Column], opts: CefOptions,
-                    prefix: str) -> tuple[DataFrame, Column]:
-    """Typed columns ``t0``, ``t1``, ...; and a flag: the line has a value of the wrong type."""
+                    prefix: str, rest: bool = False) -> tuple[DataFrame, Column]:
+    """Typed columns ``t0``, ``t1``, ... (and ``rest``); and a flag: the line has a value of the wrong type."""
     k, pairs, ln, lp, lc, clash = (prefix + x for x in ("k", "m", "ln", "lp", "lc", "clash"))
     step = label_slots(df, m, keep, fields, opts.null_value, prefix)
     want = [type_code(f.dataType) for f in fields]
@@ -158,14 +181,22 @@ def pivoted_columns(df: DataFrame, m: Column, fields: list[T.StructField], keep:
         by_key = F.nullif(at(k, f.name), F.lit(0)) if w in (None, own) else F.lit(None).cast("int")
         chosen = F.when(by_label > 0, place).otherwise(by_key)
         cut.append(TK.match_text(F.get(F.col(pairs), chosen - 1)).alias(f"{prefix}r{i}"))
+    others = []
+    if rest:
+        # Labels first, then the keys that are left, as columns look themselves up.
+        names = F.transform(k, label_column_name) if not _has_suffix(fields) else F.col(k)
+        step = step.withColumn(f"{prefix}n", F.concat(F.col(ln), names))
+        step = step.withColumn(f"{prefix}v", F.concat(F.transform(lp, lambda x: F.get(F.col(pairs), x - 1)), F.col(pairs)))
+        cut.append(other_pairs(F.col(f"{prefix}n"), F.col(f"{prefix}v"), fields, opts).alias(f"{prefix}rest"))
+        others.append(F.col(f"{prefix}rest"))
     step = step.select(*keep, *cut, F.coalesce(wrong, F.lit(False)).alias(clash))
     cleaned = []
     for i in range(len(fields)):
         value = TK.clean_value(F.col(f"{prefix}r{i}"), opts.null_value)
         cleaned.append((TK.unescape_extension(value) if opts.unescape else value).alias(f"{prefix}r{i}"))
-    step = step.select(*keep, *cleaned, clash)
+    step = step.select(*keep, *cleaned, *others, clash)
     typed = [V.convert(F.col(f"{prefix}r{i}"), f.dataType).alias(f"{prefix}t{i}") for i, f in enumerate(fields)]
-    return step.select(*keep, *typed, clash), F.col(clash)
+    return step.select(*keep, *typed, *others, clash), F.col(clash)
 
 
 def entries(df: DataFrame, keep: list[Column], prefix: str) -> DataFrame:

@@ -25,9 +25,14 @@ _STREAM_ONLY = ("maxfilespertrigger", "maxbytespertrigger", "latestfirst", "maxf
 
 
 def read_cef_stream(spark: SparkSession, *paths: str | Iterable[str], schema: T.StructType | None = None,
-                    options: Mapping[str, Any] | None = None, **kwargs: Any) -> DataFrame:
+                    options: Mapping[str, Any] | None = None, rest: str | None = None, **kwargs: Any) -> DataFrame:
     """Stream CEF files from one or more paths (one stream per path, united).  Without ``schema`` the
-    schema is inferred once from the files already there (fixed for the query's life)."""
+    schema is inferred once from the files already there (fixed for the query's life).
+
+    ``rest`` names a map column for the pairs that have no column yet, so that keys which first turn
+    up in a later micro-batch are not lost: see :mod:`cefframe.operators.summary` for the schema of
+    the next start.
+    """
     flat: list[str] = []
     for p in paths:
         flat.extend([p] if isinstance(p, str) else list(p))
@@ -39,7 +44,7 @@ def read_cef_stream(spark: SparkSession, *paths: str | Iterable[str], schema: T.
     reader = spark.readStream
     for k, v in spark_opts.items():
         reader = reader.option(k, v)
-    streams = [parse_cef(reader.text(p), schema, "value", opts) for p in flat]
+    streams = [parse_cef(reader.text(p), schema, "value", opts, rest=rest) for p in flat]
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), streams)
 
 
