@@ -12,10 +12,12 @@ as lowercase hex.
    holds its digest, its parent's place and, at the foot of each stretch of STEP levels, the rung to
    the next foot: the siblings on the left and right at each level between, and the digest there.
    Each stretch is stored; the next starts from its SPAN times fewer rows.
-3. *Climb.*  ``WITH RECURSIVE``: a row for each leaf ascends rung by rung, appends the siblings to its
-   proof and folds its own (perhaps altered) digest with them.  All leaves of a group share the
-   upper rungs, so these are stored once for each SPAN leaves; no join key has more than SPAN rows,
-   at any height.  The climb ends at the root, after (levels / STEP) steps.
+3. *Climb.*  ``WITH RECURSIVE``: every leaf's own (perhaps altered) digest is folded with the
+   siblings on its way, rung by rung, up to the root, and the siblings are appended to its proof.
+   The SPAN leaves below one node differ on their first rung only.  From there on they ascend in one
+   row: an array of their digests, each folded by itself, and the part of the proof that they share.
+   The upper rungs are stored once for each such row, so no join key has more than one row a side at
+   any height, however many leaves a group has.  The climb takes (levels / STEP) steps.
 
 Only the number of groups, the largest group's size and the root reach the driver.
 
@@ -217,25 +219,24 @@ def build_manifest(docs: DataFrame, columns: Sequence[Column], group_col: str =
     return Manifest(nodes, groups, leaves, ladder, height, root[0] if root else None)
 
 
-FOLD = ("unhex(aggregate(arrays_zip({r}.lefts, {r}.rights), lower(hex({c}.{start})), "
+FOLD = ("unhex(aggregate(arrays_zip({r}.lefts, {r}.rights), lower(hex({start})), "
         "(h, s) -> sha2(concat(lower(hex(s.lefts)), h, lower(hex(s.rights))), 256)))")
 APPEND = "aggregate(arrays_zip({r}.lefts, {r}.rights), {proof}, (p, s) -> concat(p, s.lefts, s.rights))"
+OWN_PROOF = "coalesce(" + APPEND.format(r="f", proof="X''") + ", X'')"
 
 CLIMB = f"""
 WITH RECURSIVE climb AS (
-  SELECT f.tree, f.idx, f.depth, coalesce(f.reach, 0) AS level, f.id, f.hash,
-    coalesce({FOLD.format(r="f", c="f", start="altered")}, f.altered) AS folded,
-    coalesce({APPEND.format(r="f", proof="X''")}, X'') AS proof,
-    CASE WHEN coalesce(f.reach, 0) = f.depth THEN coalesce(f.top, f.hash) END AS subroot
-  FROM {{leaves}} f
+  SELECT f.tree, f.idx div {SPAN} AS slot, max(f.depth) AS depth, max(coalesce(f.reach, 0)) AS level,
+    transform(array_sort(collect_list(named_struct('i', f.idx, 'd',
+      coalesce({FOLD.format(r="f", start="f.altered")}, f.altered)))), x -> x.d) AS folded,
+    X'' AS proof, max(CASE WHEN coalesce(f.reach, 0) = f.depth THEN coalesce(f.top, f.hash) END) AS subroot
+  FROM {{leaves}} f GROUP BY f.tree, f.idx div {SPAN}
   UNION ALL
-  SELECT c.tree, c.idx, c.depth, r.reach, c.id, c.hash,
-    {FOLD.format(r="r", c="c", start="folded")}, {APPEND.format(r="r", proof="c.proof")},
-    coalesce(c.subroot, CASE WHEN r.reach = c.depth THEN r.top END)
-  FROM climb c JOIN {{ladder}} r
-    ON r.tree = c.tree AND r.level = c.level AND r.slot = CASE WHEN c.level = 0 THEN c.idx ELSE c.idx div {SPAN} END
+  SELECT c.tree, c.slot, c.depth, r.reach, transform(c.folded, d -> {FOLD.format(r="r", start="d")}),
+    {APPEND.format(r="r", proof="c.proof")}, coalesce(c.subroot, CASE WHEN r.reach = c.depth THEN r.top END)
+  FROM climb c JOIN {{ladder}} r ON r.tree = c.tree AND r.level = c.level AND r.slot = c.slot
 )
-SELECT tree, idx, id, hash, subroot, folded, proof FROM climb WHERE level = depth + {{height}}
+SELECT tree, slot, folded, proof, subroot FROM climb WHERE level = depth + {{height}}
 """
 
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
@@ -256,10 +257,14 @@ def climb(manifest: Manifest) -> DataFrame:
     """One row per leaf: tree, idx, id, hash, subroot, folded (the root it leads to), proof (digests, joined)."""
     spark = manifest.leaves.sparkSession
     with recursion_over_all_rows(spark):
-        # Fields are filled in twice: the first time by name, the second by spark.sql.
-        query = CLIMB.replace("{height}", str(manifest.height))
+        query = CLIMB.replace("{height}", str(manifest.height))  # the tables are filled in by spark.sql
         found = spark.sql(query, leaves=manifest.leaves, ladder=manifest.ladder)
-        return stored(found, f"{new_run(spark, 'merkle-climb')}/rows")
+        up = stored(found, f"{new_run(spark, 'merkle-climb')}/rows")
+    own = manifest.leaves.alias("f").select("f.tree", "f.idx", "f.id", "f.hash", F.expr(OWN_PROOF).alias("near"),
+                                            F.expr(f"f.idx div {SPAN}").alias("slot"))
+    place = (F.col("idx") - F.col("slot") * SPAN).cast("int")
+    return own.join(up, ["tree", "slot"]).select("tree", "idx", "id", "hash", "subroot", F.get("folded", place).alias("folded"),
+                                                 F.concat("near", "proof").alias("proof"))
 
 
 def hex_of(name: str) -> Column:
