@@ -93,19 +93,15 @@ def _label_of(key: Column, lk: str, lv: str) -> Column:
     return F.get(F.col(lv), F.array_position(F.col(lk), F.concat(key, F.lit(LABEL_SUFFIX))).cast("int") - 1)
 
 
-def _has_suffix(fields: list[T.StructField]) -> bool:
-    """Whether a column may stand for a key or label that clashes with a header."""
-    return any(f.name.endswith(S.CONFLICT_SUFFIX) for f in fields)
-
-
 def label_slots(df: DataFrame, m: Column, keep: list[Column], fields: list[T.StructField], null_value: str,
-                prefix: str) -> DataFrame:
+                prefix: str, blanked: bool) -> DataFrame:
     """The dense arrays of each line: ``ln``, ``lp``, ``lc`` (labels: column, place from 1, type code),
-    ``k`` (keys, null where a label uses them up) and ``m`` (whole pairs).
+    ``k`` (keys) with ``lu`` (those that a label uses up), and ``m`` (whole pairs).
 
+    ``blanked``: the keys that are used up are null in ``k``, and the others are named as columns are.
     Each stage is a Project over column references, so an array is built once per row.
     """
-    k, pairs, lk, ls, ln, lp, lc = (prefix + x for x in ("k", "m", "lk", "ls", "ln", "lp", "lc"))
+    k, pairs, lk, ls, ln, lp, lc, lu = (prefix + x for x in ("k", "m", "lk", "ls", "ln", "lp", "lc", "lu"))
     d = df.select(*keep, F.reverse(TK.match_keys(m)).alias(k), F.reverse(m).alias(pairs))
     paired = F.filter(k, lambda x: x.endswith(LABEL_SUFFIX) & (F.array_position(F.col(k), base_key(x)) > 0))
     d = d.select(*keep, k, pairs, paired.alias(lk))
@@ -119,12 +115,10 @@ def label_slots(df: DataFrame, m: Column, keep: list[Column], fields: list[T.Str
 
     labels = F.filter(F.transform(lk, resolved), lambda x: x["name"].isNotNull())
     d = d.select(*keep, k, pairs, labels.alias(ls))
-    by_name = _has_suffix(fields)
     used = F.concat(F.col(ls)["key"], F.col(ls)["base"])
-    left = F.transform(k, lambda x: F.when(~F.array_contains(used, x), label_column_name(x) if by_name else x))
-    plain = F.when(F.size(ls) > 0, left).otherwise(F.transform(k, label_column_name) if by_name else F.col(k))
-    return d.select(*keep, plain.alias(k), pairs, F.col(ls)["name"].alias(ln), F.col(ls)["place"].alias(lp),
-                    F.transform(ls, lambda x: _src_code(x["base"])).alias(lc))
+    keys = F.transform(k, lambda x: F.when(~F.array_contains(used, x), label_column_name(x))) if blanked else F.col(k)
+    return d.select(*keep, keys.alias(k), pairs, F.col(ls)["name"].alias(ln), F.col(ls)["place"].alias(lp),
+                    F.transform(ls, lambda x: _src_code(x["base"])).alias(lc), used.alias(lu))
 
 
 def other_pairs(names: Column, pairs: Column, fields: list[T.StructField], opts: CefOptions) -> Column:
@@ -148,8 +142,10 @@ def other_pairs(names: Column, pairs: Column, fields: list[T.StructField], opts:
 def pivoted_columns(df: DataFrame, m: Column, fields: list[T.StructField], keep: list[Column], opts: CefOptions,
                     prefix: str, rest: bool = False) -> tuple[DataFrame, Column]:
     """Typed columns ``t0``, ``t1``, ... (and ``rest``); and a flag: the line has a value of the wrong type."""
-    k, pairs, ln, lp, lc, clash = (prefix + x for x in ("k", "m", "ln", "lp", "lc", "clash"))
-    step = label_slots(df, m, keep, fields, opts.null_value, prefix)
+    k, pairs, ln, lp, lc, lu, clash = (prefix + x for x in ("k", "m", "ln", "lp", "lc", "lu", "clash"))
+    # Most schemas find their columns by the keys as they stand, without a pass over them.
+    blanked = rest or any(f.name.endswith(S.CONFLICT_SUFFIX) for f in fields)
+    step = label_slots(df, m, keep, fields, opts.null_value, prefix, blanked)
     want = [type_code(f.dataType) for f in fields]
     plain = [type_code(S.key_type(f.name)) for f in fields]
 
@@ -160,6 +156,10 @@ def pivoted_columns(df: DataFrame, m: Column, fields: list[T.StructField], keep:
     def at(array: str, name: str) -> Column:
         return F.array_position(F.col(array), F.lit(name)).cast("int")
 
+    def by_own_key(name: str) -> Column:
+        place = F.nullif(at(k, name), F.lit(0))
+        return place if blanked else F.when(~F.array_contains(lu, F.lit(name)), place)
+
     # A label whose key is not of its column's type: rarely any, so values are only read for those.
     names = F.array(*[F.lit(f.name) for f in fields]) if fields else F.array().cast("array<string>")
     wanted = F.array(*[F.lit(w).cast("int") for w in want]) if fields else F.array().cast("array<int>")
@@ -170,7 +170,7 @@ def pivoted_columns(df: DataFrame, m: Column, fields: list[T.StructField], keep:
     # A key whose own type is not its column's (in a declared schema): known from the schema.
     for f, w, own in zip(fields, want, plain):
         if w is not None and w != own:
-            found = F.when(at(ln, f.name) == 0, F.nullif(at(k, f.name), F.lit(0)))
+            found = F.when(at(ln, f.name) == 0, by_own_key(f.name))
             wrong = wrong | F.coalesce(_nonnull_by_code(text(found), F.lit(own)), F.lit(False))
     cut = []
     for i, (f, w, own) in enumerate(zip(fields, want, plain)):
@@ -178,14 +178,13 @@ def pivoted_columns(df: DataFrame, m: Column, fields: list[T.StructField], keep:
         place = F.get(F.col(lp), by_label - 1)
         if w is not None:
             place = F.when(F.get(F.col(lc), by_label - 1) == w, place)
-        by_key = F.nullif(at(k, f.name), F.lit(0)) if w in (None, own) else F.lit(None).cast("int")
+        by_key = by_own_key(f.name) if w in (None, own) else F.lit(None).cast("int")
         chosen = F.when(by_label > 0, place).otherwise(by_key)
         cut.append(TK.match_text(F.get(F.col(pairs), chosen - 1)).alias(f"{prefix}r{i}"))
     others = []
     if rest:
         # Labels first, then the keys that are left, as columns look themselves up.
-        names = F.transform(k, label_column_name) if not _has_suffix(fields) else F.col(k)
-        step = step.withColumn(f"{prefix}n", F.concat(F.col(ln), names))
+        step = step.withColumn(f"{prefix}n", F.concat(F.col(ln), F.col(k)))
         step = step.withColumn(f"{prefix}v", F.concat(F.transform(lp, lambda x: F.get(F.col(pairs), x - 1)), F.col(pairs)))
         cut.append(other_pairs(F.col(f"{prefix}n"), F.col(f"{prefix}v"), fields, opts).alias(f"{prefix}rest"))
         others.append(F.col(f"{prefix}rest"))

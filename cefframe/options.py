@@ -46,18 +46,39 @@ def _norm(name: str) -> str:
 _BY_NORM = {_norm(k): k for k in _KNOWN}
 
 
-# Options of Spark's own sources whose names come close to one of ours.
+# Options of Spark's own sources and sinks whose names come close to one of ours.
 _SPARKS_OWN = ("maxcolumns", "maxfilespertrigger", "maxbytespertrigger", "maxfileage", "maxcharspercolumn",
-               "fileformat", "timestampformat", "emptyvalue", "columnnameofcorruptrecord")
+               "maxrecordsperfile", "maxcachedfiles", "fileformat", "timestampformat", "timestampntzformat", "nanvalue",
+               "emptyvalue", "columnnameofcorruptrecord", "datetimerebasemode", "ignorenullfields")
+
+# Letters that sound alike get one letter; vowels count only at the start.
+_ALIKE = (("ph", "f"), ("ck", "k"), ("ch", "k"), ("cs", "ks"), ("x", "ks"), ("ce", "se"), ("ci", "si"), ("cy", "sy"))
+_SOUNDS = str.maketrans("bvcqgzd", "pfkkkst", "aeiouyhw")
+
+
+def sound(name: str) -> str:
+    """A phonetic key: the consonants of a name as groups of like sounds, no letter twice in a row."""
+    text = "".join(c for c in name.lower() if c.isascii() and c.isalpha())
+    for letters, alike in _ALIKE:
+        text = text.replace(letters, alike)
+    start = "a" if text[:1] in tuple("aeiou") else ""
+    out = ""
+    for c in text.translate(_SOUNDS):
+        out += c if out[-1:] != c else ""
+    return start + out
 
 
 def near_miss(key: str) -> str | None:
-    """The option a name is a misspelling of, if it is one."""
+    """The option a name is a misspelling of, if it is one: written much alike, or sounding alike."""
     name = _norm(key)
     if name in _BY_NORM or name in _SPARKS_OWN:
         return None
     close = difflib.get_close_matches(name, [_norm(k) for k in _CHECKED], n=1, cutoff=0.66)
-    return _BY_NORM[close[0]] if close else None
+    if close:
+        return _BY_NORM[close[0]]
+    heard = sound(name)
+    return next((k for k in _CHECKED if len(heard) >= 4 and heard[:4] == sound(k)[:4]
+                 and abs(len(heard) - len(sound(k))) <= 2), None)
 
 
 def _to_bool(name: str, value: Any) -> bool:

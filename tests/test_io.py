@@ -168,3 +168,40 @@ def test_stream_of_several_paths_and_stream_write(spark, tmp_dir):
     stream = read_cef_stream(spark, f"{tmp_dir}/one", f"{tmp_dir}/two", maxBytesPerTrigger=1000000)
     write_cef_stream(stream, f"{tmp_dir}/sout", f"{tmp_dir}/schk").trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.badge for r in read_cef(spark, f"{tmp_dir}/sout").collect()) == ["0", "0", "1", "2"]
+
+
+def test_large_gzip_files_are_parsed_by_many_tasks(spark, tmp_dir, monkeypatch):
+    import cefframe.sources.files as files
+    write_lines(f"{tmp_dir}/g/a.cef.gz", LINES * 50, gz=True)
+    write_lines(f"{tmp_dir}/p/a.cef", LINES * 50)
+    rebalanced = lambda df: "REBALANCE_PARTITIONS" in physical_plan(df)
+    assert not rebalanced(read_cef(spark, f"{tmp_dir}/g"))
+    monkeypatch.setattr(files, "LARGE_UNSPLIT", 100)
+    assert rebalanced(read_cef(spark, f"{tmp_dir}/g")) and not rebalanced(read_cef(spark, f"{tmp_dir}/p"))
+    plan = physical_plan(read_cef(spark, f"{tmp_dir}/g"))
+    # The regex runs above the exchange, on the rebalanced lines.
+    assert plan.index("regexp_extract_all") < plan.index("REBALANCE_PARTITIONS") and plan.count("FileScan") == 1
+    a, b = (sorted(map(str, read_cef(spark, f"{tmp_dir}/{x}").collect())) for x in "gp")
+    assert a == b and len(a) == 150
+
+
+def test_files_of_partitioned_output_follow_the_bytes(spark, tmp_dir):
+    keys = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 7).cast("string")))
+    heads = [F.lit(x).alias(h) for h, x in zip(("CEFVersion", "DeviceVendor", "DeviceProduct", "DeviceVersion", "SignatureID", "Name",
+                                                "Severity"), ("CEF:0", "v", "p", "1", "s", "n", "5"))]
+    df = spark.range(30_000).repartition(16).select(*heads, F.col("id").alias("eventId"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("msg"),
+                                                    keys.alias("day"))
+    sizes, parts = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(sizes, "400k")
+    spark.conf.set("spark.sql.shuffle.partitions", "199")  # hash partitions of their own for the eight values
+    try:
+        write_cef(df, f"{tmp_dir}/out", partition_by="day")
+    finally:
+        spark.conf.unset(sizes)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    files = {d: glob.glob(f"{tmp_dir}/out/{d}/*.txt") for d in os.listdir(f"{tmp_dir}/out") if d.startswith("day=")}
+    assert len(files) == 8
+    for names in files.values():
+        assert len(names) <= 1 + sum(map(os.path.getsize, names)) // 200_000, names
+    assert len(files["day=hot"]) > 1  # a hot value is written by several tasks
+    assert read_cef(spark, f"{tmp_dir}/out").groupBy("day").count().filter("day = 'hot'").first()["count"] == 10_000

@@ -1,6 +1,6 @@
 import pytest
 
-from cefframe.options import CefOptions, CefOptionsError
+from cefframe.options import near_miss, sound, CefOptions, CefOptionsError
 from cefframe.sources.files import _split_options
 
 
@@ -32,6 +32,32 @@ def test_misspelt_options_get_hints():
         assert f"Unable to find option '{bad}', did you mean '{good}'" in str(e.value)
 
 
+HEARD = {"macksRekawrdz": "maxRecords", "pyvuttFheelds": "pivotFields", "koruptrekkord": "corruptRecordColumnName",
+         "dhifensivvMoad": "defensiveMode", "nowlVallew": "nullValue", "deightForemat": "dateFormat", "macsRexord": "maxRecords",
+         "datfrmt": "dateFormat", "nulVal": "nullValue", "devensiveMoad": "defensiveMode"}
+
+
+def test_options_that_sound_alike_get_hints():
+    assert sound("maxRecords") == sound("macksRekawrdz") == "mksrkrts" and sound("ABBA") == "ap" and sound("") == ""
+    got = {bad: near_miss(bad) for bad in HEARD}
+    assert {b: g for b, g in got.items() if g != HEARD[b]} == {"koruptrekkord": None}
+
+
+SPARKS = """wholetext lineSep compression encoding pathGlobFilter recursiveFileLookup modifiedBefore modifiedAfter ignoreCorruptFiles
+    ignoreMissingFiles basePath maxRecordsPerFile partitionOverwriteMode mergeSchema path checkpointLocation timeZone sep delimiter
+    quote escape comment header inferSchema preferDate enforceSchema ignoreLeadingWhiteSpace ignoreTrailingWhiteSpace nanValue
+    positiveInf negativeInf timestampFormat timestampNTZFormat enableDateTimeParsingFallback maxColumns maxCharsPerColumn
+    columnNameOfCorruptRecord multiLine charToEscapeQuoteEscaping samplingRatio emptyValue locale unescapedQuoteHandling
+    primitivesAsString prefersDecimal allowComments allowUnquotedFieldNames allowSingleQuotes allowNumericLeadingZeros
+    allowBackslashEscapingAnyCharacter allowUnquotedControlChars allowNonNumericNumbers dropFieldIfAllNull ignoreNullFields
+    datetimeRebaseMode int96RebaseMode maxFilesPerTrigger maxBytesPerTrigger latestFirst maxFileAge cleanSource sourceArchiveDir
+    fileNameOnly maxCachedFiles discardCachedInputRatio fileFormat""".split()
+
+
+def test_no_option_of_spark_gets_a_hint():
+    assert {k: near_miss(k) for k in SPARKS if near_miss(k)} == {}
+
+
 def test_options_of_sparks_sources_are_not_misspellings():
     own = {"fileFormat": "x", "maxColumns": 5, "Compression": "gzip", "LINESEP": "|", "recursivefilelookup": True,
            "pathglobfilter": "*.log", "maxBytesPerTrigger": "1g", "wholetext": True}
