@@ -21,9 +21,14 @@ sets' Jaccard similarity is 0.75 or more (100 * intersection >= 75 * union, on t
 
 Shingles are 64-bit hashes; the probability that two of a pair's shingles collide is below 1e-12.
 
+Rows that share an id are linked with each other, whatever their texts: the graph's nodes are ids, and
+an id with several sets takes part with each of them.
+
 Defined cases: null and empty texts and texts of white space only have an empty set and are linked
-with nothing; a null id takes no part (component_id null, kept true); rows that share an id are one
-document and share its component; an empty table gives an empty result; extra columns are ignored.
+with nothing, not even with rows of their own id; a null id takes no part (component_id null, kept
+true); rows that share an id and have words share a component; repeated rows share their class; an
+empty table gives an empty result; extra columns, whatever their names, are ignored; texts of any
+length count whole (memory in a task follows the longest text's number of shingles).
 """
 
 from __future__ import annotations
@@ -37,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hold, map_arrow, new_run, ship_code, stored, table
+from .common import WORD, hold, map_arrow, new_run, ship_code, stored, table
 from .components import UnionFind, connected_components
 
 SHINGLE, PERCENT = 5, 75
@@ -137,7 +142,7 @@ def sketch(batches):
             for i, cell in enumerate(part.column(1)):
                 own = shingle_set(cell.as_py())
                 counts.append(len(own))
-                digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                digests.append(set_digest(own))
                 if len(own):
                     pending.append((i, own))
                     size += len(own)
@@ -150,6 +155,18 @@ def sketch(batches):
                  pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "digest", "bands"])
 
 
+def set_digest(own: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
+
+
+def with_digest(batches):
+    """(id, text) -> (id, text, digest of its set)."""
+    hold("near", _WORDS.clear)
+    for batch in batches:
+        digests = [set_digest(shingle_set(cell.as_py())) for cell in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], ["id", "text", "digest"])
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two non-empty sets reach the threshold, exactly."""
     if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
@@ -159,11 +176,11 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def verify(batches):
-    """(a, text_a, b, text_b), rows of one b side by side -> the pairs that are linked."""
+    """(a, text_a, b, text_b, which of b's sets), rows of one b side by side -> the pairs that are linked."""
     hold("near", _WORDS.clear)
     last, last_set = None, None
     for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        b = list(zip(batch.column(2).to_pylist(), batch.column(4).to_pylist()))
         keep = []
         for i in range(batch.num_rows):
             if b[i] != last:
@@ -207,25 +224,40 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = stored(map_arrow(rows, sketch, "id long, n long, digest binary, bands array<long>"), f"{run}/sketches")
     real = sketches.filter("n > 0 AND id IS NOT NULL")
     classes = stored(real.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")), f"{run}/classes")
-    # One row for each class: its smallest id's.
-    nodes = real.join(classes.select(F.col("rep").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id", "digest"])
-    banded = nodes.select("id", F.explode("bands").alias("key"))
+    # Ids with several sets link the classes of these.
+    several = stored(real.groupBy("id").agg(F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high"))
+                     .filter("low < high").select("id"), f"{run}/several")
+    sets = stored(real.join(several, "id").select("id", "digest").distinct(), f"{run}/sets")
+    reps = sets.join(classes, "digest").select("id", "rep")
+    lowest = reps.groupBy("id").agg(F.min("rep").alias("a"))
+    same = stored(reps.join(lowest, "id").filter("a < rep").select("a", F.col("rep").alias("b")).distinct(), f"{run}/same")
+    # One row for each class: its smallest id's; ``d`` tells the sets of one id apart.
+    nodes = (real.join(classes.select(F.col("rep").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id", "digest"])
+             .join(several.withColumn("d", F.lit(1)), "id", "left"))
+    banded = nodes.select("id", F.when(F.col("d").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("digest")).alias("d"),
+                          F.explode("bands").alias("key"))
     shared = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("low"), F.max("id").alias("high"))
                     .filter("low < high").select("key", "members"), f"{run}/shared")
     members = stored(banded.join(shared, "key").distinct(), f"{run}/members")
     # The hub of a bucket: the member with the most company over all its buckets.
-    company = stored(members.groupBy("id").agg(F.sum("members").alias("company")), f"{run}/company")
-    placed = members.join(company, "id")
-    hubs = stored(placed.groupBy("key").agg(F.max(F.struct("company", -F.col("id"))).alias("top"))
-                  .select("key", (-F.col("top.col2")).alias("hub")), f"{run}/hubs")
-    pairs = stored(members.join(hubs, "key").filter("id <> hub").select("id", "hub").distinct(), f"{run}/pairs")
-    texts = stored(rows.join(company.select("id"), "id").groupBy("id").agg(F.min("text").alias("text")), f"{run}/texts")
-    # Both sides are tables, one row of `texts` for each id: a hub with many members is a skewed
+    company = stored(members.groupBy("id", "d").agg(F.sum("members").alias("company")), f"{run}/company")
+    placed = members.join(company, ["id", "d"])
+    hubs = stored(placed.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"), "d")).alias("top"))
+                  .select("key", (-F.col("top.minus")).alias("hub"), F.col("top.d").alias("hub_d")), f"{run}/hubs")
+    pairs = stored(members.join(hubs, "key").filter("id <> hub").select("id", "d", "hub", "hub_d").distinct(), f"{run}/pairs")
+    # The text of each node: any of its id's, or for ids with several sets the one that has the set.
+    alone = rows.join(company.filter("d = 0").select("id", "d"), "id")
+    told = map_arrow(rows.join(several, "id"), with_digest, "id long, text string, digest binary").select(
+        "id", "text", F.xxhash64("digest").alias("d")).join(company.select("id", "d"), ["id", "d"])
+    texts = stored(alone.select("id", "d", "text").unionByName(told).groupBy("id", "d").agg(F.min("text").alias("text")),
+                   f"{run}/texts")
+    # Both sides are tables, one row of `texts` for each node: a hub with many members is a skewed
     # join, which Spark splits at run time.
-    compared = (pairs.join(texts, "id").select("id", F.col("text").alias("text_a"), "hub")
-                .join(texts.select(F.col("id").alias("hub"), F.col("text").alias("text_b")), "hub")
-                .select(F.col("id").alias("a"), "text_a", F.col("hub").alias("b"), "text_b"))
-    links = stored(map_arrow(compared, verify, "a long, b long"), f"{run}/links")
+    ends = texts.select(F.col("id").alias("hub"), F.col("d").alias("hub_d"), F.col("text").alias("text_b"))
+    compared = (pairs.join(texts, ["id", "d"]).select("id", F.col("text").alias("text_a"), "hub", "hub_d")
+                .join(ends, ["hub", "hub_d"])
+                .select(F.col("id").alias("a"), "text_a", F.col("hub").alias("b"), "text_b", "hub_d"))
+    links = stored(map_arrow(compared, verify, "a long, b long").unionByName(same), f"{run}/links")
     first = connected_components(links, f"{run}/first")
     # Buckets of three and more that are still split.
     state = (members.filter("members > 2").join(first.withColumnRenamed("node", "id"), "id", "left")
@@ -240,7 +272,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(F.col("node").alias("id"), F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("task")))
-    more = dealt.join(texts, "id").groupBy("task").applyInPandas(block_links, "a long, b long")
+    more = dealt.join(texts.select("id", "text"), "id").groupBy("task").applyInPandas(block_links, "a long, b long")
     every = links.unionByName(stored(more, f"{run}/more"))
     final = connected_components(every, f"{run}/final")
     # Back to all rows by class: only classes of several documents or in larger components need it.
@@ -255,9 +287,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose document names its component, with all their columns."""
+    """The rows whose document names its component, with all their columns; rows without words stay."""
     gone = near_components(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return docs.join(gone, (docs[id_col] == gone["_gone"]) & docs[text_col].rlike(WORD), "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ def brute(docs):
     for (i, a), (j, b) in combinations([s for s in sets if s[1]], 2):
         if 100 * len(a & b) >= 75 * len(a | b):
             find.join(i, j)
-    return [(i, len(s), find.root(i)) for i, s in sets]
+    return [(i, len(s), find.root(i) if s else i) for i, s in sets]
 
 
 def words(rng, n):
@@ -79,6 +79,29 @@ def test_null_ids_and_empty_table(spark):
     assert N.near_components(df.limit(0)).collect() == []
 
 
+def test_one_id_with_several_texts(spark):
+    a = " ".join(words(random.Random(21), 30))
+    b = " ".join(words(random.Random(22), 26))
+    near_b = " ".join([*b.split()[:-1], "changed"])
+    df, got = check(spark, [(3, a), (5, a), (5, b), (9, near_b)])
+    assert {g[2] for g in got} == {3}
+    check(spark, [(5, b), (5, a), (9, near_b), (7, a), (7, None), (5, ""), (11, near_b), (11, "other text")])
+    check(spark, [(5, a), (5, a), (5, b), (2, "x"), (5, near_b)])
+
+
+def test_random_tables_with_repeated_ids(spark):
+    for seed in (31, 32):
+        rng = random.Random(seed)
+        texts = [t for k in range(6) for t in family(seed + k, 6, 60, 5)] + ["", None, "few words"]
+        docs = [(rng.randrange(40), rng.choice(texts)) for _ in range(90)]
+        docs += docs[:10]
+        df, got = check(spark, docs)
+        kept = N.drop_near_copies(df).collect()
+        names = {i: c for i, n, c, _ in got if n}
+        want = [(i, t) for i, t in docs if not (t or "").split() or names[i] == i]
+        assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(want, key=str)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     errors = []
