@@ -13,8 +13,9 @@ The running total over a source is found in two steps, so that no task sees a wh
 per (source, rank bin) first, then rows only within the one bin where a source's total is reached.
 
 Defined cases: null text has size 0; the null source is a source of its own, ordered last; an empty
-table gives an empty result; rows tied on id are told apart by size (full ties are interchangeable);
-documents of size 0 take nothing; other columns are ignored.
+table gives an empty result; rows tied on id are told apart by size (full ties are interchangeable,
+and share out their copies); documents of size 0 take nothing; other columns, whatever their names,
+are ignored; texts of any length count whole.
 """
 
 from __future__ import annotations
@@ -102,16 +103,38 @@ def mix(docs: DataFrame, id_col: str = "doc_id", most: int = MOST, seed: str = S
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", most: int = MOST, seed: str = SEED) -> DataFrame:
-    """The mix itself: each row of ``docs``, all its columns, as often as the mix takes it."""
-    key, source, size, copies, copy = fresh(docs, "_id", "_source", "_size", "_copies", "_copy")
-    # Rows tied on id, source and size share their copies.
-    chosen = stored(mix(docs, id_col, most, seed).filter("copies > 0")
+    """The mix itself: each row of ``docs``, all its columns, as often as the mix takes it.
+
+    Rows tied on id, source and size are told apart by nothing the mix looks at: they share out the
+    copies that were planned for them, some one more than others where they do not divide evenly.
+    """
+    key, source, size, share, more, part, at, turn, copy = fresh(
+        docs, "_id", "_source", "_size", "_share", "_more", "_part", "_at", "_turn", "_copy")
+    run = new_run(docs.sparkSession, "mixed")
+    chosen = stored(mix(docs, id_col, most, seed)
                     .groupBy(F.col(id_col).alias(key), F.col("source").alias(source), F.col("size").alias(size))
-                    .agg(F.max("copies").cast("int").alias(copies)), f"{new_run(docs.sparkSession, 'mixed')}/copies")
+                    .agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("n")).filter("c > 0")
+                    .select(key, source, size, F.expr("c div n").cast("int").alias(share), F.expr("c % n").alias(more)),
+                    f"{run}/copies")
     on = (docs[id_col].eqNullSafe(chosen[key]) & docs["source"].eqNullSafe(chosen[source])
           & (word_count(docs["text"]) == chosen[size]))
-    return (docs.join(chosen, on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
-            .select(*map(quoted, docs.columns)))
+    columns = list(map(quoted, docs.columns))
+    found = docs.join(chosen.filter(F.col(share) > 0), on).select(*columns, F.col(share).alias(copy))
+    if chosen.filter(F.col(more) > 0).limit(1).count():
+        # The first rows of such a tie get one more: rows are numbered by part, then place in the part.
+        tied = stored(docs.join(chosen.filter(F.col(more) > 0), on)
+                      .select(*columns, key, source, size, more, F.spark_partition_id().alias(part),
+                              F.monotonically_increasing_id().alias(at)), f"{run}/tied")
+        group = [F.struct(F.xxhash64(key), key, source, size).alias("g"), F.col(part).alias("p")]
+        held = tied.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"))
+        upto = Window.partitionBy("g").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+        starts = held.select("g", "p", F.coalesce(F.sum("rows").over(upto), F.lit(0)).alias("before"))
+        own = F.row_number().over(Window.partitionBy(key, source, size, part).orderBy(at))
+        placed = tied.withColumn(turn, own)
+        first = (placed.join(starts, (F.struct(F.xxhash64(key), key, source, size).eqNullSafe(starts["g"])) & (F.col(part) == starts["p"]))
+                 .filter(F.col("before") + F.col(turn) <= F.col(more)).select(*columns, F.lit(1).alias(copy)))
+        found = found.unionAll(first)
+    return found.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,29 @@ def test_rows_of_the_mix(spark):
     assert words == mix(df).agg(F.sum("taken")).first()[0]
 
 
+def words_of(df):
+    return df.agg(F.sum(F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != "")))).first()[0]
+
+
+@pytest.mark.parametrize("key", [5, None])
+def test_rows_tied_on_id_share_the_planned_copies(spark, key):
+    rows = [(key, f"w{i} x y z", "en", "a", i) for i in range(150)] + [(1000 + i, "p q r", "en", f"s{i % 4}", i) for i in range(40)]
+    rows += [(key, "one two", "en", "s1", 0)] * 30 + [(7, "same same", "en", None, 1)] * 21
+    df = spark.createDataFrame(rows, COLUMNS).repartition(6)
+    plan = mix(df).collect()
+    out = mixed_rows(df)
+    assert words_of(out) == sum(r.taken for r in plan)
+    # Per tie, the copies differ by at most one, and their sum is what was planned.
+    got = {}
+    for r in out.groupBy("doc_id", "source", "text", "n_chars").count().collect():
+        got.setdefault((r.doc_id, r.source, len(r.text.split())), []).append(r["count"])
+    want = {}
+    for r in plan:
+        want[r.doc_id, r.source, r.size] = want.get((r.doc_id, r.source, r.size), 0) + r.copies
+    assert {k: sum(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
+    assert all(max(got[k]) - min(got[k]) <= 1 for k in got if k[0] == key and k[1] == "a")
+
+
 def test_empty(spark):
     df = docs_frame(spark, ["x"]).limit(0)
     assert mix(df).collect() == [] and mixed_rows(df).collect() == []
