@@ -47,6 +47,7 @@ SPAN = FAN ** STEP
 #: The powers of FAN that fit a long.
 POWERS = [FAN ** k for k in range(40) if FAN ** k < 1 << 63]
 TOP = -1
+CHUNK = 10_000
 
 
 class Manifest(NamedTuple):
@@ -78,6 +79,15 @@ def power(k: Column) -> Column:
     return F.get(F.array(*[F.lit(p).cast("long") for p in POWERS]), k)
 
 
+def spread(rows: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """Each row once for every number from ``first`` to ``last``; long ranges are cut up and dealt out to tasks."""
+    cut = (rows.withColumn("_first", first).withColumn("_last", last)
+           .withColumn("_chunk", F.explode(F.sequence(F.expr(f"_first div {CHUNK}"), F.expr(f"_last div {CHUNK}"))))
+           .repartition("tree", "level", "_chunk"))
+    return cut.withColumn(name, F.explode(F.sequence(
+        F.greatest("_first", F.col("_chunk") * CHUNK), F.least(F.col("_last"), F.col("_chunk") * CHUNK + (CHUNK - 1)))))
+
+
 def numbered(rows: DataFrame, group: list[str], order: list[str], folder: str) -> tuple[DataFrame, DataFrame]:
     """Rows with ``part`` and ``at``; and of each (part, group) ``start``: place = start + at.
 
@@ -202,16 +212,17 @@ def build_manifest(docs: DataFrame, columns: Sequence[Column], group_col: str =
     rung = ["reach", "lefts", "rights", "top"]
     # An upper rung is stored for each SPAN leaves below it.
     width, slots = power(F.col("level") - STEP), F.ceil(F.col("n") / SPAN)
-    upper = own.filter((F.col("level") >= STEP) & F.col("reach").isNotNull()).select("tree", "level", F.explode(F.sequence(
-        F.col("idx") * width, F.least((F.col("idx") + 1) * width, slots) - 1)).alias("slot"), *rung)
+    upper = spread(own.filter((F.col("level") >= STEP) & F.col("reach").isNotNull()).select("tree", "level", "idx", "n", *rung),
+                   F.col("idx") * width, F.least((F.col("idx") + 1) * width, slots) - 1, "slot")
     width = power(F.col("level"))
-    over = top.filter(F.col("reach").isNotNull()).select(F.explode(F.sequence(
-        F.col("idx") * width, F.least((F.col("idx") + 1) * width, F.lit(trees)) - 1)).alias("tree"), "level", *rung)
+    over = spread(top.filter(F.col("reach").isNotNull()).select("tree", "level", "idx", *rung),
+                  F.col("idx") * width, F.least((F.col("idx") + 1) * width, F.lit(trees)) - 1, "over").drop("tree")
     own_depth = groups.select("tree", "n", depth_of("n").alias("own"))
-    beyond = over.join(own_depth, "tree").select(
-        "tree", (F.col("level") + F.col("own")).alias("level"),
-        F.explode(F.sequence(F.lit(0).cast("long"), slots - 1)).alias("slot"),
-        (F.col("reach") + F.col("own")).alias("reach"), "lefts", "rights", "top")
+    beyond = spread(over.withColumnRenamed("over", "tree").join(own_depth, "tree").select(
+        "tree", "n", (F.col("level") + F.col("own")).alias("level"), (F.col("reach") + F.col("own")).alias("reach"),
+        "lefts", "rights", "top"), F.lit(0).cast("long"), slots - 1, "slot")
+    steps = ["tree", "level", "slot", *rung]
+    upper, beyond = upper.select(steps), beyond.select(steps)
     ladder = stored(upper.unionByName(beyond), f"{folder}/ladder")
     nodes = own.select("tree", "level", "idx", "hash", "parent").unionByName(
         top.select("tree", "level", "idx", "hash", "parent"))

@@ -122,3 +122,10 @@ def test_climb_gives_the_proof_itself_and_leaves_the_session_as_it_was(spark):
     for i, r in enumerate(rows):
         assert bytes(r.proof).hex() == "".join("".join(a + b) for a, b in siblings(levels, i))
         assert bytes(r.folded).hex() == manifest.root  # nothing was altered
+
+
+def test_long_ranges_are_cut_up(spark, monkeypatch):
+    from cefframe.llm import merkle
+    monkeypatch.setattr(merkle, "CHUNK", 2)
+    docs = made(random.Random(6), [800, 1, 90])
+    assert sorted(map(tuple, verified_leaves(run(spark, docs)).collect()), key=str) == expected(docs)
