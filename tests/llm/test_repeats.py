@@ -100,6 +100,12 @@ def test_anchors_with_many_units_are_counted_by_window(spark, monkeypatch):
     check(spark, EDGES + passages(2, 60) + passages(3, 20, "ab"))
 
 
+def test_no_tables_are_left_in_the_catalog(spark):
+    before = [t.name for t in spark.catalog.listTables()]
+    check(spark, passages(5, 10))
+    assert [t.name for t in spark.catalog.listTables()] == before and not any(n.startswith("llm_") for n in before)
+
+
 def test_small_arrays_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(R, "BATCH_BYTES", 1)
     monkeypatch.setattr(R, "BLOCK_BYTES", 1000)
