@@ -21,7 +21,8 @@ code points from the start of its rendering.
 All of it is DataFrame functions.  Defined cases: null text or role counts as empty; messages tied
 on turn are ordered by role, then text, repeated rows stay repeated; an empty log gives no
 conversations; null conv_id or turn are a conversation and a turn of their own, first in order;
-extra columns are ignored.
+extra columns, whatever their names, are ignored; messages of any length are rendered whole, a
+conversation into one row.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ by content stay apart on the way back as well.
 Defined cases: null text counts as empty; an empty table gives an empty result; a null id sorts
 after every other id, and a row with a null id stays only if its whole group has none; of fully
 tied rows (same id, same text) exactly one stays; further columns are ignored here and kept whole
-by :func:`drop_copies`.
+by :func:`drop_copies`, whatever their names; texts of any length are compared whole.
 """
 
 from __future__ import annotations

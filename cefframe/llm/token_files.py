@@ -22,8 +22,8 @@ That is ``by_part=True``, for tokenizers known to be such; by default texts are
 byte-level tokenizers need it, which encode white space too.
 
 Defined cases: null text counts as empty (only the end id is written); null ids come first; rows
-tied on id are ordered by text; an empty table writes a manifest without files; extra columns are
-ignored.
+tied on id are ordered by text; an empty table writes a manifest without files; extra columns,
+whatever their names, are ignored; a text of any length is encoded whole, within one frame.
 """
 
 from __future__ import annotations

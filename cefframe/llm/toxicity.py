@@ -24,7 +24,8 @@ has met in a bounded table; a text is scored by adding and comparing rows of tha
 Defined cases: null text counts as empty; a text without words has the score of no evidence; labels
 that are null, or whose row has no text, teach nothing; several labels of one id: toxic if any is;
 without labels of both kinds all scores are the smoothed share of toxic rows, below 0.5; null ids
-are held out; extra columns are ignored.
+are held out; extra columns, whatever their names, are ignored; texts of any length are scored whole
+(only the fit passes over those longer than FIT_CHARS).
 """
 
 from __future__ import annotations

@@ -6,6 +6,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from cefframe.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
 from cefframe.llm.common import table
+from conftest_llm import CLASHING, docs_frame
 from test_near_dedup import brute as near_brute
 
 SF = "/root/testdata/sf0.001"
@@ -50,6 +51,19 @@ def test_stages_keep_the_columns_of_documents(spark):
         assert stage(spark, docs.limit(0), SF).collect() == [], name
 
 
+def test_stages_take_clashing_columns_nulls_ties_and_repeated_rows(spark):
+    text = "one two three four five six seven eight nine ten"
+    texts = [text, text, (1, text), (None, text), None, "", (None, None), " \n", "x", "x " * 50_000, (0, "other words here"), (1, text)]
+    docs = docs_frame(spark, texts, CLASHING)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and len(docs.columns) == 5 + len(CLASHING), name
+    encoded = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert encoded.count() == docs.count() > 0
+    kept = {(r.doc_id, r.text) for r in docs.collect()}
+    assert sum(t == text for _, t in kept) == 1 and kept <= {(t if isinstance(t, tuple) else (i, t)) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("stage", [exact_dedup.drop_copies, near_dedup.drop_near_copies])
 def test_dedup_stages_are_stable(spark, stage):
     once = stage(table(spark, SF, "documents"))
