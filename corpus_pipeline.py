@@ -4,6 +4,13 @@ Each stage is (name, function); a function takes (spark, docs, sf_dir) and retur
 which is written as Parquet in the shared folder and read again as the next stage's docs.  Every
 stage works on all rows that its predecessor kept.  All but the last return the columns of
 ``documents``; the last returns the encoding of each row of the mix.
+
+Defined cases, as the stages' operators have them: null and empty texts are no near copies, copies of
+each other for exact dedup (one stays), and take no words in the mix; null ids sort last in exact
+dedup and are no near copies; rows repeated as a whole leave one; rows that share an id are judged by
+their texts in exact dedup and are one document in near dedup; the null source is a source of its
+own; an empty table gives no rows; extra columns, whatever their names, pass through all stages but
+the last; texts of any length count whole.
 """
 
 from __future__ import annotations
