@@ -133,16 +133,18 @@ def promote_rest(df: DataFrame, schema: T.StructType, rest: str = "_rest") -> Da
     """
     have = {c.lower(): c for c in df.columns}
     quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
-    pairs = quoted(rest)
+    # The texts first, in a Project of their own: typed conversion reads its input several times.
+    texts = {f.name: f"__cef_rest{i}" for i, f in enumerate(schema.fields)}
+    step = df.select("*", *[F.try_element_at(quoted(rest), F.lit(n)).alias(t) for n, t in texts.items()])
 
     def value(f: T.StructField) -> Column:
-        kept = V.convert(F.get(F.map_values(F.map_filter(pairs, lambda k, _: k == F.lit(f.name))), 0), f.dataType)
+        kept = V.convert(F.col(texts[f.name]), f.dataType)
         if f.name.lower() in have:
             kept = F.coalesce(quoted(have[f.name.lower()]).cast(f.dataType), kept)
         return kept.cast(f.dataType).alias(f.name)
 
     names = [f.name for f in schema.fields]
-    left = F.map_filter(pairs, lambda k, _: ~k.isin(names))
+    left = F.map_filter(quoted(rest), lambda k, _: ~k.isin(names))
     lower = {n.lower() for n in names}
     others = [quoted(c) for c in df.columns if c.lower() not in lower and c != rest]
-    return df.select(*[value(f) for f in schema.fields], F.when(F.size(left) > 0, left).alias(rest), *others)
+    return step.select(*[value(f) for f in schema.fields], F.when(F.size(left) > 0, left).alias(rest), *others)
