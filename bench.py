@@ -13,6 +13,7 @@ text once.  Timed (median of BENCH_RUNS warm runs each):
   rollup          TPC-H Q1-style aggregate over parsed CEF
   encode          lineitem parquet -> CEF lines (noop sink)
   gzip_roundtrip  write gzip CEF, read it back, count
+  quarantine      parse every line once, store good and bad rows as Parquet
 
 Prints one JSON line.  Env: BENCH_SF_DIR (default /root/testdata/sf0.1),
 BENCH_CPUS (default 8), BENCH_RUNS (default 3).
@@ -30,7 +31,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from cefframe import read_cef, to_cef_lines, write_cef  # noqa: E402
+from cefframe import quarantine_cef, read_cef, to_cef_lines, write_cef  # noqa: E402
 from cefframe.sources.files import infer_files_schema  # noqa: E402
 from cefframe.options import CefOptions  # noqa: E402
 from cefframe.plans.catalogue import scratch_dir  # noqa: E402
@@ -124,9 +125,13 @@ def main() -> None:
         write_cef(read_cef(spark, text_dir, schema=schema), out, compression="gzip")
         read_cef(spark, out, schema=schema).count()
 
+    def q_quarantine():
+        counter["i"] += 1
+        quarantine_cef(spark, text_dir, out=f"{work}/split_{counter['i']}", schema=schema)
+
     plan = [("infer", q_infer), ("infer_pivot", q_infer_pivot), ("infer_first", q_infer_first), ("filter_rt", q_filter_rt), ("parse_full", q_parse_full), ("header_scan", q_header_scan),
             ("parse_pivot", q_parse_pivot), ("rollup", q_rollup), ("encode", q_encode),
-            ("gzip_roundtrip", q_gzip_roundtrip)]
+            ("gzip_roundtrip", q_gzip_roundtrip), ("quarantine", q_quarantine)]
     results = {}
     for name, fn in plan:
         fn()  # warm-up

@@ -82,6 +82,16 @@ def test_stream_deals_lines_out_once(spark, tmp_dir):
     assert sorted(r._cef_raw for r in bad.collect()) == sorted(BAD)
 
 
+def test_counts_of_a_stream_are_in_its_progress(spark, tmp_dir):
+    lines_df(spark, GOOD + BAD).repartition(4).write.text(f"{tmp_dir}/in")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).schema("value string").text(f"{tmp_dir}/in")
+    query = split_stream(stream, PLAIN, f"{tmp_dir}/out", f"{tmp_dir}/chk", counts="seen").trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = [p.observedMetrics["seen"].asDict() for p in query.recentProgress if "seen" in p.observedMetrics]
+    assert len(rows) > 1 and sum(r["lines"] for r in rows) == 48 and sum(r["malformed"] for r in rows) == 8
+    assert sum(r["Missing name in record"] for r in rows) == 1
+
+
 @pytest.mark.parametrize("pivot", [False, True])
 @pytest.mark.parametrize("mode", ["permissive", "dropmalformed"])
 def test_counts_come_with_the_parse(spark, mode, pivot):
