@@ -14,8 +14,9 @@ with the best F1 on all labelled rows outside the held-out fold that the fit did
 their number and length; languages with fewer than LEAST_TOXIC toxic rows among them use 0.5, to
 which the fit moves the best cut over all languages.  Those rows are scored in Spark and counted by
 language, label and bin of the score (STEP wide in log-odds), so a cut is exact to one bin and the
-driver holds at most a few thousand counts for each language.  Rows that the fit used are counted
-apart: the others stand for them too, each weighed by rows of its kind (label, short or long) over
+driver holds at most a few thousand counts for each language.  Every text is scored once: the rows'
+log-odds are stored, the cuts come from that table, and the decisions are expressions over it.
+Rows that the fit used are counted apart: the others stand for them too, each weighed by rows of its kind (label, short or long) over
 those of them that the fit did not use, so the shares of the kinds are those of the whole table.
 
 A word's filter responses do not depend on its neighbours, so each worker keeps those of words it
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, hold, map_arrow, new_run, quoted, stored, table
+from .common import hold, map_arrow, new_run, quoted, stored, table
 
 FIT_TOXIC, FIT_CLEAN, FIT_CHARS, LEAST_TOXIC = 2000, 3000, 20000, 20
 #: Width of a bin of scores, in log-odds.
@@ -75,6 +76,7 @@ class Model:
     bias: np.ndarray               # one for each filter
     output: np.ndarray
     offset: float
+    cut: float = 0.0               # taken off the log-odds of all languages
     thresholds: dict = field(default_factory=dict)
     default: float = 0.5
 
@@ -225,6 +227,10 @@ class Scorer:
         return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.odds(texts) - self.model.cut, -30, 30)))
+
+    def odds(self, texts: list[str | None]) -> np.ndarray:
+        """Log-odds of each text, before the common cut."""
         out = np.zeros((len(texts), POOLED), np.float32)
         group, words, sizes = [], [], []
 
@@ -242,7 +248,7 @@ class Scorer:
             if len(words) > 50_000:
                 flush()
         flush()
-        return 1 / (1 + np.exp(-np.clip(self.model.logits(out).astype(np.float64), -30, 30)))
+        return np.clip(self.model.logits(out).astype(np.float64), -30, 30)
 
 
 def best_threshold(scores: np.ndarray, toxic: np.ndarray, weight: np.ndarray | None = None, middle: float = 0.5,
@@ -270,8 +276,8 @@ def held_out(id_col):
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
-    """Train and calibrate on labelled rows outside the held-out fold."""
+def learn(docs: DataFrame, labels: DataFrame, id_col: str) -> tuple[Model, DataFrame, list]:
+    """A model trained on labelled rows outside the held-out fold, all known labels there, the ids that it used."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).filter(~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).alias("id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
              .withColumn("order", F.md5(F.concat(F.lit("fit:"), F.col("id").cast("string")).cast("binary")))
@@ -283,49 +289,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
     have = known.filter(~F.col("calibrate")).join(short.select("id").distinct(), "id", "left_semi")
     sample = (have.filter("toxic = 1").orderBy("order").limit(FIT_TOXIC)
               .unionByName(have.filter("toxic = 0").orderBy("order").limit(FIT_CLEAN)))
-    learn = (short.join(sample, "id").groupBy("id", "toxic", "order").agg(F.min("text").alias("text"))
-             .toPandas().sort_values("order"))
-    model = train(learn.text.tolist(), learn.toxic.to_numpy(), prior)
-    if model.output.any():
-        calibrate(model, docs, known.select("id", "toxic"), learn.id.tolist(), id_col)
-    return model
+    learned = (short.join(sample, "id").groupBy("id", "toxic", "order").agg(F.min("text").alias("text"))
+               .toPandas().sort_values("order"))
+    model = train(learned.text.tolist(), learned.toxic.to_numpy(), prior)
+    return model, known.select("id", "toxic"), learned.id.tolist()
+
 
+def calibrate(model: Model, scored: DataFrame, known: DataFrame, used: list) -> None:
+    """Set the common cut and the thresholds by all known rows but those with the ids ``used``.
 
-def calibrate(model: Model, docs: DataFrame, known: DataFrame, used: list, id_col: str) -> None:
-    """Set the offset and the thresholds by all known rows but those with the ids ``used``."""
-    spark = docs.sparkSession
-    rows = (docs.filter(F.col("text").isNotNull() & F.col(id_col).isNotNull()).filter(~held_out(F.col(id_col)))
-            .select(F.col(id_col).alias("doc_id"), "text", "lang", (F.length("text") > FIT_CHARS).cast("int").alias("long")))
-    # Scores meet the labels, not texts: no text is shuffled.
-    odds = F.log(F.col("score") / (1 - F.col("score")))
-    scored = score_rows(rows, model, "doc_id", ("lang", "long")).select(
-        F.col("doc_id").alias("id"), "lang", "long", F.floor(odds / STEP).cast("int").alias("bin"))
+    ``scored``: id, lang, long (null: no text) and odds of all rows.  Scores meet the labels, not
+    texts: no text is shuffled.
+    """
+    if not model.output.any():
+        return
+    spark = scored.sparkSession
+    binned = (scored.filter("long IS NOT NULL AND id IS NOT NULL").filter(~held_out(F.col("id")))
+              .select("id", "lang", "long", F.floor(F.col("odds") / STEP).cast("int").alias("bin")))
     fitted = spark.createDataFrame([(i,) for i in used], T.StructType([T.StructField("id", known.schema["id"].dataType)]))
-    bins = stored(scored.join(known, "id").join(F.broadcast(fitted.withColumn("fitted", F.lit(1))), "id", "left")
+    bins = stored(binned.join(known, "id").join(F.broadcast(fitted.withColumn("fitted", F.lit(1))), "id", "left")
                   .groupBy("lang", "toxic", "long", F.coalesce("fitted", F.lit(0)).alias("fitted"), "bin")
                   .agg(F.count(F.lit(1)).alias("n")), f"{new_run(spark, 'toxicity')}/bins")
     kinds = bins.groupBy("toxic", "long").agg(F.sum("n").alias("all"), F.sum(F.expr("n * (1 - fitted)")).alias("unused")).collect()
     weights = {(r["toxic"], r["long"]): r["all"] / r["unused"] for r in kinds if r["unused"]}
     free = bins.filter("fitted = 0")
     whole = free.groupBy("toxic", "long", "bin").agg(F.sum("n").alias("n")).toPandas()
-    cut = 0.0
     if LEAST_TOXIC <= whole.n[whole.toxic == 1].sum() < whole.n.sum():
         # Move all scores so that the best cut over all languages is 0.5.
-        cut = min(max(best_cut(whole, weights), -13.8), 13.8)
-        model.offset -= cut
+        model.cut = min(max(best_cut(whole, weights), -13.8), 13.8)
     enough = (free.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum(F.expr("n * toxic")).alias("t"), F.sum("n").alias("n"))
               .filter((F.col("t") >= LEAST_TOXIC) & (F.col("t") < F.col("n"))).select("lang"))
     for name, own in free.join(enough, "lang").select("lang", "toxic", "long", "bin", "n").toPandas().groupby("lang"):
-        model.thresholds[name] = float(1 / (1 + np.exp(cut - best_cut(own, weights))))
+        model.thresholds[name] = float(1 / (1 + np.exp(model.cut - best_cut(own, weights))))
 
 
 _SCORERS: dict[str, Scorer] = {}
 
 
-def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, score, predicted, threshold, rejected for each row, and the columns ``keep`` unchanged."""
-    shipped, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    rows = docs.select(F.col(id_col).alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang"), *keep)
+def with_odds(rows: DataFrame, model: Model, text: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of each row and ``odds``, the log-odds of its column ``text`` before the common cut."""
+    shipped, key = rows.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    sent = rows.select(*keep, *[text] * (text not in keep))
+    place = sent.columns.index(text)
 
     def run(batches):
         hold("toxicity", _SCORERS.clear)
@@ -336,30 +341,65 @@ def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", keep: tupl
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                scores = scorer.scores(part.column(1).to_pylist())
-                cut = np.array([scorer.model.threshold(x) for x in part.column(2).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(cut),
-                     pa.array(scores >= cut), *part.columns[3:]],
-                    ["_id", "score", "predicted", "threshold", "rejected", *keep])
+                odds = scorer.odds(part.column(place).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], pa.array(odds)], [*keep, "odds"])
+
+    types = dict(sent.dtypes)
+    return map_arrow(sent, run, "".join(f"`{c}` {types[c]}, " for c in keep) + "odds double")
+
+
+def decided(scored: DataFrame, model: Model, lang: str) -> DataFrame:
+    """``scored`` with score, predicted, threshold and rejected instead of its odds."""
+    odds = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("odds") - F.lit(float(model.cut))))
+    cut = F.lit(float(model.default))
+    if model.thresholds:
+        cells = [F.lit(x) for item in model.thresholds.items() for x in item]
+        cut = F.coalesce(F.try_element_at(F.create_map(*cells), F.col(lang)), cut)
+    return (scored.withColumn("score", 1 / (1 + F.exp(-odds))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+            .withColumn("threshold", cut).withColumn("rejected", F.col("score") >= F.col("threshold")).drop("odds"))
+
 
-    types = dict(rows.dtypes)
-    schema = (f"_id {types['_id']}, score double, predicted int, threshold double, rejected boolean"
-              + "".join(f", `{c}` {types[c]}" for c in keep))
-    return map_arrow(rows, run, schema).withColumnRenamed("_id", id_col)
+def plain_rows(docs: DataFrame, id_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), "text", "lang", (F.length("text") > FIT_CHARS).cast("int").alias("long"))
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> tuple[Model, DataFrame]:
+    """The calibrated model, and id, score, predicted, threshold, rejected for each row: every text is scored once."""
+    model, known, used = learn(docs, labels, id_col)
+    scored = stored(with_odds(plain_rows(docs, id_col), model, "text", ["id", "lang", "long"]),
+                    f"{new_run(docs.sparkSession, 'toxicity')}/odds")
+    calibrate(model, scored, known, used)
+    return model, decided(scored, model, "lang").drop("lang", "long").withColumnRenamed("id", id_col)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
+    """Train and calibrate on labelled rows outside the held-out fold."""
+    return fit_and_score(docs, labels, id_col)[0]
+
+
+def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
+    """id, score, predicted, threshold, rejected for each row, by a model fitted before."""
+    scored = with_odds(plain_rows(docs, id_col), model, "text", ["id", "lang"])
+    return decided(scored, model, "lang").drop("lang").withColumnRenamed("id", id_col)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows whose score stays below their language's threshold, with all their columns."""
-    model = fit(docs, labels, id_col)
-    names = dict(zip(docs.columns, fresh(docs, *[f"_c{i}" for i in range(len(docs.columns))])))
-    plain = docs.select("*", *[quoted(c).alias(n) for c, n in names.items()])
-    kept = score_rows(plain, model, id_col, tuple(names.values())).filter(~F.col("rejected"))
+    """The rows whose score stays below their language's threshold, with all their columns.
+
+    Rows are stored with their odds, since ids may be null or repeated: no row has to find its score.
+    """
+    model, known, used = learn(docs, labels, id_col)
+    # Columns by place, whatever their names.
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[quoted(c).alias(n) for c, n in names.items()], (F.length("text") > FIT_CHARS).cast("int").alias("long"))
+    scored = stored(with_odds(rows, model, names["text"], [*names.values(), "long"]),
+                    f"{new_run(docs.sparkSession, 'toxicity')}/rows")
+    calibrate(model, scored.select(F.col(names[id_col]).alias("id"), F.col(names["lang"]).alias("lang"), "long", "odds"), known, used)
+    kept = decided(scored, model, names["lang"]).filter(~F.col("rejected"))
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    return (score_rows(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+    _, scored = fit_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return (scored.withColumn("held_out", held_out(F.col("doc_id")))
             .select("doc_id", "held_out", "score", "predicted", "threshold", "rejected"))
