@@ -125,6 +125,49 @@ def pool(z: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.concatenate([np.maximum.reduceat(c, starts, axis=0) for _, _, c in slide(z, ends)], axis=1)
 
 
+def gradients(model: Model, rows: np.ndarray, texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray):
+    """Gradients of the weighed mean loss of some texts (arrays of word numbers; ``rows``: each word's table rows).
+
+    Returns the table rows met and their gradients, then those of filters, bias, output (with its
+    penalty) and offset.
+    """
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    words, index = np.unique(np.concatenate(texts), return_inverse=True)
+    vectors = model.embedding[rows[words]].sum(axis=1)
+    z = (vectors @ model.filters)[index]
+    pooled, best, places_of = [], [], []
+    for _, places, c in slide(z, ends):
+        where = np.array([a + c[a:b].argmax(axis=0) for a, b in zip(starts, ends)])
+        best.append(where)
+        places_of.append(places)
+        pooled.append(np.take_along_axis(c, where, axis=0))
+    before = np.concatenate(pooled, axis=1) + model.bias
+    hidden = np.maximum(before, 0)
+    score = 1 / (1 + np.exp(-np.clip(hidden @ model.output + model.offset, -30, 30)))
+    wrong = (score - y) * weight / len(texts)
+    g_output = hidden.T @ wrong + 1e-4 * model.output
+    g_hidden = (wrong[:, None] * model.output) * (before > 0)
+    g_filters = np.zeros_like(model.filters)
+    g_words = np.zeros_like(vectors)
+    for k, best_k in enumerate(best):
+        g = g_hidden[:, k * FILTERS:(k + 1) * FILTERS].astype(np.float32)
+        for p, place in enumerate(places_of[k]):
+            at_word = best_k + p
+            word = index[np.minimum(at_word, len(index) - 1)]
+            gi = g * (at_word < ends[:, None])
+            g_filters[:, place] += np.einsum("bfd,bf->df", vectors[word], gi)
+            np.add.at(g_words, word, gi[:, :, None] * model.filters[:, place].T[None])
+    touched = np.nonzero(g_words.any(axis=1))[0]
+    g_rows = np.repeat(g_words[touched], rows.shape[1], axis=0)
+    cells, back = np.unique(rows[words[touched]].ravel(), return_inverse=True)
+    g_cells = np.zeros((len(cells), DIMS), np.float32)
+    np.add.at(g_cells, back, g_rows)
+    g_cells[cells == 0] = 0
+    return cells, g_cells, g_filters, g_hidden.sum(axis=0), g_output, wrong.sum()
+
+
 def train(texts: list[str], toxic: np.ndarray, prior: float, seed: int = 7) -> Model:
     """Fit the network; ``prior`` is the share of toxic rows where it will be used."""
     rng = np.random.default_rng(seed)
@@ -152,53 +195,21 @@ def train(texts: list[str], toxic: np.ndarray, prior: float, seed: int = 7) -> M
     rows[met[rows] < LEAST_DOCS] = 0
     seen = [np.full_like(a, 1e-4) for a in (model.embedding, model.filters, model.bias, model.output)]
     seen_offset = 1e-4
-    places_of = [places for _, places in PLACES] + [[slice(SLOTS - FILTERS, SLOTS)] * WIDE]
     weight = np.where(y > 0, len(kept) / (2 * y[kept].sum()), len(kept) / (2 * (1 - y[kept]).sum()))
     for _ in range(EPOCHS):
         order = rng.permutation(kept)
         for at in range(0, len(order), BATCH):
             chosen = order[at:at + BATCH]
-            sizes = np.array([len(docs[i]) for i in chosen])
-            ends = np.cumsum(sizes)
-            starts = ends - sizes
-            words, index = np.unique(np.concatenate([docs[i] for i in chosen]), return_inverse=True)
-            vectors = model.embedding[rows[words]].sum(axis=1)
-            z = (vectors @ model.filters)[index]
-            pooled, best = [], []
-            for _, _, c in slide(z, ends):
-                where = np.array([a + c[a:b].argmax(axis=0) for a, b in zip(starts, ends)])
-                best.append(where)
-                pooled.append(np.take_along_axis(c, where, axis=0))
-            before = np.concatenate(pooled, axis=1) + model.bias
-            hidden = np.maximum(before, 0)
-            score = 1 / (1 + np.exp(-np.clip(hidden @ model.output + model.offset, -30, 30)))
-            wrong = (score - y[chosen]) * weight[chosen] / len(chosen)
-            g_output = hidden.T @ wrong + 1e-4 * model.output
-            g_hidden = (wrong[:, None] * model.output) * (before > 0)
-            g_filters = np.zeros_like(model.filters)
-            g_words = np.zeros_like(vectors)
-            for k, best_k in enumerate(best):
-                g = g_hidden[:, k * FILTERS:(k + 1) * FILTERS].astype(np.float32)
-                for p, place in enumerate(places_of[k]):
-                    at_word = best_k + p
-                    word = index[np.minimum(at_word, len(index) - 1)]
-                    gi = g * (at_word < ends[:, None])
-                    g_filters[:, place] += np.einsum("bfd,bf->df", vectors[word], gi)
-                    np.add.at(g_words, word, gi[:, :, None] * model.filters[:, place].T[None])
-            touched = np.nonzero(g_words.any(axis=1))[0]
-            g_rows = np.repeat(g_words[touched], rows.shape[1], axis=0)
-            cells, back = np.unique(rows[words[touched]].ravel(), return_inverse=True)
-            g_cells = np.zeros((len(cells), DIMS), np.float32)
-            np.add.at(g_cells, back, g_rows)
-            g_cells[cells == 0] = 0
+            cells, g_cells, g_filters, g_bias, g_output, g_offset = gradients(
+                model, rows, [docs[i] for i in chosen], y[chosen], weight[chosen])
             seen[0][cells] += g_cells ** 2
             model.embedding[cells] -= RATE * g_cells / np.sqrt(seen[0][cells])
-            for a, s, g in ((model.filters, seen[1], g_filters), (model.bias, seen[2], g_hidden.sum(axis=0)),
+            for a, s, g in ((model.filters, seen[1], g_filters), (model.bias, seen[2], g_bias),
                             (model.output, seen[3], g_output)):
                 s += g ** 2
                 a -= (RATE / 2) * g / np.sqrt(s)
-            seen_offset += wrong.sum() ** 2
-            model.offset -= RATE / 2 * wrong.sum() / np.sqrt(seen_offset)
+            seen_offset += g_offset ** 2
+            model.offset -= RATE / 2 * g_offset / np.sqrt(seen_offset)
     # Both kinds weighed alike so far; the odds where the model is used are the prior's.
     model.offset += float(np.log(share / (1 - share)))
     return model

@@ -4,8 +4,8 @@ import zlib
 import numpy as np
 import pytest
 
-from cefframe.llm.toxicity import (Scorer, best_threshold, drop_toxic, fit, pool, score_rows, slide, train, words_of, PLACES,
-                                   SLOTS, WIDE)
+from cefframe.llm.toxicity import (Model, Scorer, best_threshold, drop_toxic, fit, fit_and_score, gradients, pool, score_rows,
+                                   slide, train, words_of, DIMS, FILTERS, PLACES, POOLED, SLOTS, WIDE)
 from conftest_llm import CLASHING, COLUMNS
 
 BAD = ["vile", "rotten", "filth"]
@@ -55,6 +55,47 @@ def test_filters_match_plain_loops():
     assert np.allclose(pool(z, ends - sizes, ends)[1], np.concatenate([c[1:4].max(axis=0) for _, _, c in groups]))
 
 
+def test_gradients_match_differences():
+    rng = np.random.default_rng(3)
+    rows = np.concatenate([[[1, 2, 0, 0, 0]], rng.integers(1, 12, (9, 5))])
+    texts = [rng.integers(0, 10, n) for n in (1, 4, 60, 9)]
+    y, weight = np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 0.5, 1])
+    embedding = rng.standard_normal((12, DIMS)) * 0.3
+    embedding[0] = 0
+    net = Model(embedding, rng.standard_normal((DIMS, SLOTS)) * 0.3, rng.standard_normal(POOLED) * 0.2,
+                rng.standard_normal(POOLED) * 0.3, 0.1)
+
+    def loss():
+        logits = []
+        for t in texts:  # plain loops, no code of the library
+            z = net.embedding[rows[t]].sum(axis=1) @ net.filters
+            best = []
+            for width, places in [*PLACES, (WIDE, [slice(SLOTS - FILTERS, SLOTS)] * WIDE)]:
+                best.append(np.max([sum(z[i + p, places[p]] for p in range(width) if i + p < len(t)) for i in range(len(t))], axis=0))
+            logits.append(np.maximum(np.concatenate(best) + net.bias, 0) @ net.output + net.offset)
+        p = 1 / (1 + np.exp(-np.array(logits)))
+        return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean() + 0.5e-4 * (net.output ** 2).sum()
+
+    cells, g_cells, g_filters, g_bias, g_output, g_offset = gradients(net, rows, texts, y, weight)
+    g_embedding = np.zeros_like(net.embedding)
+    g_embedding[cells] = g_cells
+    for array, g, places in ((net.embedding, g_embedding, [(r, d) for r in range(1, 12) for d in (0, 7)]),
+                             (net.filters, g_filters, [(d, s) for d in (1, 9) for s in range(0, SLOTS, 5)]),
+                             (net.bias, g_bias, range(POOLED)), (net.output, g_output, range(POOLED))):
+        for at in places:
+            middle, step = array[at], 1e-5
+            array[at] = middle + step
+            high = loss()
+            array[at] = middle - step
+            low = loss()
+            array[at] = middle
+            assert abs((high - low) / (2 * step) - g[at]) < 1e-4
+    net.offset += 1e-5
+    high = loss()
+    net.offset -= 2e-5
+    assert abs((high - loss()) / 2e-5 - g_offset) < 1e-4
+
+
 def test_scores_do_not_depend_on_batches_or_the_cache(model, monkeypatch):
     texts = [t for t, _ in corpus(50, 2)] + ["", None, "1234 !!", "x " * 60_000]
     whole = Scorer(model).scores(texts)
@@ -95,6 +136,10 @@ def test_fit_score_and_drop(spark):
     assert len(got) == 504 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     held = [(r.score >= 0.5, rows[r.doc_id][1]) for r in got if r.doc_id is not None and r.doc_id < 500 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert np.mean([a == b for a, b in held]) > 0.9
+    fitted, at_once = fit_and_score(every, labels)
+    told = {(r.doc_id, r.score, r.threshold) for r in score_rows(every, fitted).collect()}
+    assert at_once.columns == ["doc_id", "score", "predicted", "threshold", "rejected"]
+    assert {(r.doc_id, r.score, r.threshold) for r in at_once.collect()} == told
     left = drop_toxic(every, labels)
     assert left.columns == every.columns and left.dtypes == every.dtypes
     rejected = sum(r.rejected for r in got)
