@@ -13,7 +13,10 @@ any (words - needed + 1) places of the template at least one is matched.  The pl
 are rarest in the text are taken; each occurrence of such a word proposes the regions in which it
 could be matched, which begin at most two slacks from where the template would begin if nothing
 were inserted or missing.  No other region can reach the threshold, so nothing is missed, and most
-texts, which lack too many of a template's words, are not aligned at all.
+texts, which lack too many of a template's words or one of its key phrases, are not aligned at all.
+The words that a region shares with the template, counted while a window slides over the text, bound
+what its alignment can match: regions are aligned in falling order of that bound, until none that is
+left can beat the best found.  A text full of one license thus costs one alignment, not hundreds.
 
 Defined cases: null or empty text holds no license (license null, coverage 0); ties in coverage go
 to the longer template, then to the first by name, then to the first region; "licence" counts as "license"; rows may repeat and stay; an empty table
@@ -34,8 +37,8 @@ from .common import map_arrow, table
 
 THRESHOLD, SLACK = 0.8, 0.25
 
-#: Openings and usual notices of the licenses that are looked for (names, years and
-#: owners left out), not whole licenses.  A text under another license has none of these.
+#: Openings, usual notices and headings of the licenses that are looked for (names, years
+#: and owners left out), not whole licenses.  A text under another license has none of these.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0": (
@@ -83,6 +86,20 @@ TEMPLATES = {
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
         "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
         "purpose, commercial or non-commercial, and by any means."),
+    "Apache-2.0 terms": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and conditions for use, "
+        "reproduction, and distribution as defined by Sections 1 through 9 of this document."),
+    "MPL-2.0 terms": (
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity that "
+        "creates, contributes to the creation of, or owns Covered Software."),
+    "EPL-2.0": (
+        "Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE "
+        "(\"AGREEMENT\"). ANY USE, REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES RECIPIENT'S ACCEPTANCE OF THIS "
+        "AGREEMENT."),
+    "CC0-1.0": (
+        "CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES. DISTRIBUTION "
+        "OF THIS DOCUMENT DOES NOT CREATE AN ATTORNEY-CLIENT RELATIONSHIP."),
 }
 
 #: Phrases of each template that must be matched word after word.
@@ -94,8 +111,36 @@ KEYS = {
     "GPL-3.0": ["gnu general public license", "version 3 of"],
     "CC-BY-NC-4.0 notice": ["cc by nc 4 0"],
     "MPL-2.0": ["mozilla public license v 2 0"], "Unlicense": ["free and unencumbered software"],
+    "Apache-2.0 terms": ["apache license version 2 0"], "MPL-2.0 terms": ["mozilla public license version 2 0"],
+    "EPL-2.0": ["eclipse public license v 2 0"], "CC0-1.0": ["cc0 1 0 universal"],
 }
 
+#: Headings, fields and references that are found word for word.
+HEADINGS = {
+    "MIT": ["MIT License", "License: MIT"], "ISC": ["ISC License", "License: ISC"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License v2.0", "Apache License 2.0", "License: Apache-2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "License: BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "License: BSD-3-Clause"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "License: MPL-2.0"],
+    "EPL-2.0": ["Eclipse Public License, version 2.0", "Eclipse Public License 2.0", "License: EPL-2.0"],
+    "GPL-2.0": ["GNU General Public License v2.0", "License: GPL-2.0"],
+    "GPL-3.0": ["GNU General Public License v3.0", "License: GPL-3.0"],
+    "LGPL-2.1": ["GNU Lesser General Public License v2.1"], "LGPL-3.0": ["GNU Lesser General Public License v3.0"],
+    "AGPL-3.0": ["GNU Affero General Public License v3.0", "License: AGPL-3.0"],
+    "CC0-1.0": ["CC0 1.0 Universal", "License: CC0-1.0"], "CC-BY-4.0": ["Creative Commons Attribution 4.0 International"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International"],
+    "CC-BY-ND-4.0": ["Creative Commons Attribution-NoDerivatives 4.0 International"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International"],
+    "CC-BY-NC-SA-4.0": ["Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"],
+    "CC-BY-NC-ND-4.0": ["Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"],
+}
+#: The GNU licenses' own first lines: family, version, date.
+_FIRST = {"GPL-2.0": ("General", "2", "June 1991"), "GPL-3.0": ("General", "3", "29 June 2007"),
+          "LGPL-2.1": ("Lesser General", "2.1", "February 1999"), "LGPL-3.0": ("Lesser General", "3", "29 June 2007"),
+          "AGPL-3.0": ("Affero General", "3", "19 November 2007")}
+_VERBATIM = ("Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license "
+             "document, but changing it is not allowed.")
+
 _GNU = (
     "This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} Public License as "
     "published by the Free Software Foundation, either version {3} of the License, or (at your option) any later version. "
@@ -127,6 +172,15 @@ def words_of(text: str | None) -> list[str]:
     return WORDS.findall((text or "").lower().replace("licence", "license"))
 
 
+for _name, (_family, _version, _date) in _FIRST.items():
+    TEMPLATES[f"{_name} terms"] = f"GNU {_family} Public License Version {_version}, {_date} {_VERBATIM}"
+    KEYS[f"{_name} terms"] = [" ".join(words_of(f"GNU {_family} Public License Version {_version} {_date}"))]
+for _name, _forms in HEADINGS.items():
+    for _k, _form in enumerate(_forms, 1):
+        TEMPLATES[f"{_name} heading {_k}"] = _form
+        KEYS[f"{_name} heading {_k}"] = [" ".join(words_of(_form))]
+
+
 def increasing(values: list[int]) -> list[int]:
     """Places of a longest increasing subsequence, by patience sorting with links back."""
     tops, piles, back = [], [], []
@@ -187,19 +241,40 @@ class Scanner:
         at = {j: i for i, j in pairs} if self.keys[k] else {}
         return all(j in at and at[j] == at.get(first, -1) + j - first for first, last in self.keys[k] for j in range(first, last + 1))
 
-    def regions(self, words: list[str], places: dict[str, list[int]], k: int):
-        """Start and end of each region of the text that can reach the threshold for a template."""
+    def regions(self, words: list[str], places: dict[str, list[int]], k: int) -> list[tuple[int, int, int, int]]:
+        """(bound, place, start, end) of the regions that can reach the threshold, by falling bound, then place."""
         template, needed = self.templates[k][1], self.needed[k]
         if not template or sum(w in places for w in template) < needed:
-            return
+            return []
+        for first, last in self.keys[k]:
+            phrase = template[first:last + 1]
+            if not any(words[i:i + len(phrase)] == phrase for i in places.get(phrase[0], ())):
+                return []
         rare = sorted(range(len(template)), key=lambda j: (len(places.get(template[j], ())), j))[:len(template) - needed + 1]
         slack = int(len(template) * SLACK) + 1
-        starts = {s for j in rare for at in places.get(template[j], ()) for s in range(at - j - 2 * slack, at - j + 2 * slack + 1)}
-        for s in sorted(starts):
-            a, b = max(0, s - slack), min(len(words), s + len(template) + slack)
-            inside = set(words[a:b]) if a < b else ()
-            if sum(w in inside for w in template) >= needed:
-                yield a, b
+        want, have, bound, lo, hi, found = Counter(template), Counter(), 0, 0, 0, []
+        done = -2 * len(template) - 2 * slack  # no region starts here or before
+        for middle in sorted({at - j for j in rare for at in places.get(template[j], ())}):
+            for s in range(max(done + 1, middle - 2 * slack), middle + 2 * slack + 1):
+                done = s
+                a, b = max(0, s - slack), min(len(words), s + len(template) + slack)
+                if a >= b or (found and found[-1][2:] == (a, b)):
+                    continue
+                if a >= hi:
+                    have.clear()
+                    bound, lo, hi = 0, a, a
+                for w in words[hi:b]:
+                    if w in want:
+                        have[w] += 1
+                        bound += have[w] <= want[w]
+                for w in words[lo:a]:
+                    if w in want:
+                        bound -= have[w] <= want[w]
+                        have[w] -= 1
+                lo, hi = a, b
+                if bound >= needed:
+                    found.append((bound, s, a, b))
+        return sorted(found, key=lambda r: -r[0])
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, last word) of each license found, best region of each."""
@@ -211,11 +286,14 @@ class Scanner:
                     places[w].append(i)
         found = []
         for k, (name, template) in enumerate(self.templates):
-            best = None
-            for a, b in self.regions(words, places, k):
+            best, where = None, None
+            for bound, s, a, b in self.regions(words, places, k):
+                # What is left matches fewer words, or as many in a later region.
+                if best and (bound, -s) < (best[0], -where):
+                    break
                 pairs = align(words[a:b], template)
-                if len(pairs) >= self.needed[k] and (best is None or len(pairs) > best[0]) and self.told(pairs, k):
-                    best = len(pairs), a + pairs[0][0], a + pairs[-1][0]
+                if len(pairs) >= self.needed[k] and (best is None or (len(pairs), -s) > (best[0], -where)) and self.told(pairs, k):
+                    best, where = (len(pairs), a + pairs[0][0], a + pairs[-1][0]), s
             if best:
                 found.append((name, best[0] / len(template), best[1], best[2]))
         return found

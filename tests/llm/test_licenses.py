@@ -93,3 +93,29 @@ def test_rival_licenses_are_told_apart(spark):
              "Released under the MIT Licence": "MIT notice"}
     got = {r.doc_id: r.license for r in license_scan(docs_frame(spark, list(texts))).collect()}
     assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
+def test_license_texts_and_headings(spark):
+    gpl3 = ("GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nCopyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n"
+            "Everyone is permitted to copy and distribute verbatim copies\nof this license document, but changing it is not allowed.")
+    texts = {"MIT License\n\nCopyright (c) 2020 X": "MIT heading 1", "license: MIT": "MIT heading 2",
+             "Apache License v2.0": "Apache-2.0 heading 2", "under the Apache License, Version 2.0 only": "Apache-2.0 heading 1",
+             "Apache License": None, "license: MITRE": None, "MIT is a school": None, "BSD 3-Clause License": "BSD-3-Clause heading 1",
+             f"x\n{TEMPLATES['Apache-2.0 terms']}\ny": "Apache-2.0 terms", gpl3: "GPL-3.0 terms",
+             gpl3.replace("Version 3, 29", "Version 2, 29"): None, gpl3.replace("GNU", "GNU AFFERO").replace("29 June", "19 November"): "AGPL-3.0 terms",
+             TEMPLATES["EPL-2.0"]: "EPL-2.0", "Eclipse Public License - v 1.0": None, TEMPLATES["CC0-1.0"]: "CC0-1.0",
+             "Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0 heading 1",
+             "Creative Commons Attribution 3.0 Unported": None, "Released under the MIT License": "MIT notice"}
+    got = {r.doc_id: r.license for r in license_scan(docs_frame(spark, list(texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
+def test_a_text_full_of_licenses_is_aligned_once(monkeypatch):
+    from cefframe.llm import licenses as L
+    calls = []
+    monkeypatch.setattr(L, "align", lambda a, b: calls.append(1) or align(a, b))
+    scanner = Scanner({"MIT": TEMPLATES["MIT"]}, keys={"MIT": L.KEYS["MIT"]})
+    n = len(words_of(TEMPLATES["MIT"]))
+    assert scanner.scan("\n".join([TEMPLATES["MIT"]] * 60)) == [("MIT", 1.0, 0, n - 1)] and len(calls) == 1
+    calls.clear()
+    assert scanner.scan(TEMPLATES["MIT"].replace("subject to the", "under") * 5) == [] and not calls  # lacks its key phrase
