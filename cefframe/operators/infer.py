@@ -1,8 +1,10 @@
 """Schema inference: the seven headers, then every extension key (or pivot
 label) in first-seen order, typed by the key dictionary.
 
-Runs as one Spark aggregate: pairs are exploded on the executors and each name keeps its smallest
-position, ``min(struct(order, place in line, key))``; there is no sort.  Only the distinct names come
+Pairs are exploded on the executors and aggregated twice.  First each name, key and place in the line
+keeps its smallest order: a number, which Spark aggregates in a hash table, so a task's memory follows
+the names and not its lines (a minimum of structs or texts would sort all pairs of a task).  Then each
+name keeps its smallest position, ``min(struct(order, place, key))``.  Only the distinct names come
 back to the driver, one row per column of the schema that is being built; more than ``MOST_NAMES``
 of them are refused, since no table can have that many columns.  By default every line counts;
 ``maxRecords`` limits inference to the first lines.
@@ -48,17 +50,31 @@ def _names(lines: DataFrame, column: str, order: Column, opts: CefOptions) -> Da
     return keys.select("o", PV.label_column_name(F.col("src")).alias("name"), "src", "p")
 
 
+def first_places(names: DataFrame, block: Iterable[Column], order: Column) -> DataFrame:
+    """Pairs of :func:`_names` by name, key (``src``), place (``p``) and the columns ``block``: the smallest
+    ``order`` as ``i``, and their number ``n``.  A null order is the smallest."""
+    return names.groupBy("name", "src", "p", *block, order.isNull()).agg(
+        F.min(order).alias("i"), F.count(F.lit(1)).alias("n"))
+
+
 def first_seen_names(lines: DataFrame, opts: CefOptions, column: str = "value",
-                     order: Column | None = None) -> list[tuple[Any, str, str]]:
+                     order: Column | None = None, block: Iterable[str] = (), few: bool = False) -> list[tuple[Any, str, str]]:
     """Distinct names with (first position, name, source key), aggregated on executors.
 
-    ``order`` is a sortable per-line column (earlier lines sort first).  Without it names are in
+    ``order`` is a sortable per-line column (earlier lines sort first); pairs are only aggregated
+    without sorting them if it is a number, a date or a timestamp.  ``block``: columns that sort
+    before it and that many lines share (a file, its split).  ``few``: the caller bounds the number of
+    lines, so their pairs may be sorted, which saves a shuffle.  Without an order names are in
     alphabetical order, and of several source keys of one name the first in order counts.
     """
-    position = order if order is not None else F.lit(0)
+    ahead = list(block)
+    position = F.struct(*ahead, (order if order is not None else F.lit(0)).alias("i"))
     names = _names(lines, column, position, opts)
-    place = F.col("p") if order is not None else F.lit(0)
-    agg = names.groupBy("name").agg(F.min(F.struct(F.col("o"), place.alias("p"), F.col("src"))).alias("first"))
+    if order is None:
+        names = names.withColumn("p", F.lit(0))
+    places = (names.select("name", "src", "p", "o.*") if few
+              else first_places(names, [F.col("o")[c].alias(c) for c in ahead], F.col("o.i")))
+    agg = places.groupBy("name").agg(F.min(F.struct(F.struct(*ahead, "i").alias("o"), "p", "src")).alias("first"))
     rows = agg.limit(MOST_NAMES + 1).collect()  # one row per distinct name
     if len(rows) > MOST_NAMES:
         raise ValueError(f"More than {MOST_NAMES} distinct extension keys: the keys look like free text. "

@@ -59,7 +59,7 @@ def infer_files_schema(spark: SparkSession, paths: list[str], opts: CefOptions,
                        spark_opts: Mapping[str, str] | None = None) -> T.StructType:
     """Names in the order of (file path, offset, place in line).
 
-    All lines of all files count, in one aggregate.  With ``maxRecords`` = N only the first N lines
+    All lines of all files count, in one scan.  With ``maxRecords`` = N only the first N lines
     do, and the scan stops there: files are taken in path order, 1, 2, 4, ... at a time (fewer where
     they are large), and a file on its own gives its first lines from its first splits.  So the
     bytes read follow N, not the files' size, and the jobs follow the logarithm of their number.
@@ -71,9 +71,9 @@ def infer_files_schema(spark: SparkSession, paths: list[str], opts: CefOptions,
     inputs = [c for c in listing.columns if c != "value"]
     n = opts.effective_max_records
     if n is None:
-        order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                         F.monotonically_increasing_id().alias("i"))
-        found = first_seen_names(listing.select("value", order.alias("o")), opts, "value", F.col("o"))
+        lines = listing.select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                               F.monotonically_increasing_id().alias("j"))
+        found = first_seen_names(lines, opts, "value", F.col("j"), ("f", "b"))
         if not found and not listing.inputFiles():
             raise ValueError(NO_FILES_MESSAGE)
     else:
@@ -134,14 +134,15 @@ def _names_of_first_lines(spark: SparkSession, listing: DataFrame, files: list[t
             lines += taken
             n -= len(taken)
         else:
-            frame = part.orderBy("f", "b", "j").limit(n).select("value", F.struct("f", "b", "j").alias("i"))
-            found += [((rank, place), name, src) for place, name, src in first_seen_names(frame, opts, "value", F.col("i"))]
+            frame = part.orderBy("f", "b", "j").limit(n)
+            found += [((rank, place), name, src) for place, name, src in first_seen_names(frame, opts, "value", F.col("j"), ("f", "b"))]
             n -= frame.count()
         if n <= 0:
             break
     if lines:
         frame = spark.createDataFrame([(v, i) for i, v in enumerate(lines)], "value string, i long")
-        found += [((len(files), place), name, src) for place, name, src in first_seen_names(frame, opts, "value", F.col("i"))]
+        found += [((len(files), place), name, src)
+                  for place, name, src in first_seen_names(frame, opts, "value", F.col("i"), few=True)]
     return found
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import values as V
-from ..operators.infer import MOST_NAMES, _names, build_schema, log_inferred
+from ..operators.infer import MOST_NAMES, _names, build_schema, first_places, log_inferred
 from ..options import CefOptions, resolve
 from .files import NO_FILES_MESSAGE, _split_options, _text_reader
 
@@ -92,8 +92,10 @@ def update_key_summary(spark: SparkSession, store: str, *paths: str, options: Ma
         # By their metadata, so that only these files are scanned.
         lines = listing.filter(path.isin(fresh)).select("value", F.struct(
             path.alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("o"))
-        (_names(lines, "value", F.col("o"), opts).filter("name IS NOT NULL").groupBy(F.col("o.f").alias("file"), "name")
-         .agg(F.min(F.struct("o.b", "o.i", "p", "src")).alias("first"), F.count(F.lit(1)).alias("n"))
+        names = _names(lines, "value", F.col("o"), opts).filter("name IS NOT NULL")
+        # No sort of all pairs: see first_places.
+        (first_places(names, [F.col("o.f").alias("file"), F.col("o.b").alias("b")], F.col("o.i")).groupBy("file", "name")
+         .agg(F.min(F.struct("b", "i", "p", "src")).alias("first"), F.sum("n").alias("n"))
          .select(F.lit(batch).cast("long").alias("batch"), "file", "name", "first", "n")
          .write.mode("append").parquet(f"{store}/keys"))
     if rows:

@@ -146,3 +146,32 @@ def test_unescape_is_the_inverse_of_the_writer(spark, text):
     sch = T.StructType(header_schema() + [T.StructField("msg", T.StringType()), T.StructField("last", T.StringType())])
     r = parse_cef(to_cef_lines(df), sch, unescape=True).collect()[0]
     assert (r.msg, r.last, r.Name, r.DeviceProduct) == (text, text, text.replace("\n", " "), "p\\q")
+
+
+def scans_of(monkeypatch, spark, action):
+    """What ``action`` returns, and the plans of the rows it collects, each up to its first shuffle."""
+    from cefframe.plans.inspect import physical_plan
+    kind, plans = type(spark.range(1)), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: (plans.append(physical_plan(df)), collect(df))[1])
+    out = action()
+    monkeypatch.undo()
+    return out, [p.split("== Initial Plan ==")[-1].rpartition("Exchange")[2] for p in plans if "Generate" in p]
+
+
+@pytest.mark.parametrize("pivot", [False, True])
+def test_inference_does_not_sort_the_pairs(spark, monkeypatch, pivot):
+    df = lines_df(spark, ["CEF:0|V|P|1|s|n|1|rt=1 cs1=a cs1Label=Zone", "CEF:0|V|P|1|s|n|1|src=b"])
+    sch, (scan,) = scans_of(monkeypatch, spark, lambda: infer(df, pivotFields=pivot))
+    assert sch.fieldNames()[7:] == (["rt", "Zone", "src"] if pivot else ["rt", "cs1", "cs1Label", "src"])
+    assert "HashAggregate" in scan and "Sort" not in scan
+
+
+def test_smallest_place_and_key_of_lines_with_one_order(spark):
+    rows = [(2, "rt=1 act=2"), (1, "zone=1 door=2 zone=3"), (1, "badge=1 zone=2 door=3"), (1, "door=5")]
+    df = spark.createDataFrame([(o, "CEF:0|V|P|1|s|n|1|" + x) for o, x in rows], "o long, value string").repartition(4)
+    # Of equal orders the smallest place counts, of equal places the name.
+    assert infer_cef_schema(df, order=F.col("o")).fieldNames()[7:] == ["badge", "door", "zone", "rt", "act"]
+    assert infer_cef_schema(df, order=F.col("o").cast("string")).fieldNames()[7:] == ["badge", "door", "zone", "rt", "act"]
+    empty = df.withColumn("o", F.nullif("o", F.lit(1)))
+    assert infer_cef_schema(empty.filter("o IS NULL"), order=F.col("o")).fieldNames()[7:] == ["badge", "door", "zone"]

@@ -205,3 +205,14 @@ def test_files_of_partitioned_output_follow_the_bytes(spark, tmp_dir):
         assert len(names) <= 1 + sum(map(os.path.getsize, names)) // 200_000, names
     assert len(files["day=hot"]) > 1  # a hot value is written by several tasks
     assert read_cef(spark, f"{tmp_dir}/out").groupBy("day").count().filter("day = 'hot'").first()["count"] == 10_000
+
+
+def test_inference_over_files_does_not_sort_the_pairs(spark, tmp_dir, monkeypatch):
+    from test_infer_encode import scans_of
+    first, second = (spark.createDataFrame([(f"CEF:0|V|P|1|s|n|1|{x}",) for x in xs], "value string").coalesce(1)
+                     for xs in (["zone=1 act=2", "act=3 door=4"], ["door=1 late=2"]))
+    second.write.option("compression", "bzip2").text(tmp_dir + "/b")
+    first.write.text(tmp_dir + "/a")
+    df, (scan,) = scans_of(monkeypatch, spark, lambda: read_cef(spark, tmp_dir + "/b", tmp_dir + "/a"))
+    assert df.columns[7:] == ["zone", "act", "door", "late"]  # in path order
+    assert "HashAggregate" in scan and "Sort" not in scan
