@@ -37,8 +37,20 @@ _TRIMMED = f"btrim(substr({{m}}, instr({{m}}, '=') + 1), {_chars(''.join(chr(c)
 
 _HEADER = "named_struct(" + ", ".join(f"'{h}', get(p, {i})" for i, h in enumerate(HEADER_FIELDS)) + ")"
 
-_EXTENSIONS = f"""CASE WHEN size(array_distinct(k)) = size(k) THEN map_from_arrays(k, v)
-  ELSE map_from_entries(filter(arrays_zip(k, v), (e, i) -> array_position(reverse(k), e.k) = size(k) - i)) END"""
+
+def _let(name: str, value: str, body: str) -> str:
+    """``value`` is computed once as ``name`` in ``body``, also where Spark copies a call into a filter: a
+    helper's arguments are columns below the call there, and each reference to one is another copy."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+_MATCHES = (f"regexp_extract_all(replace(get({_PIECES.replace('line', 'l')}, 7), r'\\\\', r'\\'), "
+            f"{_text(TK.PAIR_PATTERN)}, 0)")
+_KEYS_VALUES = ("named_struct('k', transform(m, x -> substring_index(x, '=', 1)), "
+                f"'v', transform(m, x -> nullif({_TRIMMED.format(m='x')}, '-')))")
+_EXTENSIONS = """CASE WHEN size(array_distinct(e.k)) = size(e.k) THEN map_from_arrays(e.k, e.v)
+  ELSE map_from_entries(filter(zip_with(e.k, e.v, (k, v) -> named_struct('k', k, 'v', v)),
+    (x, i) -> array_position(reverse(e.k), x.k) = size(e.k) - i)) END"""
 
 _ISO = f"""CASE WHEN get(p, 1) <> '' THEN try_to_timestamp(concat(local, upper(get(p, 1))), concat(layout, 'XXXXX'))
   WHEN get(p, 2) <> '' THEN try_to_timestamp(concat(local, ' ', get(p, 2)), concat(layout, ' VV'))
@@ -65,13 +77,8 @@ FUNCTIONS = (
     ("cef_header_of", "p ARRAY<STRING>", "STRUCT<" + ", ".join(f"{h}: STRING" for h in HEADER_FIELDS) + ">", _HEADER),
     ("cef_header", "line STRING", "STRUCT<" + ", ".join(f"{h}: STRING" for h in HEADER_FIELDS) + ">",
      "cef_header_of(cef_pieces(line))"),
-    ("cef_pairs", "line STRING", "ARRAY<STRING>",
-     f"regexp_extract_all(replace(get(cef_pieces(line), 7), r'\\\\', r'\\'), {_text(TK.PAIR_PATTERN)}, 0)"),
-    ("cef_map", "k ARRAY<STRING>, v ARRAY<STRING>", "MAP<STRING, STRING>", _EXTENSIONS),
-    ("cef_map_of", "m ARRAY<STRING>", "MAP<STRING, STRING>",
-     "cef_map(transform(m, x -> substring_index(x, '=', 1)), "
-     f"transform(m, x -> nullif({_TRIMMED.format(m='x')}, '-')))"),
-    ("cef_extensions", "line STRING", "MAP<STRING, STRING>", "cef_map_of(cef_pairs(line))"),
+    ("cef_extensions", "line STRING", "MAP<STRING, STRING>",
+     _let("l", "line", _let("m", _MATCHES, _let("e", _KEYS_VALUES, _EXTENSIONS)))),
     ("cef_iso_time", "p ARRAY<STRING>, local STRING, layout STRING", "TIMESTAMP", _ISO),
     ("cef_iso_parts", "p ARRAY<STRING>", "TIMESTAMP",
      "cef_iso_time(p, concat(substr(get(p, 0), 1, 10), 'T', substr(get(p, 0), 12)),"

@@ -53,3 +53,11 @@ def test_functions_are_inlined(registered):
     plan = optimized_plan(registered.sql("SELECT cef_extensions(value)['a'], cef_header(value).Name FROM cef_raw_lines"))
     assert count_calls(plan, "regexp_extract_all") == 1 and "cef_pairs(" not in plan.replace("AS cef_", "")
     assert "regexp_extract_all" not in optimized_plan(registered.sql("SELECT cef_header(value).Name AS n FROM cef_raw_lines"))
+
+
+def test_a_filter_on_a_call_computes_its_pairs_once(registered):
+    lines_df(registered, LINES).createOrReplaceTempView("cef_raw_lines")
+    df = registered.sql("""SELECT cef_extensions(value)['a'] AS a FROM (SELECT concat(value, '') AS value FROM cef_raw_lines)
+                           WHERE CAST(cef_extensions(value)['b'] AS BIGINT) > 1""")
+    assert count_calls(optimized_plan(df), "regexp_extract_all") == 2  # one for the filter, one for the column
+    assert [r.a for r in df.collect()] == ["1"]
