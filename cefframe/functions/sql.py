@@ -39,8 +39,10 @@ _HEADER = "named_struct(" + ", ".join(f"'{h}', get(p, {i})" for i, h in enumerat
 
 
 def _let(name: str, value: str, body: str) -> str:
-    """``value`` is computed once as ``name`` in ``body``, also where Spark copies a call into a filter: a
-    helper's arguments are columns below the call there, and each reference to one is another copy."""
+    """``value`` is computed once as ``name`` in ``body``, and only where the body is needed.
+
+    Arguments of a helper function are columns below the call: they are computed for every row, whatever
+    branch of a CASE the call is in, and a filter gets another copy for each reference to one."""
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
@@ -52,9 +54,13 @@ _EXTENSIONS = """CASE WHEN size(array_distinct(e.k)) = size(e.k) THEN map_from_a
   ELSE map_from_entries(filter(zip_with(e.k, e.v, (k, v) -> named_struct('k', k, 'v', v)),
     (x, i) -> array_position(reverse(e.k), x.k) = size(e.k) - i)) END"""
 
-_ISO = f"""CASE WHEN get(p, 1) <> '' THEN try_to_timestamp(concat(local, upper(get(p, 1))), concat(layout, 'XXXXX'))
-  WHEN get(p, 2) <> '' THEN try_to_timestamp(concat(local, ' ', get(p, 2)), concat(layout, ' VV'))
-  ELSE try_to_timestamp(concat(local, 'Z'), concat(layout, 'XXXXX')) END"""
+_ISO_LAYOUT = "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS]"
+_ISO = _let(
+    "p", f"split(regexp_replace(t, {_text(V.ISO_TS_PATTERN)}, concat('$1', char(1), '$2', char(1), '$3')), char(1), 3)",
+    _let("d", "concat(substr(get(p, 0), 1, 10), 'T', substr(get(p, 0), 12))", f"""
+  CASE WHEN get(p, 1) <> '' THEN try_to_timestamp(concat(d, upper(get(p, 1))), {_text(_ISO_LAYOUT + 'XXXXX')})
+  WHEN get(p, 2) <> '' THEN try_to_timestamp(concat(d, ' ', get(p, 2)), {_text(_ISO_LAYOUT + ' VV')})
+  ELSE try_to_timestamp(concat(d, 'Z'), {_text(_ISO_LAYOUT + 'XXXXX')}) END"""))
 
 _MONTHS = "array(" + ", ".join(f"'{m}'" for m in V.MONTHS) + ")"
 _MONTH_END = """CASE WHEN month = 2 THEN CASE WHEN (year % 4 = 0 AND year % 100 <> 0) OR year % 400 = 0 THEN 29 ELSE 28 END
@@ -79,12 +85,6 @@ FUNCTIONS = (
      "cef_header_of(cef_pieces(line))"),
     ("cef_extensions", "line STRING", "MAP<STRING, STRING>",
      _let("l", "line", _let("m", _MATCHES, _let("e", _KEYS_VALUES, _EXTENSIONS)))),
-    ("cef_iso_time", "p ARRAY<STRING>, local STRING, layout STRING", "TIMESTAMP", _ISO),
-    ("cef_iso_parts", "p ARRAY<STRING>", "TIMESTAMP",
-     "cef_iso_time(p, concat(substr(get(p, 0), 1, 10), 'T', substr(get(p, 0), 12)),"
-     " r\"yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS]\")"),
-    ("cef_iso", "t STRING", "TIMESTAMP",
-     f"cef_iso_parts(split(regexp_replace(t, {_text(V.ISO_TS_PATTERN)}, concat('$1', char(1), '$2', char(1), '$3')), char(1), 3))"),
     ("cef_layout_time", "year STRING, mon STRING, month INT, day STRING, hms STRING, millis STRING, zone STRING", "TIMESTAMP",
      _LAYOUT),
     ("cef_month_end", "year INT, month INT", "INT", _MONTH_END),
@@ -103,7 +103,7 @@ FUNCTIONS = (
      f"CASE WHEN ms BETWEEN {-V._MAX_EPOCH_MILLIS} AND {V._MAX_EPOCH_MILLIS} THEN timestamp_millis(ms) END"),
     ("cef_timestamp", "t STRING", "TIMESTAMP",
      f"CASE WHEN t RLIKE {_text(r'^[+-]?0*\d{1,19}$')} THEN cef_millis(try_cast(t AS BIGINT))"
-     f" WHEN t RLIKE {_text(V.ISO_TS_PATTERN)} THEN cef_iso(t) WHEN t RLIKE {_text(V.CEF_TS_PATTERN)} THEN cef_layout(t) END"),
+     f" WHEN t RLIKE {_text(V.ISO_TS_PATTERN)} THEN {_ISO} WHEN t RLIKE {_text(V.CEF_TS_PATTERN)} THEN cef_layout(t) END"),
 )
 
 

@@ -61,3 +61,10 @@ def test_a_filter_on_a_call_computes_its_pairs_once(registered):
                            WHERE CAST(cef_extensions(value)['b'] AS BIGINT) > 1""")
     assert count_calls(optimized_plan(df), "regexp_extract_all") == 2  # one for the filter, one for the column
     assert [r.a for r in df.collect()] == ["1"]
+
+
+def test_iso_times_are_only_taken_apart_where_they_occur(registered):
+    df = lines_df(registered, ["1655789415000", "5"]).select(F.expr("cef_timestamp(value)").alias("t"))
+    below = optimized_plan(df).split("\n", 1)[1]  # the columns that are computed for every row
+    assert "regexp_replace" not in below
+    assert [r.t.year for r in df.collect()] == [2022, 1970]
