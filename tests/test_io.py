@@ -216,3 +216,16 @@ def test_inference_over_files_does_not_sort_the_pairs(spark, tmp_dir, monkeypatc
     df, (scan,) = scans_of(monkeypatch, spark, lambda: read_cef(spark, tmp_dir + "/b", tmp_dir + "/a"))
     assert df.columns[7:] == ["zone", "act", "door", "late"]  # in path order
     assert "HashAggregate" in scan and "Sort" not in scan
+
+
+def test_views_and_other_line_separators_are_inferred_without_sorting_the_pairs(spark, tmp_dir, monkeypatch):
+    from test_infer_encode import scans_of
+    lines = spark.createDataFrame([(x,) for x in LINES], "value string")
+    for mode in ("errorifexists", "append"):
+        lines.write.mode(mode).option("lineSep", "\r\n").text(tmp_dir + "/a")
+    df, (scan,) = scans_of(monkeypatch, spark, lambda: read_cef(spark, tmp_dir + "/a", lineSep="\r\n"))
+    assert df.count() == 6 and "HashAggregate" in scan and "Sort" not in scan
+    lines.write.text(tmp_dir + "/b")
+    _, (scan,) = scans_of(monkeypatch, spark, lambda: register_cef_view(spark, "cef_unsorted", tmp_dir + "/b"))
+    assert "HashAggregate" in scan and "Sort" not in scan
+    assert spark.sql("SELECT badge FROM cef_unsorted WHERE badge > 0").count() == 2
